@@ -1,0 +1,20 @@
+"""Size-checked broadcast: a side is broadcast only after Spark has counted it small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# largest dimension we are willing to ship to every executor
+BROADCAST_MAX_ROWS = 100_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave the join to Spark.
+
+    The check is a bounded job (``limit(max_rows + 1).count()``); beyond the bound the
+    join falls back to whatever Catalyst/AQE choose (sort-merge or shuffled hash join).
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
