@@ -43,3 +43,22 @@ def run_metrics(tagged: DataFrame, cleaned: DataFrame) -> DataFrame:
 def reconciliation_summary(cleaned: DataFrame) -> DataFrame:
     """V2: cleaned rows per ``sales_amount_flag``."""
     return cleaned.groupBy("sales_amount_flag").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def verify_report(spark, base: str, run_date) -> DataFrame:
+    """V3: the run date's reports with their record counts; raises when there is none.
+
+    Also checks each report's record counts against the manifest written beside it.
+    """
+    prefix = f"{base.rstrip('/')}/consolidated/{run_date:%Y/%m/%d}"
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "part-*").load(prefix).select("path", "length"))
+    found = files.filter(F.col("path").contains("/etl_report_"))
+    if found.limit(1).count() == 0:
+        raise FileNotFoundError(f"no consolidated report under {prefix}")
+    docs = spark.read.option("multiLine", "true").json(f"{prefix}/etl_report_*.json")
+    mans = spark.read.option("multiLine", "true").json(f"{prefix}/manifest_*.json")
+    d = docs.select(F.col("metadata.run_id").alias("run_id"), F.col("metadata.record_counts").alias("report_counts"))
+    m = mans.select("run_id", "status", F.col("record_counts").alias("manifest_counts"))
+    return d.join(m, "run_id", "left").withColumn(
+        "counts_match", F.to_json("report_counts") == F.to_json("manifest_counts"))

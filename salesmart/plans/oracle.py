@@ -8,7 +8,7 @@ shortest decimal text).
 
 from __future__ import annotations
 
-from salesmart.plans.queries import ACTIVE, AS_OF, AT_RISK, HIGH, MID, RUN_TS
+from salesmart.plans.queries import ACTIVE, AS_OF, AT_RISK, HIGH, MID, RUN_ID, RUN_TS
 from salesmart.schema import RAW_COLUMNS, REQUIRED_FIELDS
 
 LINEAGE = ("l_linenumber", "l_suppkey")
@@ -321,6 +321,16 @@ def _with(select: str, *ctes: str) -> str:
     return with_base(select, ",\n".join(ctes))
 
 
+_DT = "CASE WHEN l_suppkey % 2 = 0 THEN DATE '2001-08-01' ELSE DATE '2001-08-02' END"
+_COUNTS = ("(SELECT count(*) FROM b2)", "(SELECT count(*) FROM b3)", "(SELECT count(*) FROM a3)",
+           "(SELECT count(*) FROM a4)", "(SELECT count(*) FROM b5)", "(SELECT count(*) FROM b7)",
+           "(SELECT count(*) FROM b8)")
+_COUNT_NAMES = ("regional_rows", "category_rows", "monthly_trend_rows", "top_product_rows", "customer_rows",
+                "payment_rows", "status_rows")
+_SECTIONS = ("regional_summary", "category_summary", "monthly_trends", "top_products", "customer_segments",
+             "payment_distribution", "order_status_summary")
+_ALL_KPI = (A1, A2, A3, A4, A5, A6, A7, B2, B3, B5, B7, B8)
+
 ORACLE: dict[str, str] = {
     "trim_blank_to_null": with_base(f"SELECT * FROM std"),
     "cast_numeric": with_base(
@@ -383,14 +393,14 @@ WHERE rank <= 5"""),
     "order_status_summary": _with(f"SELECT {_replace('revenue_at_risk')} FROM a7", A7),
     "overall_kpi": _with(f"SELECT {_replace('grand_total_revenue grand_total_profit')} FROM a8", A8),
     "regional_grouping_sets": with_base(f"""
-SELECT region, country, year, month, CAST(grouping(region, country, year, month) AS INTEGER) AS grain,
+SELECT region, country, year, month, CAST(grouping(region, country, year, month) AS BIGINT) AS grain,
        {tot('sales_amount')} AS total_revenue, {tot('profit')} AS total_profit,
        CAST(sum(quantity) AS BIGINT) AS total_units_sold, count(DISTINCT order_id) AS total_orders,
        {mean('sales_amount')} AS avg_order_value, {pct('sum(profit)', 'sum(sales_amount)')} AS profit_margin_pct,
        {r2("CAST(sum(sales_amount) AS DOUBLE) / nullif(CAST(count(DISTINCT order_id) AS DOUBLE), 0)")} AS revenue_per_order
 FROM clean GROUP BY GROUPING SETS ((region, country, year, month), (region, country), (region), ())"""),
     "category_rollup": with_base(f"""
-SELECT category, sub_category, CAST(grouping(category, sub_category) AS INTEGER) AS grain,
+SELECT category, sub_category, CAST(grouping(category, sub_category) AS BIGINT) AS grain,
        {tot('sales_amount')} AS total_revenue, {tot('profit')} AS total_profit,
        CAST(sum(quantity) AS BIGINT) AS total_units_sold, count(DISTINCT order_id) AS total_orders,
        {r2("CAST(sum(discount) AS DOUBLE) / nullif(count(discount), 0) * 100")} AS avg_discount_pct,
@@ -410,4 +420,18 @@ SELECT (SELECT count(*) FROM b2) AS regional_rows, (SELECT count(*) FROM b3) AS
        (SELECT count(*) FROM a3) AS monthly_trend_rows, (SELECT count(*) FROM a4) AS top_product_rows,
        (SELECT count(*) FROM b5) AS customer_rows, (SELECT count(*) FROM b7) AS payment_rows,
        (SELECT count(*) FROM b8) AS status_rows""", A1, A2, A3, A4, A5, A6, A7, B2, B3, B5, B7, B8),
+    # I/O, report, incremental
+    "raw_scan": with_base(f"SELECT *, {_DT} AS dt FROM std"),
+    "cleaned_scan": with_base(f"SELECT {_CLEAN_EDGE}, year, month FROM clean"),
+    "stream_ingest": with_base(f"SELECT {_CLEAN_EDGE}, year, month FROM clean"),
+    "top_products_nested": _with("""
+SELECT coalesce(region, 'UNKNOWN') AS region, count(*) AS product_count,
+       min(product_id) FILTER (WHERE rank_in_region = 1) AS first_product
+FROM a4 GROUP BY 1""", A4),
+    "report_sections": _with(" UNION ALL ".join(
+        f"SELECT '{s}' AS section, CAST({c} AS BIGINT) AS rows" for s, c in zip(_SECTIONS, _COUNTS)), *_ALL_KPI),
+    "manifest": _with(
+        f"SELECT '{RUN_ID}' AS run_id, '{RUN_TS.isoformat()}' AS generated_at, "
+        "'consolidated/2001/08/01/etl_report_fixture-run.json' AS output_path, 'SUCCESS' AS status, "
+        + ", ".join(f"CAST({c} AS INTEGER) AS {n}" for c, n in zip(_COUNTS, _COUNT_NAMES)), *_ALL_KPI),
 }

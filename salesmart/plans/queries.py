@@ -292,4 +292,9 @@ QUERIES: dict[str, Query] = {
     "record_counts": q_record_counts,
 }
 
-QUERIES = {k: _edge(v) for k, v in QUERIES.items()}
+def _all() -> dict[str, Query]:
+    from salesmart.plans.io_queries import IO_QUERIES
+    return {k: _edge(v) for k, v in {**QUERIES, **IO_QUERIES}.items()}
+
+
+QUERIES = _all()

@@ -37,6 +37,8 @@ def _norm(v):
         return v.isoformat()
     if hasattr(v, "item"):
         return _norm(v.item())
+    if isinstance(v, bool):
+        return str(v)
     if isinstance(v, int):
         return repr(float(v)) if abs(v) < 2**53 else str(v)
     return str(v)
@@ -48,21 +50,28 @@ def rows(df: pd.DataFrame) -> Counter:
     return Counter(tuple(_norm(v) for v in r) for r in df.itertuples(index=False, name=None))
 
 
+def py_rows(names, tuples) -> Counter:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple(_norm(t[i]) for i in order) for t in tuples)
+
+
 def compare(spark, con, key: str, sf_dir: str, query, sql: str) -> dict:
-    s = query(spark, sf_dir).toPandas()
-    o = con.execute(sql).df()
-    res = {"key": key, "spark_rows": len(s), "oracle_rows": len(o)}
-    res["names"] = sorted(s.columns) == sorted(o.columns)
+    sdf = query(spark, sf_dir)
+    s_names, s_rows = sdf.columns, [tuple(r) for r in sdf.collect()]
+    cur = con.execute(sql)
+    o_names, o_rows = [d[0] for d in cur.description], cur.fetchall()
+    res = {"key": key, "spark_rows": len(s_rows), "oracle_rows": len(o_rows)}
+    res["names"] = sorted(s_names) == sorted(o_names)
     if not res["names"]:
-        res["detail"] = f"spark {sorted(s.columns)} oracle {sorted(o.columns)}"
+        res["detail"] = f"spark {sorted(s_names)} oracle {sorted(o_names)}"
         res["ok"] = False
         return res
-    rs, ro = rows(s), rows(o)
+    rs, ro = py_rows(s_names, s_rows), py_rows(o_names, o_rows)
     res["ok"] = rs == ro
     if not res["ok"]:
         only_s = list((rs - ro).elements())[:3]
         only_o = list((ro - rs).elements())[:3]
-        res["detail"] = f"cols {sorted(s.columns)}\n spark-only {only_s}\n oracle-only {only_o} (n={sum((rs-ro).values())})"
+        res["detail"] = f"cols {sorted(s_names)}\n spark-only {only_s}\n oracle-only {only_o} (n={sum((rs-ro).values())})"
     return res
 
 
@@ -93,3 +102,22 @@ if __name__ == "__main__":
         if not r["ok"]:
             print("   ", r.get("detail"), flush=True)
     print("failures:", bad)
+
+
+SPARK_TO_DUCK = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN", "smallint": "SMALLINT", "float": "FLOAT",
+}
+
+
+def type_diffs(spark_df, con, sql: str) -> list:
+    rel = con.sql(sql)
+    duck_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    out = []
+    for f in spark_df.schema.fields:
+        st = f.dataType.simpleString()
+        want = SPARK_TO_DUCK.get(st, st.upper())
+        got = duck_types.get(f.name)
+        if got != want:
+            out.append((f.name, st, got))
+    return out
