@@ -6,6 +6,7 @@ instead, so every conversion here is a ``try_`` form.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -41,7 +42,25 @@ def fraction(c) -> Column:
     return money(c, FRACTION)
 
 
+def layout_regex(fmt: str) -> str:
+    """Digit shape of a date layout: 'yyyy' -> 4 digits, 'MM'/'dd' -> 2 digits, rest literal."""
+    out, i = "^", 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        out += f"\\d{{{j - i}}}" if ch in "yMd" else re.escape(fmt[i:j])
+        i = j
+    return out + "$"
+
+
 def parse_date(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First layout that parses wins; text matching none gives NULL (the row is kept)."""
+    """First layout that parses wins; text matching none gives NULL (the row is kept).
+
+    Each layout is tried only on text of its exact digit shape (two-digit day and month,
+    four-digit year, as the strict parser requires), so a value costs one regex test per
+    layout and at most one real parse, instead of a failing parse per layout.
+    """
     c = _col(c)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.when(c.rlike(layout_regex(f)), F.try_to_timestamp(c, F.lit(f))) for f in formats])

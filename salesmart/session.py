@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # the cleaning projections alias many CASE expressions; inferring constraints over them
+    # costs seconds of optimizer time per query and only adds redundant IS NOT NULL filters
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 

@@ -44,10 +44,13 @@ def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = geo.select("n_nationkey", "n_name", "r_name")
     cust = customer.join(broadcast_if_bounded(geo), F.col("c_nationkey") == F.col("n_nationkey"))
     cust = cust.select("c_custkey", "n_name", "r_name")
-    # big-to-big joins: Catalyst/AQE pick the strategy from sizes at run time
     ords = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
-    lines = li.join(ords, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        part, F.col("l_partkey") == F.col("p_partkey"))
+    # fact-to-fact join: both sides grow with the data, so shuffle both on the order key
+    # (sort-merge). Without a hint, size estimates made from file sizes can pick the
+    # lineitem side for broadcast and stream the few customer partitions instead.
+    lines = li.join(ords.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # part is a fraction of lineitem: Catalyst/AQE choose broadcast or shuffle by size
+    lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
 
     quantity = F.col("l_quantity").cast("int")
     unit_price = F.col("p_retailprice").cast("decimal(12,2)")
