@@ -97,7 +97,15 @@ def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(cleaned)
 
 
+def q_synth_sales(spark: SparkSession, d: str) -> DataFrame:
+    """G1 + G2: one synthetic raw sale per lineitem key, plus 2 % dirty copies."""
+    from salesmart.operators.synth import synth_sales, with_dirt
+    ids = spark.read.parquet(f"{d.rstrip('/')}/lineitem.parquet").select("l_orderkey", "l_linenumber")
+    return with_dirt(synth_sales(ids))
+
+
 IO_QUERIES = {
+    "synth_sales": q_synth_sales,
     "raw_scan": q_raw_scan,
     "cleaned_scan": q_cleaned_scan,
     "schema_drift": q_schema_drift,
