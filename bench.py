@@ -24,6 +24,8 @@ from salesmart.session import get_spark, scratch_path  # noqa: E402
 from salesmart.sinks import write_kpi  # noqa: E402
 from salesmart.sources.fixtures import LINEAGE_COLUMNS  # noqa: E402
 from salesmart.sources.parquet import read_cleaned  # noqa: E402
+from salesmart.sources.csv import read_raw_sales  # noqa: E402
+from salesmart.plans.io_queries import FIXTURE_RAW_SCHEMA, write_raw_csv  # noqa: E402
 
 HEADLINE = ("region_country_monthly", "category_monthly", "monthly_trend", "top_products_by_region",
             "customer_segments", "overall_kpi", "regional_grouping_sets", "quarantine_all")
@@ -57,9 +59,15 @@ def main() -> None:
     cleaned, quar, kpi_base = f"{base}/cleaned", f"{base}/quarantine", f"{base}/aggregated"
     times: dict[str, float] = {}
 
-    # stage 1: raw rows -> tagged -> cleaned parquet + quarantine
+    # setup (untimed): the raw sales rows land as CSV files in dt= folders, as the original's input
+    raw_in = f"{base}/input"
+    write_raw_csv(Q.raw(spark, sf_dir), f"{raw_in}/sales")
+    raw_schema = FIXTURE_RAW_SCHEMA
+
+    # stage 1: raw CSV -> tagged -> cleaned parquet + quarantine
     times["stage1_clean"] = timed(lambda: run_clean(
-        spark, "", cleaned, quar, run, raw=Q.raw(spark, sf_dir), ties=LINEAGE_COLUMNS), repeat)
+        spark, "", cleaned, quar, run, raw=read_raw_sales(spark, raw_in, schema=raw_schema),
+        ties=LINEAGE_COLUMNS), repeat)
 
     # stage 2: each KPI table from the cleaned parquet (pruned scan), written as parquet
     sales = read_cleaned(spark, cleaned).select(*K.KPI_INPUT_COLUMNS)

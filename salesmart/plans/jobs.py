@@ -11,7 +11,7 @@ import datetime as _dt
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators import kpis as K
@@ -42,10 +42,12 @@ def run_clean(spark: SparkSession, input_path: str, cleaned_path: str, quarantin
     raw = read_raw_sales(spark, input_path, header_check=header_check) if raw is None else raw
     tagged, obs = observe_quality(tag_quality(raw))
     out = with_audit(clean(raw, tagged=tagged, ties=ties), run.job, run.run_ts, "etl_processed_at")
+    out_obs = Observation("cleaned")
+    out = out.observe(out_obs, F.count(F.lit(1)).alias("clean_rows"),
+                      F.count_if(F.col("order_date").isNull()).alias("undated_rows"))
     write_cleaned(out, cleaned_path, files)
     write_quarantine(quarantine(raw, run.run_ts), quarantine_path, run.run_id)
-    m = dict(obs.get)
-    m["clean_rows"] = spark.read.parquet(cleaned_path).count()
+    m = {**obs.get, **out_obs.get}
     m["duplicates_dropped"] = m["valid_rows"] - m["clean_rows"]
     return m
 
@@ -60,11 +62,13 @@ def kpi_tables(sales: DataFrame, as_of=None, thresholds: dict | None = None) ->
 
 
 def run_aggregate(spark: SparkSession, cleaned_path: str, kpi_base: str, run: Run, *, as_of=None,
-                  thresholds: dict | None = None, cache: bool = True) -> dict[str, str]:
+                  thresholds: dict | None = None, cache: bool = False) -> dict[str, str]:
     """Stage 2: the eight KPI tables, each with audit columns, written under ``kpi_base``.
 
-    The cleaned input is pruned to the KPI columns first; with ``cache`` it is persisted
-    once (memory, spilling to disk) for the eight aggregations, then released.
+    By default each table scans the cleaned parquet for just its own columns, which stays
+    cheap at any size. ``cache=True`` (the original's choice) persists the pruned input once
+    (memory, spilling to disk) for the eight aggregations; worth it only when the cleaned
+    table fits comfortably in the cluster's memory.
     """
     sales = read_cleaned(spark, cleaned_path).select(*K.KPI_INPUT_COLUMNS)
     paths = {}

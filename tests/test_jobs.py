@@ -28,7 +28,7 @@ def test_three_stages_and_verification(spark, tmp_dir):
     assert q.count() == m["raw_rows"] - m["valid_rows"]
 
     paths = run_aggregate(spark, f"{tmp_dir}/cleaned", f"{tmp_dir}/agg", run, as_of=Q.AS_OF,
-                          thresholds=dict(high=Q.HIGH, mid=Q.MID))
+                          thresholds=dict(high=Q.HIGH, mid=Q.MID), cache=True)
     assert len(paths) == 8
     kpi = spark.read.parquet(paths["overall_kpi"]).collect()[0]
     assert kpi["generated_at"] is not None and kpi["etl_job"] == "salesmart"
