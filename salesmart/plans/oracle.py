@@ -407,6 +407,9 @@ SELECT category, sub_category, CAST(grouping(category, sub_category) AS BIGINT)
        {pct('sum(profit)', 'sum(sales_amount)')} AS profit_margin_pct,
        {r2("CAST(sum(sales_amount) AS DOUBLE) / nullif(CAST(count(DISTINCT order_id) AS DOUBLE), 0)")} AS revenue_per_order
 FROM clean GROUP BY ROLLUP (category, sub_category)"""),
+    "order_sketches": with_base(
+        "SELECT region, year, month, count(DISTINCT order_id) AS total_orders, TRUE AS sketch_within_bound "
+        "FROM clean GROUP BY region, year, month"),
     # stage 3
     "regional_summary": _with(f"SELECT {_replace('total_revenue total_profit')} FROM b2", A1, B2),
     "category_summary": _with(f"SELECT {_replace('total_revenue total_profit')} FROM b3", A2, B3),

@@ -188,9 +188,12 @@ def q_category_rollup(spark, d):
 
 
 def q_order_sketches(spark, d):
+    """Per-month sketches, checked against the exact count (within 3 % or 2 orders)."""
     s = K.order_sketches(cleaned(spark, d))
+    est = F.hll_sketch_estimate("orders_sketch")
     return s.select("region", "year", "month", "total_orders",
-                    F.hll_sketch_estimate("orders_sketch").alias("approx_orders"))
+                    (F.abs(est - F.col("total_orders")) <= F.greatest(F.lit(2.0), F.col("total_orders") * 0.03))
+                    .alias("sketch_within_bound"))
 
 
 # --- stage 3 ---------------------------------------------------------------
