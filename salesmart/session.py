@@ -27,12 +27,29 @@ DEFAULT_CONF = {
 }
 
 
+# suggested additions for a large cluster (~1000 executors, ~100 TB of raw text); sizes keep
+# every shuffle partition and every written file in the 128-512 MB range, so tasks fit in
+# executor memory (spilling only at the margin) and the file count stays manageable
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",                      # initial; AQE coalesces by size
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",   # target shuffle/rebalance partition
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",                 # scan split size
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",               # Spark's own size check for joins
+    "spark.speculation": "true",                                 # slow or lost executors
+    "spark.task.maxFailures": "8",
+}
+
+
 def get_spark(master: str | None = None, app: str = "salesmart", shuffle_partitions: int | None = None,
-              extra: dict | None = None) -> SparkSession:
+              extra: dict | None = None, cluster: bool = False) -> SparkSession:
+    """A session with the library's defaults (``cluster=True`` adds ``CLUSTER_CONF``)."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = dict(DEFAULT_CONF)
+    conf = dict(DEFAULT_CONF, **(CLUSTER_CONF if cluster else {}))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
