@@ -74,7 +74,7 @@ def main() -> None:
     for name, spec in K.KPI_DATASETS.items():
         kw = dict(as_of=Q.AS_OF, high=Q.HIGH, mid=Q.MID) if name == "customer_segments" else {}
         times[f"stage2_{name}"] = timed(
-            lambda n=name, s=spec, k=kw: write_kpi(s.fn(sales, **k), kpi_base, n, s.partitions), repeat)
+            lambda n=name, s=spec, k=kw: write_kpi(s.fn(sales, **k), kpi_base, n, s.partitions, s.bounded), repeat)
 
     # stage 3: report + manifest from the KPI tables
     times["stage3_report"] = timed(lambda: run_consolidate(spark, kpi_base, base, run), repeat)

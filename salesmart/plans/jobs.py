@@ -76,7 +76,8 @@ def run_aggregate(spark: SparkSession, cleaned_path: str, kpi_base: str, run: Ru
     def write_all(src: DataFrame):
         for name, df in kpi_tables(src, as_of, thresholds).items():
             spec = K.KPI_DATASETS[name]
-            paths[name] = write_kpi(with_audit(df, run.job, run.run_ts, spec.ts_col), kpi_base, name, spec.partitions)
+            paths[name] = write_kpi(with_audit(df, run.job, run.run_ts, spec.ts_col), kpi_base, name,
+                                    spec.partitions, spec.bounded)
 
     if cache:
         with cached(sales) as s:

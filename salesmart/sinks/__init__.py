@@ -27,10 +27,17 @@ def write_quarantine(df: DataFrame, path: str, run_id: str) -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
 
 
-def write_kpi(df: DataFrame, base: str, name: str, partitions: tuple[str, ...] = ()) -> str:
-    """K3: a (small) KPI table at ``{base}/{name}``, at most ``KPI_MAX_FILES`` files per partition."""
+def write_kpi(df: DataFrame, base: str, name: str, partitions: tuple[str, ...] = (), bounded: bool = True) -> str:
+    """K3: a KPI table at ``{base}/{name}``.
+
+    A dimension-bounded table is written by at most ``KPI_MAX_FILES`` tasks (so at most that
+    many files per partition). ``coalesce`` narrows the stage that computes it, which is only
+    harmless for small results, so a table that grows with the data (one row per customer) is
+    rebalanced instead: its final aggregation stays fully parallel and AQE sizes the files.
+    """
     path = f"{base.rstrip('/')}/{name}"
-    w = df.coalesce(KPI_MAX_FILES).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    out = df.coalesce(KPI_MAX_FILES) if bounded else df.hint("rebalance")
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partitions:
         w = w.partitionBy(*partitions)
     w.parquet(path)

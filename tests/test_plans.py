@@ -43,3 +43,12 @@ def test_kpi_scan_reads_only_needed_columns(spark, tmp_dir):
     p = plan(K.payment_distribution(read_cleaned(spark, tmp_dir)))
     schema = p.split("ReadSchema: ")[1].split("\n")[0] if "ReadSchema: " in p else p
     assert "product_name" not in schema and "sales_amount" in schema
+
+
+def test_customer_grain_kpi_is_not_coalesced(spark, tmp_dir):
+    from salesmart.operators.kpis import KPI_DATASETS, customer_segments
+    from salesmart.sinks import write_kpi
+    assert KPI_DATASETS["customer_segments"].bounded is False
+    df = customer_segments(Q.cleaned(spark, SF_SMALL), as_of=Q.AS_OF)
+    write_kpi(df, tmp_dir, "customer_segments", bounded=False)
+    assert spark.read.parquet(f"{tmp_dir}/customer_segments").count() == df.count()
