@@ -22,8 +22,13 @@ def write_cleaned(df: DataFrame, path: str, files: int | None = None) -> None:
 
 
 def write_quarantine(df: DataFrame, path: str, run_id: str) -> None:
-    """K2: rejected rows under ``run_id=<id>``; a rerun of the same run replaces only its partition."""
-    (df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
+    """K2: rejected rows under ``run_id=<id>``; a rerun of the same run replaces only its partition.
+
+    The rejected rows are a small share of the input but come from every input split; a
+    rebalance (a shuffle of just these rows) turns them into a few sized files instead of
+    one small file per split.
+    """
+    (df.withColumn("run_id", F.lit(run_id)).hint("rebalance").write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
 
 
