@@ -39,8 +39,8 @@ def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     part = _read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_retailprice")
 
-    # nation and region are tiny; broadcast them only after counting
-    geo = nation.join(broadcast_if_bounded(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    # nation x region is tiny: broadcast it to the customer join only after counting it
+    geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     geo = geo.select("n_nationkey", "n_name", "r_name")
     cust = customer.join(broadcast_if_bounded(geo), F.col("c_nationkey") == F.col("n_nationkey"))
     cust = cust.select("c_custkey", "n_name", "r_name")

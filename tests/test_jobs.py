@@ -45,3 +45,12 @@ def test_schema_drift(spark, tmp_dir):
     assert d["order_id"]["change"] == "unchanged"
     assert d["profit"]["change"] == "type_changed" and d["profit"]["inferred_type"] == "double"
     assert d["unit_price"]["change"] == "unchanged"        # 'abc' keeps it text
+
+
+def test_register_raw_catalog_table(spark, tmp_dir):
+    from salesmart.sources.csv import register_raw
+    write_raw_csv(Q.raw(spark, SF_SMALL).drop("l_linenumber", "l_suppkey"), tmp_dir, partition_by_dt=False)
+    t = register_raw(spark, tmp_dir, "raw_sales_catalog_test")
+    assert spark.catalog.tableExists("raw_sales_catalog_test")
+    assert t.count() == 6000 and dict(t.dtypes)["profit"] == "double"
+    spark.sql("DROP TABLE raw_sales_catalog_test")
