@@ -118,10 +118,14 @@ def run_consolidate(spark: SparkSession, kpi_base: str, out_base: str, run: Run)
 
 
 def run_all(spark: SparkSession, input_path: str, base: str, run: Run | None = None, **kw) -> dict:
-    """Stages 1-3 in order (what the daily schedule triggered)."""
+    """Stages 1-3 in order, then V3: the run's report must exist and agree with its manifest."""
+    from salesmart.operators.quality import verify_report
     run = run or Run()
     cleaned, quar, kpi = f"{base}/cleaned", f"{base}/quarantine", f"{base}/aggregated"
     metrics = run_clean(spark, input_path, cleaned, quar, run)
     run_aggregate(spark, cleaned, kpi, run, as_of=kw.get("as_of"), thresholds=kw.get("thresholds"))
     out = run_consolidate(spark, kpi, base, run)
-    return {"metrics": metrics, **out}
+    mine = verify_report(spark, base, run.run_date).filter(F.col("run_id") == run.run_id).collect()  # one row
+    if not mine or not mine[0]["counts_match"] or mine[0]["status"] != "SUCCESS":
+        raise RuntimeError(f"report verification failed for run {run.run_id}")
+    return {"metrics": metrics, **out, "verified": True}

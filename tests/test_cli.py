@@ -15,3 +15,4 @@ def test_cli_all(spark, tmp_dir):
     assert out["metrics"]["raw_rows"] == 6000
     doc = json.loads("".join(r[0] for r in spark.read.text(out["report"]).collect()))
     assert doc["metadata"]["run_id"] == "cli-1" and doc["metadata"]["record_counts"]["regional_rows"] == 25
+    assert out["verified"]
