@@ -18,8 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from salesmart.operators import kpis as K  # noqa: E402
 from salesmart.plans import queries as Q  # noqa: E402
-from salesmart.plans.jobs import Run, run_clean, run_consolidate, stage3_sections  # noqa: E402
-from salesmart.operators import report as R  # noqa: E402
+from salesmart.plans.jobs import Run, run_clean, run_consolidate  # noqa: E402
 from salesmart.session import get_spark, scratch_path  # noqa: E402
 from salesmart.sinks import write_kpi  # noqa: E402
 from salesmart.sources.fixtures import LINEAGE_COLUMNS  # noqa: E402

@@ -9,8 +9,7 @@ group's distinct values over all shuffle partitions.
 
 from __future__ import annotations
 
-import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame
@@ -211,7 +210,6 @@ class Kpi:
     # bounded by dimension sizes (regions, categories, months...) rather than by entities
     # that grow with the data; only bounded tables get the small fixed file count
     bounded: bool = True
-    params: dict = field(default_factory=dict)
 
 
 KPI_DATASETS: dict[str, Kpi] = {
@@ -225,6 +223,3 @@ KPI_DATASETS: dict[str, Kpi] = {
     "overall_kpi": Kpi(overall_kpi, (), "generated_at"),
 }
 
-
-def today() -> _dt.date:
-    return _dt.datetime.now(_dt.timezone.utc).date()

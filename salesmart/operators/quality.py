@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from salesmart.schema import (
-    FLAG_MISMATCH, FLAG_OK, INVALID_NUMERIC, MISSING_REQUIRED, QUALITY_OK, UNPARSEABLE_NUMERIC,
-)
+from salesmart.schema import INVALID_NUMERIC, MISSING_REQUIRED, QUALITY_OK, UNPARSEABLE_NUMERIC
 
 QUALITY_CLASSES = (MISSING_REQUIRED, INVALID_NUMERIC, UNPARSEABLE_NUMERIC, QUALITY_OK)
 

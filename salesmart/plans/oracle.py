@@ -265,15 +265,6 @@ A8 = f"""a8 AS (
   FROM clean)"""
 
 
-def dbl(cols: str) -> str:
-    """Edge projection: the listed DECIMAL total columns to DOUBLE, the rest unchanged."""
-    return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols.split())
-
-
-def _edge_select(cte: str, decimals: str, rest: str = "*") -> str:
-    return f"SELECT * REPLACE ({dbl(decimals).replace(' AS DOUBLE) AS ', ' AS DOUBLE) AS ')}) FROM {cte}"
-
-
 def _replace(decimals: str) -> str:
     return "* REPLACE (" + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in decimals.split()) + ")"
 

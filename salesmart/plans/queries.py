@@ -18,7 +18,7 @@ from salesmart.operators import clean as C
 from salesmart.operators import kpis as K
 from salesmart.operators import summary as B
 from salesmart.operators.windows import mom_growth, top_n_per_group
-from salesmart.schema import MISSING_REQUIRED, INVALID_NUMERIC, UNPARSEABLE_NUMERIC, FLAG_MISMATCH
+from salesmart.schema import INVALID_NUMERIC, MISSING_REQUIRED, UNPARSEABLE_NUMERIC
 from salesmart.sources.fixtures import LINEAGE_COLUMNS, raw_view
 
 # fixture parameters (FIXTURES.md §4): the driver's data spans 1992-2001, so the
