@@ -87,7 +87,8 @@ def build_report(sections: dict[str, DataFrame], run_id: str, run_ts, job: str)
     ``sections`` holds ``overall_kpi`` (A8), the six list sections of ``SECTION_ORDER``,
     ``top_products`` (A4) and ``segment_totals`` (B6).
     """
-    kpi = to_edge(drop_audit(sections["overall_kpi"]))
+    # the KPI section keeps its own ``generated_at``; only the job columns are dropped
+    kpi = to_edge(drop_audit(sections["overall_kpi"], ("etl_job", "etl_ts")))
     parts = [kpi.select(F.struct(*kpi.columns).alias("overall_kpi"))]
     parts += [section_rows(sections[n], n, o) for n, o in SECTION_ORDER.items()]
     parts += [top_products_entries(sections["top_products"]), segment_entries(sections["segment_totals"])]

@@ -35,6 +35,8 @@ def test_three_stages_and_verification(spark, tmp_dir):
     out = run_consolidate(spark, f"{tmp_dir}/agg", tmp_dir, run)
     doc = json.loads("".join(r[0] for r in spark.read.text(out["report"]).collect()))
     assert doc["metadata"]["run_id"] == "r1"
+    assert doc["overall_kpi"]["generated_at"] == "2001-08-01T00:00:00" and "etl_job" not in doc["overall_kpi"]
+    assert "etl_ts" not in doc["regional_summary"][0] and "etl_ts" not in doc["monthly_trends"][0]
     v = verify_report(spark, tmp_dir, run.run_date).collect()
     assert len(v) == 1 and v[0]["counts_match"] and v[0]["status"] == "SUCCESS"
 
