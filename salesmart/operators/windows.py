@@ -42,8 +42,14 @@ def tie_order(columns: Sequence[str], key: Sequence[str], order_col: str, ties:
 
 def top_n_per_group(df: DataFrame, part: Sequence[str] | str, order: Sequence[Column], n: int,
                     method: str = "rank", rank_col: str = "rank") -> DataFrame:
-    """Rows whose rank within ``part`` is at most ``n``; ``rank`` keeps ties (may exceed n rows)."""
+    """Rows whose rank within ``part`` is at most ``n``; ``rank`` keeps ties (may exceed n rows).
+
+    ``row_number`` cuts through ties, so the remaining columns are appended to the order
+    (ascending): the kept rows are then the same under any partitioning.
+    """
     fn = RANK_METHODS[method]
+    if method == "row_number":
+        order = list(order) + [F.col(c).asc_nulls_first() for c in df.columns if c not in _names(part)]
     w = Window.partitionBy(*_names(part)).orderBy(*order)
     return df.withColumn(rank_col, fn().over(w)).filter(F.col(rank_col) <= n)
 

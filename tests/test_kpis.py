@@ -113,3 +113,17 @@ def test_results_independent_of_shuffle_partitions(spark):
         out.append(sorted(map(tuple, Q.QUERIES["region_country_monthly"](spark, SF_SMALL).collect()), key=repr))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert out[0] == out[1] == out[2]
+
+
+def test_massive_ties_are_bounded_with_row_number(spark):
+    # 200 products with identical revenue in one region: rank keeps all 200, row_number keeps 10
+    rows = [row(order_id=f"O{i}", product_id=f"P{i:03d}", sales_amount="10.00") for i in range(200)]
+    c = cleaned(spark, *rows)
+    assert K.top_products_by_region(c).count() == 200
+    kept = []
+    for n in (1, 16):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        top = K.top_products_by_region(c.repartition(n), method="row_number")
+        kept.append(sorted(r["product_id"] for r in top.collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert kept[0] == kept[1] == [f"P{i:03d}" for i in range(10)]
