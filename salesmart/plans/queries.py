@@ -44,6 +44,12 @@ def cleaned(spark: SparkSession, d: str) -> DataFrame:
     return C.clean(raw(spark, d), ties=LINEAGE_COLUMNS)
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """One computation of a table that several report sections read (see ``session.materialize``)."""
+    from salesmart.session import materialize
+    return materialize(df)
+
+
 def a5(spark, d):
     return K.customer_segments(cleaned(spark, d), as_of=AS_OF, high=HIGH, mid=MID, active=ACTIVE, at_risk=AT_RISK)
 
@@ -121,7 +127,8 @@ def q_reconciliation_summary(spark, d):
 
 def q_run_metrics(spark, d):
     from salesmart.operators.quality import run_metrics
-    return run_metrics(tagged(spark, d), cleaned(spark, d))
+    t = materialized(tagged(spark, d))
+    return run_metrics(t, C.clean(raw(spark, d), ties=LINEAGE_COLUMNS, tagged=t))
 
 
 # --- stage 2 ---------------------------------------------------------------
@@ -227,8 +234,8 @@ def q_status_summary(spark, d):
 
 
 def sections(spark, d) -> dict[str, DataFrame]:
-    """The seven list sections of the report plus its inputs, from one cleaned lineage."""
-    c = cleaned(spark, d)
+    """The seven list sections of the report plus its inputs, from one materialized cleaned fact."""
+    c = materialized(cleaned(spark, d))
     a5_ = K.customer_segments(c, as_of=AS_OF, high=HIGH, mid=MID, active=ACTIVE, at_risk=AT_RISK)
     return {
         "overall_kpi": K.overall_kpi(c),

@@ -81,3 +81,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/salesmart/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    For a derived table read by several branches or actions: without it each would recompute
+    the whole chain (branches with differently pruned plans cannot reuse exchanges). A
+    reliable checkpoint also survives the loss of the executors that computed it (never
+    ``localCheckpoint``).
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
