@@ -21,7 +21,7 @@ from salesmart.plans import queries as Q  # noqa: E402
 from salesmart.plans.jobs import Run, run_clean, run_consolidate  # noqa: E402
 from salesmart.session import get_spark, scratch_path  # noqa: E402
 from salesmart.sinks import write_kpi  # noqa: E402
-from salesmart.sources.fixtures import LINEAGE_COLUMNS  # noqa: E402
+from salesmart.sources.fixtures import FIXTURE_TIES  # noqa: E402
 from salesmart.sources.parquet import read_cleaned  # noqa: E402
 from salesmart.sources.csv import read_raw_sales  # noqa: E402
 from salesmart.plans.io_queries import FIXTURE_RAW_SCHEMA, write_raw_csv  # noqa: E402
@@ -70,7 +70,7 @@ def main() -> None:
     # stage 1: raw CSV -> tagged -> cleaned parquet + quarantine
     times["stage1_clean"] = timed(lambda: run_clean(
         spark, "", cleaned, quar, run, raw=read_raw_sales(spark, raw_in, schema=raw_schema),
-        ties=LINEAGE_COLUMNS), repeat)
+        ties=FIXTURE_TIES), repeat)
 
     # stage 2: each KPI table from the cleaned parquet (pruned scan), written as parquet
     sales = read_cleaned(spark, cleaned).select(*K.KPI_INPUT_COLUMNS)

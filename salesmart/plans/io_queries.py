@@ -17,7 +17,7 @@ from salesmart.schema import RAW_SCHEMA
 from salesmart.session import scratch_path
 from salesmart.sinks import write_cleaned
 from salesmart.sources.csv import infer_raw_schema, read_raw_sales, schema_drift
-from salesmart.sources.fixtures import LINEAGE_COLUMNS
+from salesmart.sources.fixtures import FIXTURE_TIES
 from salesmart.sources.parquet import read_cleaned
 
 # raw schema of the fixture files: the 18 text columns plus the lineage columns
@@ -93,7 +93,7 @@ def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     for day in DROPS:
         write_raw_csv(raw.filter(F.col("dt") == day).drop("dt"), f"{inbox}/dt={day}", partition_by_dt=False)
         ingest_available(spark, inbox, cleaned, quar, ckpt, schema=FIXTURE_RAW_SCHEMA, run_ts=Q.RUN_TS,
-                         ties=LINEAGE_COLUMNS)
+                         ties=FIXTURE_TIES)
     return spark.read.parquet(cleaned)
 
 

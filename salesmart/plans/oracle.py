@@ -84,7 +84,8 @@ _QUALITY = (
 
 # cleaned columns in order, and the dedup order: order_date desc, lineage, then the rest
 CLEAN_COLS = (*RAW_COLUMNS, *LINEAGE, "sales_amount_calc", "sales_amount_flag")
-_TIES = [*LINEAGE] + [c for c in CLEAN_COLS if c not in ("order_id", "product_id", "order_date", *LINEAGE)]
+_FIRST_TIES = (*LINEAGE, "quantity")
+_TIES = [*_FIRST_TIES] + [c for c in CLEAN_COLS if c not in ("order_id", "product_id", "order_date", *_FIRST_TIES)]
 _DEDUP_ORDER = "order_date DESC NULLS LAST, " + ", ".join(f"{c} ASC NULLS FIRST" for c in _TIES)
 
 BASE = f"""

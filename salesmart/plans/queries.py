@@ -19,7 +19,7 @@ from salesmart.operators import kpis as K
 from salesmart.operators import summary as B
 from salesmart.operators.windows import mom_growth, top_n_per_group
 from salesmart.schema import INVALID_NUMERIC, MISSING_REQUIRED, UNPARSEABLE_NUMERIC
-from salesmart.sources.fixtures import LINEAGE_COLUMNS, raw_view
+from salesmart.sources.fixtures import FIXTURE_TIES, LINEAGE_COLUMNS, raw_view
 
 # fixture parameters (FIXTURES.md §4): the driver's data spans 1992-2001, so the
 # recency day and value thresholds are scaled to it
@@ -41,7 +41,7 @@ def tagged(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, d: str) -> DataFrame:
-    return C.clean(raw(spark, d), ties=LINEAGE_COLUMNS)
+    return C.clean(raw(spark, d), ties=FIXTURE_TIES)
 
 
 def materialized(df: DataFrame) -> DataFrame:
@@ -128,7 +128,7 @@ def q_reconciliation_summary(spark, d):
 def q_run_metrics(spark, d):
     from salesmart.operators.quality import run_metrics
     t = materialized(tagged(spark, d))
-    return run_metrics(t, C.clean(raw(spark, d), ties=LINEAGE_COLUMNS, tagged=t))
+    return run_metrics(t, C.clean(raw(spark, d), ties=FIXTURE_TIES, tagged=t))
 
 
 # --- stage 2 ---------------------------------------------------------------

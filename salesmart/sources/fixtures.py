@@ -18,6 +18,9 @@ from salesmart.functions.dims import broadcast_if_bounded
 FIXTURE_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part")
 # extra lineage columns kept in the raw view (deterministic dedup tie-break)
 LINEAGE_COLUMNS = ("l_linenumber", "l_suppkey")
+# dedup tie-break of the fixture (FIXTURES.md §4): source line, supplier, then quantity;
+# every remaining column follows, so the order is total
+FIXTURE_TIES = (*LINEAGE_COLUMNS, "quantity")
 # layouts used to render dates, chosen by bucket % 4 (the four layouts the cleaner accepts)
 RENDER_FORMATS = ("yyyy-MM-dd", "MM/dd/yyyy", "dd-MM-yyyy", "yyyy/MM/dd")
 BUCKETS = 200

@@ -154,3 +154,17 @@ def test_header_check_rejects_reordered_columns(spark, tmp_dir):
     with pytest.raises(Exception):
         read_raw_sales(spark, tmp_dir, header_check=True).collect()
     assert read_raw_sales(spark, tmp_dir).collect()[0]["order_id"] == "A"   # positional by default
+
+
+def test_fixture_totals_equal_blueprint(spark):
+    """FIXTURES.md §4 at sf0.001: rows, flags and totals of the cleaned fixture."""
+    from conftest import SF_SMALL
+    from salesmart.plans import queries as Q
+    c = Q.cleaned(spark, SF_SMALL)
+    r = c.agg(F.count(F.lit(1)).alias("n"), F.count("order_date").alias("dated"),
+              F.count_distinct("order_id").alias("orders"),
+              F.count_if(F.col("sales_amount_flag") == "MISMATCH").alias("mismatch"),
+              F.sum("sales_amount").alias("sales"), F.sum("profit").alias("profit"),
+              F.sum("quantity").alias("qty")).collect()[0]
+    assert (r["n"], r["dated"], r["orders"], r["mismatch"]) == (5759, 5705, 1465, 72)
+    assert (str(r["sales"]), str(r["profit"]), r["qty"]) == ("126140387.5900", "24996843.9800", 145592)

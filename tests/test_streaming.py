@@ -7,7 +7,7 @@ from oracle_check import py_rows
 from salesmart.operators import clean as C
 from salesmart.plans import queries as Q
 from salesmart.plans.io_queries import DROPS, FIXTURE_RAW_SCHEMA, drop_of, write_raw_csv
-from salesmart.sources.fixtures import LINEAGE_COLUMNS
+from salesmart.sources.fixtures import FIXTURE_TIES
 from salesmart.streaming import ingest_available
 
 
@@ -22,13 +22,13 @@ def test_stream_equals_batch_with_late_versions(spark, tmp_dir):
     drops = [raw.filter(F.col("dt") == d).drop("dt") for d in DROPS] + [late]
     for i, d in enumerate(drops):
         write_raw_csv(d.coalesce(1), f"{inbox}/dt=drop{i}", partition_by_dt=False)
-        ingest_available(spark, inbox, out, quar, ckpt, schema=FIXTURE_RAW_SCHEMA, ties=LINEAGE_COLUMNS,
+        ingest_available(spark, inbox, out, quar, ckpt, schema=FIXTURE_RAW_SCHEMA, ties=FIXTURE_TIES,
                          max_files_per_trigger=1)
     # rerun over the same files: nothing new
-    ingest_available(spark, inbox, out, quar, ckpt, schema=FIXTURE_RAW_SCHEMA, ties=LINEAGE_COLUMNS)
+    ingest_available(spark, inbox, out, quar, ckpt, schema=FIXTURE_RAW_SCHEMA, ties=FIXTURE_TIES)
 
     everything = raw.drop("dt").unionByName(late)
-    batch = C.clean(everything, ties=LINEAGE_COLUMNS)
+    batch = C.clean(everything, ties=FIXTURE_TIES)
     stream = spark.read.parquet(out)
     moved = stream.filter("year = 2001 and month = 12").count()
     assert moved > 40 and moved == batch.filter("year = 2001 and month = 12").count()
