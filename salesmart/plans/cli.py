@@ -1,4 +1,9 @@
-"""Command line for the stage jobs, e.g. ``spark-submit -m salesmart.plans.cli clean ...``.
+"""Command line for the stage jobs.
+
+Locally ``python -m salesmart.plans.cli ...``; on a cluster ship the package and submit this
+file: ``zip -r salesmart.zip salesmart && spark-submit --py-files salesmart.zip
+salesmart/plans/cli.py all --input ... --output ...`` (with ``spark.checkpoint.dir`` set to a
+shared folder).
 
     python -m salesmart.plans.cli clean --input RAW --cleaned OUT/cleaned --quarantine OUT/quarantine
     python -m salesmart.plans.cli aggregate --cleaned OUT/cleaned --kpis OUT/aggregated [--as-of 2024-06-01]
