@@ -69,6 +69,27 @@ def q_report_json(spark: SparkSession, d: str) -> DataFrame:
     return R.report_json(_report(spark, d))
 
 
+REPORT_KPI_SCHEMA = (
+    "struct<metadata:struct<data_range:struct<`from`:string,`to`:string>,"
+    "customer_segment_totals:map<string,bigint>>,"
+    "overall_kpi:struct<grand_total_revenue:double,grand_total_profit:double,overall_profit_margin_pct:double,"
+    "total_units_sold:bigint,total_orders:bigint,unique_customers:bigint,unique_products:bigint,"
+    "avg_order_value:double,data_from:string,data_to:string>,"
+    "top_products:map<string,array<struct<product_id:string,rank_in_region:int>>>>")
+
+
+def q_report_json_values(spark: SparkSession, d: str) -> DataFrame:
+    """K4 read back: values parsed from the JSON text (numbers, ISO times, maps) survive rendering."""
+    doc = F.from_json("json", REPORT_KPI_SCHEMA)
+    return R.report_json(_report(spark, d)).select(doc.alias("doc")).select(
+        "doc.overall_kpi.*",
+        F.col("doc.metadata.data_range.from").alias("range_from"),
+        F.col("doc.metadata.data_range.to").alias("range_to"),
+        F.col("doc.metadata.customer_segment_totals")["HIGH_VALUE"].alias("high_value_customers"),
+        F.size(F.map_keys("doc.top_products")).cast("bigint").alias("top_product_regions"),
+    )
+
+
 def q_report_sections(spark: SparkSession, d: str) -> DataFrame:
     return R.report_sections(_report(spark, d))
 
@@ -112,6 +133,7 @@ IO_QUERIES = {
     "top_products_nested": q_top_products_nested,
     "report_sections": q_report_sections,
     "report_json": q_report_json,
+    "report_json_values": q_report_json_values,
     "manifest": q_manifest,
     "stream_ingest": q_stream_ingest,
 }

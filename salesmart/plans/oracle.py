@@ -425,6 +425,14 @@ SELECT coalesce(region, 'UNKNOWN') AS region, count(*) AS product_count,
 FROM a4 GROUP BY 1""", A4),
     "report_sections": _with(" UNION ALL ".join(
         f"SELECT '{s}' AS section, CAST({c} AS BIGINT) AS rows" for s, c in zip(_SECTIONS, _COUNTS)), *_ALL_KPI),
+    "report_json_values": _with("""
+SELECT CAST(grand_total_revenue AS DOUBLE) AS grand_total_revenue, CAST(grand_total_profit AS DOUBLE) AS grand_total_profit,
+       overall_profit_margin_pct, total_units_sold, total_orders, unique_customers, unique_products, avg_order_value,
+       strftime(data_from, '%Y-%m-%dT%H:%M:%S') AS data_from, strftime(data_to, '%Y-%m-%dT%H:%M:%S') AS data_to,
+       strftime(data_from, '%Y-%m-%dT%H:%M:%S') AS range_from, strftime(data_to, '%Y-%m-%dT%H:%M:%S') AS range_to,
+       (SELECT count(*) FROM a5 WHERE customer_segment = 'HIGH_VALUE') AS high_value_customers,
+       (SELECT count(DISTINCT coalesce(region, 'UNKNOWN')) FROM a4) AS top_product_regions
+FROM a8""", A8, A5, A4),
     "manifest": _with(
         f"SELECT '{RUN_ID}' AS run_id, '{RUN_TS.isoformat()}' AS generated_at, "
         "'consolidated/2001/08/01/etl_report_fixture-run.json' AS output_path, 'SUCCESS' AS status, "
