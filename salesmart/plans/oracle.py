@@ -374,6 +374,14 @@ FROM (SELECT *, lag(revenue) OVER (PARTITION BY region, country ORDER BY year AS
       FROM (SELECT region, country, year, month, {tot_dec('sales_amount')} AS revenue FROM clean GROUP BY ALL))"""),
     "product_region_totals": _with(f"SELECT {_replace('total_revenue total_profit')} FROM a4b", A4B),
     "top_products_by_region": _with(f"SELECT {_replace('total_revenue total_profit')} FROM a4", A4),
+    "top_products_row_number": _with("""
+SELECT * REPLACE (CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(total_profit AS DOUBLE) AS total_profit) FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY region ORDER BY total_revenue DESC NULLS LAST,
+      product_id ASC NULLS FIRST, product_name ASC NULLS FIRST, category ASC NULLS FIRST, sub_category ASC NULLS FIRST,
+      total_revenue ASC NULLS FIRST, total_profit ASC NULLS FIRST, total_units_sold ASC NULLS FIRST,
+      total_orders ASC NULLS FIRST, avg_unit_price ASC NULLS FIRST) AS INTEGER) AS rank_in_region
+  FROM a4b)
+WHERE rank_in_region <= 10""", A4B),
     "top_n_per_group": with_base(f"""
 SELECT country, customer_id, CAST(revenue AS DOUBLE) AS revenue, rank FROM (
   SELECT *, CAST(dense_rank() OVER (PARTITION BY country ORDER BY revenue DESC NULLS LAST) AS INTEGER) AS rank

@@ -164,6 +164,11 @@ def q_top_products_by_region(spark, d):
     return K.top_products_by_region(cleaned(spark, d))
 
 
+def q_top_products_row_number(spark, d):
+    """W3 with ``row_number``: exactly 10 products per region, ties cut deterministically."""
+    return K.top_products_by_region(cleaned(spark, d), method="row_number")
+
+
 def q_top_n_per_group(spark, d):
     """W3 on another grain: top 5 customers by revenue per country (dense rank)."""
     base = cleaned(spark, d).groupBy("country", "customer_id").agg(K.total2("sales_amount").alias("revenue"))
@@ -284,6 +289,7 @@ QUERIES: dict[str, Query] = {
     "product_region_totals": q_product_region_totals,
     "top_products_by_region": q_top_products_by_region,
     "top_n_per_group": q_top_n_per_group,
+    "top_products_row_number": q_top_products_row_number,
     "customer_segments": q_customer_segments,
     "payment_distribution": q_payment_distribution,
     "order_status_summary": q_order_status_summary,
