@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,8 +20,28 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ARROW_ROWS = 512
 
 
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once an application, for those that don't have it installed."""
+    if (app := spark.sparkContext.applicationId) in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="salesmart-code-"), "salesmart.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    z.write(file, os.path.relpath(file, os.path.dirname(top)))
+    spark.sparkContext.addPyFile(path)     # Spark's own file server hands it to the executors
+    _shipped.add(app)
+
+
 def prepare(spark: SparkSession) -> None:
     """Session settings that bound a Python worker's memory and keep joins safe under skew."""
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -2,4 +2,15 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+EXACT_DEDUP = """
+WITH d AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h
+  FROM documents),
+g AS (SELECT h, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY h)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, h AS text_sha256
+FROM d JOIN g USING (h)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_exact_dedup": EXACT_DEDUP,
+}

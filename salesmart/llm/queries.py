@@ -6,16 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bpe
+from salesmart.llm import bpe, exact, simhash
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op3_simhash": op3_simhash,
     "op10_bpe": op10_bpe,
 }
