@@ -87,7 +87,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     """One Arrow batch in, one out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return map(fn, batches)
-    return df.mapInArrow(run, schema)
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns)))).mapInArrow(run, schema)
 
 
 def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
