@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bpe, exact, sharding, simhash, warc
+from salesmart.llm import bpe, exact, pii, sharding, simhash, warc
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digests(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_simhash": op3_simhash,
     "op5_warc": op5_warc,
+    "op6_pii": op6_pii,
     "op7_sharding": op7_sharding,
     "op10_bpe": op10_bpe,
 }

@@ -1,0 +1,78 @@
+import hashlib
+import re
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from salesmart.llm.common import table
+from salesmart.llm.pii import find_pii, pii_digests
+
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def passes(kind, value):
+    d = [int(c) for c in value if "0" <= c <= "9"]
+    if kind == "ip":
+        return all(int(p) <= 255 for p in value.split("."))
+    if kind == "card":
+        return 13 <= len(d) <= 19 and sum(x if k % 2 == 0 else sum(divmod(2 * x, 10)) for k, x in enumerate(d[::-1])) % 10 == 0
+    return 9 <= len(d) <= 15 if kind == "phone" else True
+
+
+def brute(text):
+    return [(k, m.start(), m.end()) for k, p in BASE.items() for m in re.finditer(p, text or "") if passes(k, m[0])]
+
+
+def check(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii_digests(docs).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        want = brute(t)
+        places = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert got[i].base_sha256 == hashlib.sha256(places.encode()).hexdigest(), (t, got[i].spans, places)
+        assert [got[i][f"n_{k}"] for k in BASE] == [sum(w[0] == k for w in want) for k in BASE]
+        assert got[i].spans.startswith(places)
+
+
+def test_real_documents(spark):
+    rows = [r.text for r in table(spark, "/root/testdata/sf0.001", "documents").collect()]
+    check(spark, rows)
+
+
+def test_edges(spark):
+    check(spark, [
+        None, "", "a@b.c_d@e.f@g.h", "x@y", "@.", "a@b..c", "..a@-.-x", "1.2.3.4.5.6.7.8", "999.1.1.1 01.002.0003.255 256.1.1.1",
+        "99999999999999999999.1.1.1", "1.2.3. 4.5.6.7", "4111 1111 1111 1111", "4111-1111-1111-1111-", "4111  1111 1111 1111",
+        "+1 (499) 555-6503 x", "+1 (499) 555-6503.", "+1--2", "+12345678", "+1234567890123456", "é\U0001F600 a@b.de ü 1.2.3.4",
+        "+49 30 1234567 4111111111111111", "1.2.3.4@5.6", "a" * 50_000 + "@b.c", "7" * 100_000, "1.2.3.4 " * 3000, "+1 " * 20_000,
+    ])
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text("ab.@+-_ ()019é%", max_size=80), min_size=40, max_size=60))
+def test_random_texts(spark, texts):
+    check(spark, texts)
+
+
+@pytest.mark.parametrize("text, kinds", [
+    ("IBAN DE89 3704 0044 0532 0130 00 thanks", ["iban"]), ("GB82WEST12345698765432", ["iban"]), ("DE88370400440532013000", []),
+    ("ssn 123-45-6789", ["ssn"]), ("123-45-6789", []), ("ssn 000-45-6789", []),
+])
+def test_added_kinds(spark, text, kinds):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [s.kind for s in find_pii(docs).first().spans if s.kind in ("iban", "ssn")] == kinds
+
+
+def test_context_scores(spark):
+    docs = spark.createDataFrame([(1, "call me: +1 555 123 4567"), (2, "order +1 555 123 4567"), (3, "+1 555 123 4567")],
+                                 "doc_id long, text string")
+    score = {r.doc_id: r.spans[0].score for r in find_pii(docs).collect()}
+    assert score[1] > score[3] > score[2]
+
+
+def test_empty_table_and_other_columns(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, spans int, `a.b` string")
+    assert pii_digests(docs).count() == 0
