@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bpe, exact, pii, quality, sharding, simhash, toxicity, warc
+from salesmart.llm import bpe, decontaminate, exact, pii, quality, sharding, simhash, toxicity, warc
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op5_warc": op5_warc,
     "op6_pii": op6_pii,
     "op7_sharding": op7_sharding,
+    "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }
