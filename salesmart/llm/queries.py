@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bpe, decontaminate, exact, pii, quality, sharding, simhash, toxicity, warc
+from salesmart.llm import bpe, decontaminate, exact, pii, quality, sharding, simhash, tokencount, toxicity, warc
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_token_counts": op2_token_counts,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
     "op5_warc": op5_warc,
