@@ -84,14 +84,7 @@ def ascii_lower(text: Column) -> Column:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType) -> DataFrame:
-    """One Arrow batch in, one out."""
+    """One Arrow batch in, one out; the columns come as c0, c1, ... (a name with a dot would be taken for a field)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return map(fn, batches)
     return df.toDF(*(f"c{k}" for k in range(len(df.columns)))).mapInArrow(run, schema)
-
-
-def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` less the rows whose key is in ``dropped`` (one column, no nulls). Spark broadcasts
-    the keys only where their measured size is under its own limit."""
-    gone = dropped.select(F.col(dropped.columns[0]).alias("__llm_key"))
-    return docs.join(gone, docs[key] == gone["__llm_key"], "left_anti")

@@ -200,4 +200,4 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     """The rows of ``docs`` that hold no benchmark item, all columns. Rows that share a key are told apart by their text."""
     mine = docs.withColumn("__llm_row", F.concat_ws("/", F.coalesce(F.col(key).cast("string"), F.lit("")), F.xxhash64(whole(text))))
     gone = matches(mine, benchmark, "__llm_row", text).select(F.col("__llm_row").alias("gone")).distinct()
-    return mine.join(gone, mine["__llm_row"] == gone["gone"], "left_anti").select(*(mine[c] for c in docs.columns))
+    return mine.join(gone, mine["__llm_row"] == gone["gone"], "left_anti").drop("__llm_row")

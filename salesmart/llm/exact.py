@@ -193,7 +193,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     if not again.isEmpty():      # of repeated rows, one
         once = mine.join(again, same(again), "left_semi").dropDuplicates(["__llm_id", "__llm_digest"])
         kept = kept.join(again, same(again), "left_anti").unionByName(once)
-    return kept.select(*(kept[c] for c in docs.columns))
+    return kept.drop("__llm_id", "__llm_digest")
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:

@@ -248,13 +248,13 @@ def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """The rows of ``docs`` that the scorer accepts, all columns."""
     model = fit(docs, key, text)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    columns = docs.columns
+    at = docs.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for t in batch.column(columns.index(text)).to_pylist():
-                _, features, n = _table().read(t or "")
-                keep.append(sent.value.score(features, n) >= 0.5)
-            yield batch.filter(pa.array(keep, pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for t in batch.column(at).to_pylist():
+            _, features, n = _table().read(t or "")
+            keep.append(sent.value.score(features, n) >= 0.5)
+        return batch.filter(pa.array(keep, pa.bool_()))
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    return arrow_map(docs, run, docs.toDF(*names).schema).toDF(*docs.columns)

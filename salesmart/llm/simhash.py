@@ -190,7 +190,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     mine = docs.withColumn("__llm_row", F.struct(F.col(key).alias("id"), F.xxhash64(whole(text)).alias("hash")))
     found = near_duplicates(mine, "__llm_row", text, shingle, distance)
     gone = found.filter(F.col("__llm_row") != F.col("component_id")).select(F.col("__llm_row").alias("gone")).distinct()
-    return mine.join(gone, mine["__llm_row"] == gone["gone"], "left_anti").select(*(mine[c] for c in docs.columns))
+    return mine.join(gone, mine["__llm_row"] == gone["gone"], "left_anti").drop("__llm_row")
 
 
 def simhash_components(docs: DataFrame) -> DataFrame:

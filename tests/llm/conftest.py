@@ -1,0 +1,8 @@
+import pytest
+
+from salesmart.llm.common import prepare
+
+
+@pytest.fixture(scope="session", autouse=True)
+def _ready(spark):
+    prepare(spark)
