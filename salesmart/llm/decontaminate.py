@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import shared, whole
 
 WINDOW = 5
-LITERALS = 3
+LITERALS = 2
 COVERAGE = 0.8
 MAX_SENT = 2_000_000       # benchmark windows (8 bytes each) that every task is sent
 CACHED_WORDS = 200_000
