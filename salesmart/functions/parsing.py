@@ -7,12 +7,13 @@ instead, so every conversion here is a ``try_`` form.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from salesmart.schema import DATE_FORMATS, FRACTION, MONEY
+from salesmart.schema import DATE_FORMATS, MONEY
 
 
 def _col(c) -> Column:
@@ -24,22 +25,38 @@ def standardize(c) -> Column:
     return F.nullif(F.trim(_col(c)), F.lit(""))
 
 
+# digits with an optional sign and fraction: what the lenient text-to-integer cast reads
+PLAIN_NUMBER = r"^[\x00-\x20]*[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)[\x00-\x20]*$"
+
+
 def lenient_int(c) -> Column:
     """Text -> INT, truncating a fraction ('2.5' -> 2) as the lenient cast did.
 
-    Non-finite or out-of-range numbers give NULL.
+    Exponents, type suffixes ('1e2', '5D'), non-finite and out-of-range numbers give NULL.
     """
+    return F.when(_col(c).rlike(PLAIN_NUMBER), _col(c).try_cast("double").try_cast("int"))
+
+
+def finite(c) -> Column:
+    """Text -> DOUBLE; text that is no number, 'NaN' and 'Infinity' give NULL."""
     d = _col(c).try_cast("double")
-    return F.when(F.abs(d) < F.lit(float("inf")), d.try_cast("int"))
+    return F.when(F.abs(d) < F.lit(float("inf")), d)
 
 
 def money(c, dtype=MONEY) -> Column:
-    """Text -> exact DECIMAL; 'abc', 'NaN', 'Infinity' and overflow give NULL."""
-    return _col(c).try_cast(dtype)
+    """Text -> exact DECIMAL; NULL for text that is no finite number, and for one that ``dtype`` can't hold."""
+    return F.coalesce(_col(c).try_cast(dtype), finite(c).try_cast(dtype))
+
 
+def unrepresentable(cols: Sequence[str], dtype=MONEY) -> Column:
+    """Whether any of the texts is a finite number with more integer digits than ``dtype`` holds.
 
-def fraction(c) -> Column:
-    return money(c, FRACTION)
+    One small lambda over an array: five more casts spelled out would take the cleaning projection
+    past the size that Java compiles.
+    """
+    limit = 10.0 ** (dtype.precision - dtype.scale)
+    return F.coalesce(F.exists(F.array(*cols), lambda c: F.abs(c.try_cast("double")).between(limit, sys.float_info.max)),
+                      F.lit(False))
 
 
 def layout_regex(fmt: str) -> str:

@@ -1,8 +1,8 @@
 """Stage 1: raw text -> tagged rows -> cleaned fact and quarantine.
 
 One pass tags every raw row with exactly one quality class, so that
-``raw = clean + duplicates + missing_required_field + invalid_numeric + unparseable_numeric``
-always holds (the original lost rows whose numbers did not parse). Every step is row-local
+``raw = clean + duplicates + missing_required_field + invalid_numeric + unparseable_numeric +
+unrepresentable_amount`` always holds (the original lost rows whose numbers did not parse). Every step is row-local
 except ``dedup_latest``, which shuffles by the natural key.
 """
 
@@ -17,15 +17,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.functions.parsing import fraction, lenient_int, money, parse_date, standardize
+from salesmart.functions.parsing import (
+    finite, lenient_int, money, parse_date, standardize, unrepresentable,
+)
 from salesmart.operators.windows import dedup_latest
 from salesmart.schema import (
     DATE_COLUMNS, DEDUP_KEY, FLAG_MISMATCH, FLAG_OK, INVALID_NUMERIC, MISMATCH_TOLERANCE,
-    FRACTION, MISSING_REQUIRED, MONEY_COLUMNS, QUALITY_OK, QUARANTINE_COLUMNS, REQUIRED_FIELDS,
-    UNPARSEABLE_NUMERIC,
+    MISSING_REQUIRED, MONEY, MONEY_COLUMNS, QUALITY_OK, QUARANTINE_COLUMNS, REQUIRED_FIELDS,
+    UNPARSEABLE_NUMERIC, UNREPRESENTABLE_AMOUNT,
 )
 
 QUALITY = "quality"
+AMOUNTS = ("discount", *MONEY_COLUMNS)
 
 
 def _string_columns(df: DataFrame) -> list[str]:
@@ -65,8 +68,8 @@ def missing_required(df: DataFrame, fields: Sequence[str] = REQUIRED_FIELDS) ->
 
 
 def cast_numeric(df: DataFrame) -> DataFrame:
-    """Quantity -> INT (fraction truncated), money -> DECIMAL(18,4), discount -> DECIMAL(6,4)."""
-    conv = {"quantity": lenient_int, "discount": fraction, **{c: money for c in MONEY_COLUMNS}}
+    """Quantity -> INT (fraction truncated), money -> DECIMAL(24,6), discount too."""
+    conv = {"quantity": lenient_int, **{c: money for c in AMOUNTS}}
     return df.select([conv[c](c).alias(c) if c in conv else F.col(c) for c in df.columns])
 
 
@@ -102,10 +105,9 @@ def unparseable_numeric(df: DataFrame) -> DataFrame:
 
 def recalc_sales(df: DataFrame) -> DataFrame:
     """P5: ``sales_amount_calc = round(quantity * unit_price * (1 - coalesce(discount, 0)), 2)``."""
-    # typed literals keep the product within DECIMAL(38) without precision loss
-    calc = F.round(F.col("quantity") * F.col("unit_price")
-                   * (F.lit(Decimal(1)) - F.coalesce(F.col("discount"), F.lit(Decimal(0)).cast(FRACTION))), 2)
-    return df.withColumn("sales_amount_calc", calc)
+    # the product keeps six decimals before it is rounded to cents; one that DECIMAL(38) can't hold is NULL
+    share = F.lit(Decimal(1)) - F.coalesce(F.col("discount"), F.lit(Decimal(0)).cast(MONEY))
+    return df.withColumn("sales_amount_calc", F.round(F.try_multiply(F.col("quantity") * F.col("unit_price"), share), 2))
 
 
 def flag_sales(df: DataFrame, tol: str = MISMATCH_TOLERANCE) -> DataFrame:
@@ -115,7 +117,7 @@ def flag_sales(df: DataFrame, tol: str = MISMATCH_TOLERANCE) -> DataFrame:
     gives OK, exactly as the ratio form does under NULL-on-divide-by-zero.
     """
     calc = F.col("sales_amount_calc")
-    bad = (calc > 0) & (F.abs(F.col("sales_amount") - calc) > calc * F.lit(tol).cast("decimal(10,4)"))
+    bad = (calc > 0) & (F.abs(F.col("sales_amount") - calc) > F.try_multiply(calc, F.lit(tol).cast("decimal(10,4)")))
     return df.withColumn("sales_amount_flag", F.when(bad, F.lit(FLAG_MISMATCH)).otherwise(F.lit(FLAG_OK)))
 
 
@@ -138,12 +140,14 @@ def quality_expr(has_required: Column | None = None) -> Column:
     """P10: the quality class of a standardized text row (one ``when`` chain).
 
     Required fields are checked on the text, before parsing, as the original did: an
-    unparseable date keeps its row (undated) while an unparseable number is tagged.
+    unparseable date keeps its row (undated) while an unparseable number is tagged. Signs are
+    judged on the number as written, not on what the stored type keeps of it.
     """
     has_required = required() if has_required is None else has_required
-    q, p = lenient_int("quantity"), money("unit_price")
+    q, p = lenient_int("quantity"), finite("unit_price")
     return (F.when(~has_required, F.lit(MISSING_REQUIRED))
             .when((q <= 0) | (p <= 0), F.lit(INVALID_NUMERIC))
+            .when((q > 0) & (p > 0) & unrepresentable(AMOUNTS), F.lit(UNREPRESENTABLE_AMOUNT))
             .when((q > 0) & (p > 0), F.lit(QUALITY_OK))
             .otherwise(F.lit(UNPARSEABLE_NUMERIC)))
 

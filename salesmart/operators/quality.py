@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from salesmart.schema import INVALID_NUMERIC, MISSING_REQUIRED, QUALITY_OK, UNPARSEABLE_NUMERIC
+from salesmart.schema import INVALID_NUMERIC, MISSING_REQUIRED, QUALITY_OK, UNPARSEABLE_NUMERIC, UNREPRESENTABLE_AMOUNT
 
-QUALITY_CLASSES = (MISSING_REQUIRED, INVALID_NUMERIC, UNPARSEABLE_NUMERIC, QUALITY_OK)
+QUALITY_CLASSES = (MISSING_REQUIRED, INVALID_NUMERIC, UNPARSEABLE_NUMERIC, UNREPRESENTABLE_AMOUNT, QUALITY_OK)
 
 
 def quality_metrics():

@@ -56,29 +56,38 @@ def _date(c: str) -> str:
 
 
 def _int(c: str) -> str:
-    d = f"TRY_CAST({c} AS DOUBLE)"
-    return f"CASE WHEN abs({d}) < 'inf'::DOUBLE THEN TRY_CAST(trunc({d}) AS INTEGER) END"
+    return (f"CASE WHEN regexp_full_match({c}, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)') "
+            f"THEN TRY_CAST(trunc(TRY_CAST({c} AS DOUBLE)) AS INTEGER) END")
 
 
-def _money(c: str, t: str = "DECIMAL(18,4)") -> str:
-    return f"TRY_CAST({c} AS {t})"
+def _finite(c: str) -> str:
+    return f"CASE WHEN abs(TRY_CAST({c} AS DOUBLE)) < 'inf'::DOUBLE THEN TRY_CAST({c} AS DOUBLE) END"
+
+
+def _money(c: str) -> str:
+    """Wider than the amounts that pass the size rule."""
+    return f"CASE WHEN abs(TRY_CAST({c} AS DOUBLE)) < 1e18 THEN TRY_CAST({c} AS DECIMAL(38,10)) END"
 
 
 _TYPED = {
     "quantity": _int("quantity"),
     "unit_price": _money("unit_price"),
-    "discount": _money("discount", "DECIMAL(6,4)"),
+    "discount": _money("discount"),
     "sales_amount": _money("sales_amount"),
     "profit": _money("profit"),
     "shipping_cost": _money("shipping_cost"),
 }
 _DATES = {"order_date": _date("order_date"), "ship_date": _date("ship_date")}
 
+# amounts from 1e18 on have an own reason
+_TOO_LARGE = " OR ".join(f"coalesce(abs({_finite(c)}) >= 1e18, FALSE)"
+                         for c in ("unit_price", "discount", "sales_amount", "profit", "shipping_cost"))
 _REQ = " AND ".join(f"{c} IS NOT NULL" for c in REQUIRED_FIELDS)
 _QUALITY = (
     f"CASE WHEN NOT ({_REQ}) THEN 'missing_required_field' "
-    f"WHEN {_TYPED['quantity']} <= 0 OR {_TYPED['unit_price']} <= 0 THEN 'invalid_numeric' "
-    f"WHEN {_TYPED['quantity']} > 0 AND {_TYPED['unit_price']} > 0 THEN 'ok' "
+    f"WHEN {_TYPED['quantity']} <= 0 OR {_finite('unit_price')} <= 0 THEN 'invalid_numeric' "
+    f"WHEN {_TYPED['quantity']} > 0 AND {_finite('unit_price')} > 0 AND ({_TOO_LARGE}) THEN 'unrepresentable_amount' "
+    f"WHEN {_TYPED['quantity']} > 0 AND {_finite('unit_price')} > 0 THEN 'ok' "
     f"ELSE 'unparseable_numeric' END"
 )
 
@@ -130,11 +139,13 @@ raw AS (
          country,
          CASE WHEN h = 4 THEN 'not-a-date' WHEN h = 9 THEN '2001-1-5' ELSE {_render('order_ts')} END AS order_date,
          {_render('ship_ts')} AS ship_date,
-         CASE WHEN h = 2 THEN '-5' WHEN h = 5 THEN '0' WHEN h = 12 THEN '2.5' ELSE CAST(quantity AS VARCHAR) END AS quantity,
-         CASE WHEN h = 3 THEN 'abc' WHEN h = 10 THEN 'NaN' ELSE CAST(unit_price AS VARCHAR) END AS unit_price,
-         CASE WHEN h = 6 THEN '' ELSE CAST(discount AS VARCHAR) END AS discount,
+         CASE WHEN h = 2 THEN '-5' WHEN h = 5 THEN '0' WHEN h = 12 THEN '2.5'
+              WHEN h = 18 THEN '1e2' WHEN h = 19 THEN '5D' ELSE CAST(quantity AS VARCHAR) END AS quantity,
+         CASE WHEN h = 3 THEN 'abc' WHEN h = 10 THEN 'NaN' WHEN h = 15 THEN '0.00004'
+              WHEN h = 16 THEN '1e15' WHEN h = 20 THEN '1e20' ELSE CAST(unit_price AS VARCHAR) END AS unit_price,
+         CASE WHEN h = 6 THEN '' WHEN h = 13 THEN '100' WHEN h = 14 THEN '150' ELSE CAST(discount AS VARCHAR) END AS discount,
          CASE WHEN h = 7 THEN CAST(CAST(round(sales_amount * 1.10, 2) AS DECIMAL(18,2)) AS VARCHAR)
-              ELSE CAST(sales_amount AS VARCHAR) END AS sales_amount,
+              WHEN h = 17 THEN '1e15' ELSE CAST(sales_amount AS VARCHAR) END AS sales_amount,
          CAST(profit AS VARCHAR) AS profit,
          CAST(shipping_cost AS VARCHAR) AS shipping_cost,
          payment_method, status, l_linenumber, l_suppkey
@@ -150,8 +161,8 @@ tagged0 AS (
   FROM std
 ),
 tagged1 AS (
-  SELECT *, round(CAST(quantity AS DECIMAL(10,0)) * unit_price
-                  * CAST(1 - coalesce(discount, 0) AS DECIMAL(7,4)), 2) AS sales_amount_calc
+  SELECT *, round(CAST(quantity AS DECIMAL(10,0)) * CAST(unit_price AS DECIMAL(24,6))
+                  * CAST(1 - coalesce(discount, 0) AS DECIMAL(24,6)), 2) AS sales_amount_calc
   FROM tagged0
 ),
 tagged AS (
@@ -350,12 +361,13 @@ ORACLE: dict[str, str] = {
     "reconciliation_summary": with_base(
         "SELECT sales_amount_flag, count(*) AS row_count FROM clean GROUP BY sales_amount_flag"),
     "run_metrics": with_base("""
-SELECT t.raw_rows, t.missing_required_field, t.invalid_numeric, t.unparseable_numeric, t.valid_rows,
+SELECT t.raw_rows, t.missing_required_field, t.invalid_numeric, t.unparseable_numeric, t.unrepresentable_amount, t.valid_rows,
        c.clean_rows, c.undated_rows, t.valid_rows - c.clean_rows AS duplicates_dropped
 FROM (SELECT count(*) AS raw_rows,
              count(*) FILTER (WHERE quality = 'missing_required_field') AS missing_required_field,
              count(*) FILTER (WHERE quality = 'invalid_numeric') AS invalid_numeric,
              count(*) FILTER (WHERE quality = 'unparseable_numeric') AS unparseable_numeric,
+             count(*) FILTER (WHERE quality = 'unrepresentable_amount') AS unrepresentable_amount,
              count(*) FILTER (WHERE quality = 'ok') AS valid_rows FROM tagged) t,
      (SELECT count(*) AS clean_rows, count(*) FILTER (WHERE order_date IS NULL) AS undated_rows FROM clean) c"""),
     # stage 2

@@ -35,6 +35,7 @@ QUALITY_OK = "ok"
 MISSING_REQUIRED = "missing_required_field"
 INVALID_NUMERIC = "invalid_numeric"
 UNPARSEABLE_NUMERIC = "unparseable_numeric"   # ours: rows the original lost silently
+UNREPRESENTABLE_AMOUNT = "unrepresentable_amount"   # ours: an amount of more digits than the stored types hold
 # customer value segments (lifetime value >= threshold) and recency status (days <= limit)
 HIGH_VALUE_MIN, MID_VALUE_MIN = 5000, 1000
 SEGMENT_HIGH, SEGMENT_MID, SEGMENT_LOW = "HIGH_VALUE", "MID_VALUE", "LOW_VALUE"
@@ -53,8 +54,8 @@ UNKNOWN_KEY = "UNKNOWN"
 # types (ours): exact decimals for money so that sums never depend on partitioning
 # ---------------------------------------------------------------------------
 
-MONEY = T.DecimalType(18, 4)        # parsed money text
-FRACTION = T.DecimalType(6, 4)      # parsed discount text
+# six decimals are kept; amounts from 1e18 on are tagged, never turned into NULL
+MONEY = T.DecimalType(24, 6)        # parsed money and discount text
 TOTAL = T.DecimalType(38, 2)        # rounded money totals stored in KPI tables
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])

@@ -107,8 +107,9 @@ def raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .when(h == 9, F.lit("2001-1-5"))
                   .otherwise(_render_date(F.col("order_date"), h)))
     quantity = (F.when(h == 2, F.lit("-5")).when(h == 5, F.lit("0")).when(h == 12, F.lit("2.5"))
-                .otherwise(txt("quantity")))
-    unit_price = F.when(h == 3, F.lit("abc")).when(h == 10, F.lit("NaN")).otherwise(txt("unit_price"))
+                .when(h == 18, F.lit("1e2")).when(h == 19, F.lit("5D")).otherwise(txt("quantity")))
+    unit_price = (F.when(h == 3, F.lit("abc")).when(h == 10, F.lit("NaN")).when(h == 15, F.lit("0.00004"))
+                  .when(h == 16, F.lit("1e15")).when(h == 20, F.lit("1e20")).otherwise(txt("unit_price")))
     inflated = F.round(F.col("sales_amount") * F.lit(Decimal("1.10")), 2).cast("decimal(18,2)").cast("string")
     return s.select(
         F.when(h == 0, F.lit("")).otherwise(F.col("order_id")).alias("order_id"),
@@ -123,8 +124,9 @@ def raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         _render_date(F.col("ship_date"), h).alias("ship_date"),
         quantity.alias("quantity"),
         unit_price.alias("unit_price"),
-        F.when(h == 6, F.lit("")).otherwise(txt("discount")).alias("discount"),
-        F.when(h == 7, inflated).otherwise(txt("sales_amount")).alias("sales_amount"),
+        F.when(h == 6, F.lit("")).when(h == 13, F.lit("100")).when(h == 14, F.lit("150"))
+         .otherwise(txt("discount")).alias("discount"),
+        F.when(h == 7, inflated).when(h == 17, F.lit("1e15")).otherwise(txt("sales_amount")).alias("sales_amount"),
         txt("profit").alias("profit"),
         txt("shipping_cost").alias("shipping_cost"),
         "payment_method",
