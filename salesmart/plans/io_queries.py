@@ -106,7 +106,8 @@ def q_manifest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
-    """I1 + I2: two ingest runs over two file drops; the result must equal the batch clean."""
+    """I1 + I2: two ingest runs over two file drops; the result must equal the batch job's table, its ``dt`` and
+    audit columns included."""
     from salesmart.streaming import ingest_available
     root = scratch_path(spark, "stream")
     raw = Q.raw(spark, d).withColumn("dt", drop_of())
@@ -114,7 +115,7 @@ def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     for day in DROPS:
         write_raw_csv(raw.filter(F.col("dt") == day).drop("dt"), f"{inbox}/dt={day}", partition_by_dt=False)
         ingest_available(spark, inbox, cleaned, quar, ckpt, schema=FIXTURE_RAW_SCHEMA, run_ts=Q.RUN_TS,
-                         ties=FIXTURE_TIES)
+                         job=Q.JOB, ties=FIXTURE_TIES)
     return spark.read.parquet(cleaned)
 
 

@@ -8,7 +8,7 @@ shortest decimal text).
 
 from __future__ import annotations
 
-from salesmart.plans.queries import ACTIVE, AS_OF, AT_RISK, HIGH, MID, RUN_ID, RUN_TS
+from salesmart.plans.queries import ACTIVE, AS_OF, AT_RISK, HIGH, JOB, MID, RUN_ID, RUN_TS
 from salesmart.schema import RAW_COLUMNS, REQUIRED_FIELDS
 
 LINEAGE = ("l_linenumber", "l_suppkey")
@@ -325,6 +325,7 @@ def _with(select: str, *ctes: str) -> str:
 
 
 _DT = "CASE WHEN l_suppkey % 2 = 0 THEN DATE '2001-08-01' ELSE DATE '2001-08-02' END"
+_AUDIT = f"'{JOB}' AS etl_job, TIMESTAMP '{_RUN_TS}' AS etl_processed_at"
 _COUNTS = ("(SELECT count(*) FROM b2)", "(SELECT count(*) FROM b3)", "(SELECT count(*) FROM a3)",
            "(SELECT count(*) FROM a4)", "(SELECT count(*) FROM b5)", "(SELECT count(*) FROM b7)",
            "(SELECT count(*) FROM b8)")
@@ -438,7 +439,7 @@ SELECT (SELECT count(*) FROM b2) AS regional_rows, (SELECT count(*) FROM b3) AS
     # I/O, report, incremental
     "raw_scan": with_base(f"SELECT *, {_DT} AS dt FROM std"),
     "cleaned_scan": with_base(f"SELECT {_CLEAN_EDGE}, year, month FROM clean"),
-    "stream_ingest": with_base(f"SELECT {_CLEAN_EDGE}, year, month FROM clean"),
+    "stream_ingest": with_base(f"SELECT {_CLEAN_EDGE}, year, month, {_DT} AS dt, {_AUDIT} FROM clean"),
     "top_products_nested": _with("""
 SELECT coalesce(region, 'UNKNOWN') AS region, count(*) AS product_count,
        min(product_id) FILTER (WHERE rank_in_region = 1) AS first_product

@@ -13,8 +13,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.functions.dims import broadcast_if_bounded
-
 FIXTURE_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part")
 # extra lineage columns kept in the raw view (deterministic dedup tie-break)
 LINEAGE_COLUMNS = ("l_linenumber", "l_suppkey")
@@ -42,10 +40,14 @@ def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = _read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     part = _read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_retailprice")
 
-    # nation x region is tiny: broadcast it to the customer join only after counting it
+    # joins drop rows without a key before they are dealt by it (a null key would gather in one task)
+    li = li.dropna(subset=["l_orderkey", "l_partkey"])
+    orders, customer = orders.dropna(subset=["o_orderkey", "o_custkey"]), customer.dropna(subset=["c_custkey", "c_nationkey"])
+    part = part.dropna(subset=["p_partkey"])
+    # nation x region is tiny: Catalyst broadcasts it by its size
     geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     geo = geo.select("n_nationkey", "n_name", "r_name")
-    cust = customer.join(broadcast_if_bounded(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+    cust = customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     cust = cust.select("c_custkey", "n_name", "r_name")
     ords = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
     # fact-to-fact join: both sides grow with the data, so shuffle both on the order key

@@ -21,7 +21,7 @@ def test_stream_equals_batch_with_late_versions(spark, tmp_dir):
     inbox, out, quar, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/cleaned", f"{tmp_dir}/q", f"{tmp_dir}/ckpt"
     drops = [raw.filter(F.col("dt") == d).drop("dt") for d in DROPS] + [late]
     for i, d in enumerate(drops):
-        write_raw_csv(d.coalesce(1), f"{inbox}/dt=drop{i}", partition_by_dt=False)
+        write_raw_csv(d.coalesce(1), f"{inbox}/dt=2001-08-0{i + 1}", partition_by_dt=False)
         ingest_available(spark, inbox, out, quar, ckpt, schema=FIXTURE_RAW_SCHEMA, ties=FIXTURE_TIES,
                          max_files_per_trigger=1)
     # rerun over the same files: nothing new
