@@ -13,6 +13,7 @@ features; every row gives one row; texts are read whole; doc_id only chooses the
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,7 +57,8 @@ def hashed(name: str) -> int:
 
 
 class Words(dict):
-    """Rows of statistics and shapes by word; bounded between texts."""
+    """Numbers of words, and each number's profile: what the statistics and shapes need to know of a word. Few
+    words differ in profile. Bounded between texts."""
 
     def __init__(self):
         super().__init__()
@@ -64,38 +66,67 @@ class Words(dict):
 
     def clear(self) -> None:
         super().clear()
+        self.of_word, self.profiles = array("i"), {}
         self.rows = np.zeros((1024, len(STATISTICS)), np.float32)
         self.shapes = np.zeros(1024, np.int64)
 
     def __missing__(self, word: str) -> int:
+        body, end, n = word[:-1], word[-1], len(word)
+        if word.isalpha() and word.islower():
+            profile = (False, False, False, False, word in FUNCTION_WORDS, n, n, "a")
+        elif end in ".," and body.isalpha() and body.islower():
+            profile = (False, False, False, False, body in FUNCTION_WORDS, n - 1, n, "a" + end)
+        else:
+            profile = self._profile(word)
+        which = self.profiles.get(profile)
+        if which is None:
+            which = self.profiles[profile] = len(self.profiles)
+            if which == len(self.rows):
+                self.rows, self.shapes = np.concatenate([self.rows, self.rows]), np.concatenate([self.shapes, self.shapes])
+            self.rows[which], self.shapes[which] = profile[:-1], hashed(profile[-1])
+        self.of_word.append(which)
         at = self[word] = len(self)
-        if at == len(self.rows):
-            self.rows, self.shapes = np.concatenate([self.rows, self.rows]), np.concatenate([self.shapes, self.shapes])
-        letters = sum(map(str.isalpha, word))
-        upper = sum(map(str.isupper, word))
-        lone = _SIGN.fullmatch(word) is not None
-        self.rows[at] = (not lone and _MARK.search(word) is not None, lone, letters > 1 and upper == letters, "!!" in word,
-                         word.lower().strip(".,;:!?") in FUNCTION_WORDS, sum(map(str.isalnum, word)), len(word))
-        self.shapes[at] = hashed(shape(word))
         return at
 
-    def read(self, text: str) -> tuple[dict[str, float], np.ndarray, int]:
-        """Statistics, hashed features (token shapes, then pairs of shapes) and number of words."""
+    @staticmethod
+    def _profile(word: str) -> tuple:
+        letters, upper = sum(map(str.isalpha, word)), sum(map(str.isupper, word))
+        lone = _SIGN.fullmatch(word) is not None
+        return (not lone and _MARK.search(word) is not None, lone, letters > 1 and upper == letters, "!!" in word,
+                word.lower().strip(".,;:!?") in FUNCTION_WORDS, sum(map(str.isalnum, word)), len(word), shape(word))
+
+    def read(self, text: str) -> "Text":
         if len(self) > CACHED_WORDS:
             self.clear()
         words = text.split()
-        n = len(words)
-        if not n:
-            return {}, np.zeros(0, np.int64), 0
-        at = np.fromiter(map(self.__getitem__, words), np.int64, n)
-        total = self.rows[at].sum(0, dtype=np.float64)
-        values = dict(zip(STATISTICS, total, strict=True))
-        same = np.r_[False, at[1:] == at[:-1]]
-        stats = {k: values[k] / n for k in ("marked", "lone", "capitals", "shouts", "function")}
-        stats |= {"repeats": same.mean(), "plain": values["n_alphanumeric"] / values["n_characters"],
-                  "types": len(np.unique(at)) / min(n, 200 + 0.2 * n)}      # long texts have fewer types to a word
-        shapes = np.where(same, REPEATED, self.shapes[at])
-        return stats, np.r_[shapes, (shapes[1:] * 31 + shapes[:-1] * 17 + 7) % DIMENSIONS], n
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        which = np.frombuffer(self.of_word, np.int32)[at] if words else at
+        same = at[1:] == at[:-1]
+        return Text(self, words, which, same)
+
+
+class Text:
+    """One text's words as their profiles."""
+
+    def __init__(self, table: Words, words: list[str], which: np.ndarray, same: np.ndarray):
+        self.table, self.words, self.n, self.which, self.same = table, words, len(words), which, same
+
+    def statistics(self) -> dict[str, float]:
+        if not self.n:
+            return {}
+        total = dict(zip(STATISTICS, self.table.rows[self.which].sum(0, dtype=np.float64), strict=True))
+        stats = {k: total[k] / self.n for k in ("marked", "lone", "capitals", "shouts", "function")}
+        return stats | {"repeats": self.same.sum() / self.n, "plain": total["n_alphanumeric"] / total["n_characters"],
+                        "types": len(set(self.words)) / min(self.n, 200 + 0.2 * self.n)}      # long texts have fewer types to a word
+
+    def features(self) -> np.ndarray:
+        """Hashed token shapes, then hashed pairs of neighbours."""
+        shapes = self.table.shapes[self.which]
+        shapes[1:][self.same] = REPEATED
+        return np.concatenate([shapes, (shapes[1:] * 31 + shapes[:-1] * 17 + 7) % DIMENSIONS])
+
+    def votes(self) -> int:
+        return votes(self.statistics(), self.n)
 
 
 REPEATED = hashed("=")
@@ -150,8 +181,8 @@ class Model:
     def __init__(self, accuracies: Accuracies, weights: np.ndarray, intercept: float):
         self.accuracies, self.weights, self.intercept = accuracies, weights, intercept
 
-    def score(self, found: np.ndarray, n: int) -> float:
-        x = self.intercept + (float(self.weights[found].sum()) / n if n else 0.0)
+    def score(self, text: Text) -> float:
+        x = self.intercept + (float(self.weights[text.features()].sum()) / text.n if text.n else 0.0)
         return float(1 / (1 + np.exp(-np.clip(x, -30, 30))))
 
 
@@ -170,8 +201,7 @@ def _patterns(texts: DataFrame) -> DataFrame:
         counts: dict[int, int] = {}
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                stats, _, n = _table().read(text)
-                p = votes(stats, n)
+                p = _table().read(text).votes()
                 counts[p] = counts.get(p, 0) + 1
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())],
                                          ["pattern", "n"])
@@ -202,11 +232,11 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = ([], [], [])
         for t in batch.column(0).to_pylist():
-            stats, features, n = _table().read(t)
-            which, times = np.unique(features, return_counts=True)
-            out[0].append(votes(stats, n))
+            text = _table().read(t)
+            which, times = np.unique(text.features(), return_counts=True)
+            out[0].append(text.votes())
             out[1].append(which.astype("<i4").tobytes())
-            out[2].append((times / max(n, 1)).astype("<f4").tobytes())
+            out[2].append((times / max(text.n, 1)).astype("<f4").tobytes())
         return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])],
                                           ["pattern", "which", "share"])
     few = F.pmod(F.xxhash64(key, whole(text)), F.lit(1 << 30)) < int(share * (1 << 30))
@@ -228,9 +258,9 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own, scores, patterns = sent.value, [], []
         for t in batch.column(1).to_pylist():
-            stats, features, n = _table().read(t)
-            scores.append(own.score(features, n))
-            patterns.append(votes(stats, n))
+            text = _table().read(t)
+            scores.append(own.score(text))
+            patterns.append(text.votes())
         posterior = own.accuracies.posterior(np.array(patterns, np.int64)) if patterns else []
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(posterior, pa.float64())],
                                           ["key", "score", "posterior"])
@@ -253,8 +283,7 @@ def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
         for t in batch.column(at).to_pylist():
-            _, features, n = _table().read(t or "")
-            keep.append(sent.value.score(features, n) >= 0.5)
+            keep.append(sent.value.score(_table().read(t or "")) >= 0.5)
         return batch.filter(pa.array(keep, pa.bool_()))
     names = [f"c{k}" for k in range(len(docs.columns))]
     return arrow_map(docs, run, docs.toDF(*names).schema).toDF(*docs.columns)
