@@ -152,6 +152,19 @@ def overall_kpi(sales: DataFrame) -> DataFrame:
 # exact variants
 # ---------------------------------------------------------------------------
 
+def per_order(sales: DataFrame, *keys: str) -> DataFrame:
+    """Sums and counts of each order at the finest grain: grouping sets then expand these, not the lines."""
+    return sales.groupBy(*keys, "order_id").agg(
+        F.sum("sales_amount").alias("amount"), F.count("sales_amount").alias("amounts"), F.sum("profit").alias("gain"),
+        F.sum("quantity").alias("units"), F.sum("discount").alias("share"), F.count("discount").alias("shares"))
+
+
+def _order_block():
+    """``_money_block`` over ``per_order`` rows."""
+    return [total2("amount").alias("total_revenue"), total2("gain").alias("total_profit"),
+            F.sum("units").alias("total_units_sold"), F.count_distinct("order_id").alias("total_orders")]
+
+
 def regional_grouping_sets(sales: DataFrame) -> DataFrame:
     """Month, region/country, region and grand-total grains in one pass.
 
@@ -159,24 +172,24 @@ def regional_grouping_sets(sales: DataFrame) -> DataFrame:
     ``revenue_per_order`` is revenue / distinct orders. ``grain`` = ``grouping_id()``.
     """
     sets = [["region", "country", "year", "month"], ["region", "country"], ["region"], []]
-    return sales.groupingSets(sets, "region", "country", "year", "month").agg(
-        F.grouping_id().alias("grain"),
-        *_money_block(),
-        mean2("sales_amount").alias("avg_order_value"),
-        ratio_pct(F.sum("profit"), F.sum("sales_amount")).alias("profit_margin_pct"),
-        F.round(ratio(F.sum("sales_amount"), F.count_distinct("order_id")), 2).alias("revenue_per_order"),
-    )
+    return per_order(sales, "region", "country", "year", "month") \
+        .groupingSets(sets, "region", "country", "year", "month").agg(
+            F.grouping_id().alias("grain"),
+            *_order_block(),
+            F.round(F.try_divide(F.sum("amount").cast("double"), F.sum("amounts")), 2).alias("avg_order_value"),
+            ratio_pct(F.sum("gain"), F.sum("amount")).alias("profit_margin_pct"),
+            F.round(ratio(F.sum("amount"), F.count_distinct("order_id")), 2).alias("revenue_per_order"),
+        )
 
 
 def category_rollup(sales: DataFrame) -> DataFrame:
     """Category hierarchy totals (category/sub-category, category, all) in one pass."""
-    return sales.rollup("category", "sub_category").agg(
+    return per_order(sales, "category", "sub_category").rollup("category", "sub_category").agg(
         F.grouping_id().alias("grain"),
-        *_money_block(),
-        F.round(F.try_divide(F.sum("discount").cast("double"), F.count("discount")) * 100, 2)
-         .alias("avg_discount_pct"),
-        ratio_pct(F.sum("profit"), F.sum("sales_amount")).alias("profit_margin_pct"),
-        F.round(ratio(F.sum("sales_amount"), F.count_distinct("order_id")), 2).alias("revenue_per_order"),
+        *_order_block(),
+        F.round(F.try_divide(F.sum("share").cast("double"), F.sum("shares")) * 100, 2).alias("avg_discount_pct"),
+        ratio_pct(F.sum("gain"), F.sum("amount")).alias("profit_margin_pct"),
+        F.round(ratio(F.sum("amount"), F.count_distinct("order_id")), 2).alias("revenue_per_order"),
     )
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from salesmart.schema import INVALID_NUMERIC, MISSING_REQUIRED, QUALITY_OK, UNPARSEABLE_NUMERIC, UNREPRESENTABLE_AMOUNT
+from salesmart.schema import DEDUP_KEY, INVALID_NUMERIC, MISSING_REQUIRED, QUALITY_OK, UNPARSEABLE_NUMERIC, UNREPRESENTABLE_AMOUNT
 
 QUALITY_CLASSES = (MISSING_REQUIRED, INVALID_NUMERIC, UNPARSEABLE_NUMERIC, UNREPRESENTABLE_AMOUNT, QUALITY_OK)
 
@@ -22,19 +24,19 @@ def observe_quality(tagged: DataFrame, name: str = "quality") -> tuple[DataFrame
     return tagged.observe(obs, *quality_metrics()), obs
 
 
-def run_metrics(tagged: DataFrame, cleaned: DataFrame) -> DataFrame:
+def run_metrics(tagged: DataFrame, key: Sequence[str] = DEDUP_KEY) -> DataFrame:
     """V1 as a query: raw, per-class, clean, dropped duplicates and undated rows, one row.
 
-    Two independent aggregates (tagged rows; cleaned rows) combined by a union and one
-    more aggregate, no cross join.
+    One pass over the class, the key and the date: a key's cleaned row is undated only if
+    every valid version is, since undated versions rank last.
     """
-    t = tagged.agg(*quality_metrics()).select("*", *[F.lit(None).cast("bigint").alias(c)
-                                                     for c in ("clean_rows", "undated_rows")])
-    c = cleaned.agg(F.count(F.lit(1)).alias("clean_rows"),
-                    F.count_if(F.col("order_date").isNull()).alias("undated_rows"))
-    u = t.unionByName(c, allowMissingColumns=True)
-    cols = [F.max(x).alias(x) for x in t.columns]
-    out = u.agg(*cols)
+    per_key = tagged.groupBy("quality", *key).agg(F.count(F.lit(1)).alias("n"), F.max("order_date").alias("latest"))
+    of = lambda c: F.coalesce(F.sum(F.when(F.col("quality") == c, F.col("n"))), F.lit(0))
+    ok = F.col("quality") == QUALITY_OK
+    out = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("raw_rows"),
+        *[of(c).alias(c if c != QUALITY_OK else "valid_rows") for c in QUALITY_CLASSES],
+        F.count_if(ok).alias("clean_rows"), F.count_if(ok & F.col("latest").isNull()).alias("undated_rows"))
     return out.withColumn("duplicates_dropped", F.col("valid_rows") - F.col("clean_rows"))
 
 
@@ -50,13 +52,15 @@ def verify_report(spark, base: str, run_date) -> DataFrame:
     """
     prefix = f"{base.rstrip('/')}/consolidated/{run_date:%Y/%m/%d}"
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "part-*").load(prefix).select("path", "length"))
-    found = files.filter(F.col("path").contains("/etl_report_"))
-    if found.limit(1).count() == 0:
+             .option("pathGlobFilter", "etl_report_*.json").load(prefix).select("path", "length"))
+    if files.limit(1).count() == 0:
         raise FileNotFoundError(f"no consolidated report under {prefix}")
     docs = spark.read.option("multiLine", "true").json(f"{prefix}/etl_report_*.json")
     mans = spark.read.option("multiLine", "true").json(f"{prefix}/manifest_*.json")
     d = docs.select(F.col("metadata.run_id").alias("run_id"), F.col("metadata.record_counts").alias("report_counts"))
-    m = mans.select("run_id", "status", F.col("record_counts").alias("manifest_counts"))
-    return d.join(m, "run_id", "left").withColumn(
-        "counts_match", F.to_json("report_counts") == F.to_json("manifest_counts"))
+    m = mans.select("run_id", "status", "file_size_bytes", F.col("record_counts").alias("manifest_counts"))
+    sizes = files.select(F.regexp_extract("path", "etl_report_(.*)[.]json$", 1).alias("run_id"), "length")
+    return d.join(m, "run_id", "left").join(sizes, "run_id", "left").select(
+        "run_id", "report_counts", "status", "manifest_counts",
+        (F.to_json("report_counts") == F.to_json("manifest_counts")).alias("counts_match"),
+        (F.col("length") == F.col("file_size_bytes")).alias("size_matches"))

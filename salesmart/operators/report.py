@@ -1,7 +1,7 @@
 """Report assembly (N1-N4): the KPI sections as one nested row, built on the executors.
 
-Every section is bounded by dimension sizes (regions x countries, months x regions, ten
-products per region, ...), never by fact rows. The sections are stacked with one
+Every section is bounded by dimension sizes (regions x countries, months x regions, the
+products that rank among the first ten of a region, ties included), never by fact rows. The sections are stacked with one
 ``unionByName`` (each row carries exactly one section) and folded by a single global
 aggregate into one row: no driver loop, no ``collect``, no cross join.
 """
@@ -137,12 +137,13 @@ def report_sections(report: DataFrame) -> DataFrame:
         for field, sec in RECORD_COUNT_FIELDS.items()])))
 
 
-def manifest(report: DataFrame, run_id: str, run_ts, output_path: str, status: str = "SUCCESS") -> DataFrame:
-    """K5/V4: run id, time, report path, report byte size, status and record counts."""
+def manifest(report: DataFrame, run_id: str, run_ts, output_path: str, file_size: int,
+             status: str = "SUCCESS") -> DataFrame:
+    """K5/V4: run id, time, report path, the written file's size in bytes, status and record counts."""
     body = report_json(report)
     return body.select(
         F.lit(run_id).alias("run_id"), F.lit(_iso(run_ts)).alias("generated_at"),
-        F.lit(output_path).alias("output_path"), F.octet_length("json").cast("bigint").alias("file_size_bytes"),
+        F.lit(output_path).alias("output_path"), F.lit(file_size).cast("bigint").alias("file_size_bytes"),
         F.lit(status).alias("status"),
         F.from_json("json", "struct<metadata:struct<record_counts:struct<regional_rows:int,category_rows:int,"
                     "monthly_trend_rows:int,top_product_rows:int,customer_rows:int,payment_rows:int,"

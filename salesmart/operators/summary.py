@@ -8,10 +8,11 @@ Stored 2-dp values are cast back to exact DECIMAL before they are summed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.numeric import exact, mean2, mean_of_means2, ratio_pct, total2
+from salesmart.operators.report import RECORD_COUNT_FIELDS
 
 
 def regional_summary(a1: DataFrame) -> DataFrame:
@@ -39,8 +40,9 @@ def category_summary(a2: DataFrame) -> DataFrame:
 
 
 def monthly_trends(a3: DataFrame) -> DataFrame:
-    """The monthly trend table as is (report order: year, month, region)."""
-    return a3
+    """The monthly trend rows with their place in the report: year, month, region."""
+    by_place = Window.orderBy(*[F.col(c).asc_nulls_first() for c in ("year", "month", "region")])
+    return a3.withColumn("position", F.row_number().over(by_place))      # months x regions: bounded by the calendar
 
 
 def segment_status_summary(a5: DataFrame) -> DataFrame:
@@ -75,16 +77,12 @@ def status_summary(a7: DataFrame) -> DataFrame:
     )
 
 
-RECORD_COUNT_KEYS = ("regional_rows", "category_rows", "monthly_trend_rows", "top_product_rows",
-                     "customer_rows", "payment_rows", "status_rows")
-
-
 def record_counts(regional: DataFrame, category: DataFrame, trends: DataFrame, top_products: DataFrame,
                   customer: DataFrame, payment: DataFrame, status: DataFrame) -> DataFrame:
     """Row counts of the seven list sections, as one row (one union + one aggregate)."""
     parts = [regional, category, trends, top_products, customer, payment, status]
     tagged = None
-    for name, df in zip(RECORD_COUNT_KEYS, parts):
+    for name, df in zip(RECORD_COUNT_FIELDS, parts):
         t = df.select(F.lit(name).alias("section"))
         tagged = t if tagged is None else tagged.unionAll(t)
-    return tagged.agg(*[F.count_if(F.col("section") == n).alias(n) for n in RECORD_COUNT_KEYS])
+    return tagged.agg(*[F.count_if(F.col("section") == n).alias(n) for n in RECORD_COUNT_FIELDS])

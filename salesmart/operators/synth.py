@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.schema import RAW_COLUMNS
@@ -75,9 +75,9 @@ DIRT_KINDS = ("blank_order_id", "blank_customer_id", "negative_quantity", "text_
 
 
 def _u(seed: int, field: str, ids: Sequence[Column]) -> Column:
-    """Uniform [0, 1) from a keyed 64-bit hash of (seed, field, row id)."""
-    h = F.xxhash64(F.lit(seed), F.lit(field), *ids)
-    return (F.pmod(h, F.lit(1 << 53)).cast("double")) / float(1 << 53)
+    """Uniform [0, 1) from the first 52 bits of the MD5 of ``seed|field|row id``, which any engine can compute."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(field), *[c.cast("string") for c in ids]))
+    return F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
 def _pick(u: Column, values: list) -> Column:
@@ -125,7 +125,7 @@ def synth_sales(ids: DataFrame, seed: int = 42) -> DataFrame:
     out = ids.select(
         F.concat(F.lit("ORD-"), order_hex).alias("order_id"),
         F.format_string("CUST-%05d", (F.floor(u("customer") * (99999 - 1000 + 1)) + 1000).cast("int")).alias("customer_id"),
-        F.format_string("PROD-%04d", F.pmod(F.xxhash64(product["name"]), F.lit(10000))).alias("product_id"),
+        F.format_string("PROD-%04d", F.conv(F.substring(F.md5(product["name"]), 1, 8), 16, 10).cast("bigint") % 10000).alias("product_id"),
         product["name"].alias("product_name"), category.alias("category"), sub.alias("sub_category"),
         region.alias("region"), country.alias("country"),
         F.date_format(order_date, "yyyy-MM-dd").alias("order_date"),
@@ -139,12 +139,16 @@ def synth_sales(ids: DataFrame, seed: int = 42) -> DataFrame:
 
 
 def with_dirt(raw: DataFrame, fraction: float = 0.02, seed: int = 42, id_cols: Sequence[str] = ("order_id",)) -> DataFrame:
-    """Append a dirty copy of a hash-chosen ``fraction`` of the rows (one of five defects each)."""
+    """Append dirty rows, one for each of a hash-chosen ``fraction`` of the rows, with one of five defects each.
+
+    They are rows of their own: a new order id, so dedup doesn't drop them in favour of the rows they resemble.
+    """
     key = [F.col(c) for c in id_cols]
     chosen = raw.filter(_u(seed, "dirt", key) < fraction)
     kind = F.floor(_u(seed, "dirt_kind", key) * len(DIRT_KINDS)).cast("int")
+    own = F.concat(F.lit("ORD-"), F.upper(F.substring(F.sha2(F.concat_ws("|", F.lit("dirt"), *key), 256), 1, 12)))
     dirty = chosen.select(
-        F.when(kind == 0, F.lit("")).otherwise(F.col("order_id")).alias("order_id"),
+        F.when(kind == 0, F.lit("")).otherwise(own).alias("order_id"),
         F.when(kind == 1, F.lit("  ")).otherwise(F.col("customer_id")).alias("customer_id"),
         *[F.col(c) for c in RAW_COLUMNS[2:8]],
         F.when(kind == 4, F.lit("not-a-date")).otherwise(F.col("order_date")).alias("order_date"),
@@ -154,3 +158,11 @@ def with_dirt(raw: DataFrame, fraction: float = 0.02, seed: int = 42, id_cols: S
         *[F.col(c) for c in RAW_COLUMNS[12:]],
     )
     return raw.unionByName(dirty)
+
+
+def generate_csv(spark: SparkSession, rows: int, path: str, dirt: float = 0.02, seed: int = 42) -> str:
+    """``rows`` synthetic sales and their dirty rows as header CSV files under ``path``, written by all tasks."""
+    raw = with_dirt(synth_sales(spark.range(rows).withColumnRenamed("id", "row_id"), seed), dirt, seed)
+    (raw.write.mode("overwrite").option("header", "true").option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+    return path

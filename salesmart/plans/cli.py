@@ -10,6 +10,7 @@ shared folder).
     python -m salesmart.plans.cli consolidate --kpis OUT/aggregated --output OUT
     python -m salesmart.plans.cli all --input RAW --output OUT
     python -m salesmart.plans.cli ingest --input RAW --output OUT --checkpoint CKPT
+    python -m salesmart.plans.cli generate --rows 1000000 --output RAW [--dirt 0.02] [--seed 42]
 """
 
 from __future__ import annotations
@@ -45,7 +46,12 @@ def main(argv=None) -> dict:
     i.add_argument("--input", required=True)
     i.add_argument("--output", required=True)
     i.add_argument("--checkpoint", required=True)
-    for sp in (c, a, s, al, i):
+    g = sub.add_parser("generate")
+    g.add_argument("--rows", type=int, default=1_000_000)
+    g.add_argument("--output", required=True)
+    g.add_argument("--dirt", type=float, default=0.02)
+    g.add_argument("--seed", type=int, default=42)
+    for sp in (c, a, s, al, i, g):
         sp.add_argument("--job", default="salesmart")
         sp.add_argument("--run-id")
     args = p.parse_args(argv)
@@ -60,10 +66,13 @@ def main(argv=None) -> dict:
         out = run_consolidate(spark, args.kpis, args.output, run)
     elif args.cmd == "all":
         out = run_all(spark, args.input, args.output, run, as_of=args.as_of)
+    elif args.cmd == "generate":
+        from salesmart.operators.synth import generate_csv
+        out = {"output": generate_csv(spark, args.rows, args.output, args.dirt, args.seed)}
     else:
         from salesmart.streaming import ingest_available
         ingest_available(spark, args.input, f"{args.output}/cleaned", f"{args.output}/quarantine",
-                         args.checkpoint, run_id=run.run_id, run_ts=run.run_ts)
+                         args.checkpoint, run_id=run.run_id, run_ts=run.run_ts, job=run.job)
         out = {"cleaned": f"{args.output}/cleaned"}
     print(json.dumps(out, default=str))
     return out

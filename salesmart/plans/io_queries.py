@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.operators import report as R
-from salesmart.operators.clean import standardize_text
+from salesmart.operators.clean import clean, drop_audit, quarantine, standardize_text, undated_rows
+from salesmart.operators.quality import verify_report
 from salesmart.plans import queries as Q
+from salesmart.plans.jobs import run_consolidate
 from salesmart.schema import RAW_SCHEMA
 from salesmart.session import scratch_path
-from salesmart.sinks import write_cleaned
+from salesmart.sinks import write_cleaned, write_quarantine
+from salesmart.sinks.files import Files
 from salesmart.sources.csv import infer_raw_schema, read_raw_sales, schema_drift
 from salesmart.sources.fixtures import FIXTURE_TIES
-from salesmart.sources.parquet import read_cleaned
+from salesmart.sources.parquet import read_cleaned, read_kpi
 
 # raw schema of the fixture files: the 18 text columns plus the lineage columns
 FIXTURE_RAW_SCHEMA = T.StructType(RAW_SCHEMA.fields + [
@@ -90,6 +93,82 @@ def q_report_json_values(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+REPORT_ARRAYS = {
+    # section: (label fields, amount, count)
+    "regional_summary": (("region", "country"), "total_revenue", "total_orders"),
+    "category_summary": (("category", "sub_category"), "total_revenue", "total_orders"),
+    "monthly_trends": (("year", "month", "region"), "monthly_revenue", "monthly_orders"),
+    "customer_segments": (("customer_segment", "customer_status"), "total_lifetime_value", "customer_count"),
+    "payment_distribution": (("region", "payment_method"), "total_revenue", "transaction_count"),
+    "order_status_summary": (("region", "status"), "total_revenue", "order_count"),
+}
+_TOP = (("region", "rank_in_region", "product_id"), "total_revenue", "total_orders")
+
+
+def _element(fields: tuple) -> str:
+    labels, amount, count = fields
+    return "struct<" + ",".join(f"{c}:string" for c in labels) + f",{amount}:double,{count}:bigint>"
+
+
+def q_report_arrays(spark: SparkSession, d: str) -> DataFrame:
+    """Every element of every array of the JSON report, with its place."""
+    schema = "struct<" + ",".join(f"{n}:array<{_element(f)}>" for n, f in REPORT_ARRAYS.items()) + \
+        f",top_products:map<string,array<{_element(_TOP)}>>>"
+    doc = R.report_json(_report(spark, d)).select(F.from_json("json", schema).alias("doc"))
+
+    def rows(name: str, array, fields: tuple):
+        labels, amount, count = fields
+        label = lambda x: F.concat_ws("|", *[F.coalesce(x[c], F.lit("-")) for c in labels])
+        return F.transform(array, lambda x, i: F.struct(
+            F.lit(name).alias("section"), i.cast("bigint").alias("position"), label(x).alias("label"),
+            x[amount].alias("amount"), x[count].alias("n")))
+    top = F.flatten(F.transform(F.map_values("doc.top_products"), lambda a: rows("top_products", a, _TOP)))
+    return doc.select(F.inline(F.concat(*[rows(n, F.col(f"doc.{n}"), f) for n, f in REPORT_ARRAYS.items()], top)))
+
+
+def _consolidated(spark, d) -> tuple[str, dict]:
+    base = scratch_path(spark, "mart")
+    Q.kpi_tables(spark, d, base)
+    return base, run_consolidate(spark, f"{base}/aggregated", base, Q.RUN)
+
+
+def q_verify_report(spark: SparkSession, d: str) -> DataFrame:
+    """V3: a whole consolidation's report, read back beside its manifest."""
+    base, _ = _consolidated(spark, d)
+    return verify_report(spark, base, Q.RUN.run_date).select("run_id", "status", "counts_match", "size_matches", "report_counts.*")
+
+
+def q_report_file(spark: SparkSession, d: str) -> DataFrame:
+    """K4/K5: report and manifest are one object each; the manifest's size is the file's."""
+    _, out = _consolidated(spark, d)
+    files = Files(spark)
+    man = spark.read.option("multiLine", "true").json(out["manifest"])
+    return man.select("run_id", F.lit(files.is_file(out["report"])).alias("report_is_file"),
+                      F.lit(files.is_file(out["manifest"])).alias("manifest_is_file"),
+                      (F.col("file_size_bytes") == files.size(out["report"])).alias("size_matches"))
+
+
+def q_quarantine_sink(spark: SparkSession, d: str) -> DataFrame:
+    """K2: quarantine written under its run and read back; a rerun replaces it."""
+    path = scratch_path(spark, "quarantine")
+    rejected = quarantine(Q.raw(spark, d), Q.RUN_TS)
+    for _ in range(2):
+        write_quarantine(rejected, path, Q.RUN_ID)
+    return spark.read.parquet(path)
+
+
+def q_kpi_sink(spark: SparkSession, d: str) -> DataFrame:
+    """A KPI table with its audit columns, written by (year, month) and read back."""
+    base = scratch_path(spark, "kpi")
+    Q.kpi_tables(spark, d, base)
+    return read_kpi(spark, f"{base}/aggregated", "region_country_monthly")
+
+
+def q_audit_dropped(spark: SparkSession, d: str) -> DataFrame:
+    """The same table without its audit columns."""
+    return drop_audit(q_kpi_sink(spark, d))
+
+
 def q_report_sections(spark: SparkSession, d: str) -> DataFrame:
     return R.report_sections(_report(spark, d))
 
@@ -100,8 +179,8 @@ def q_top_products_nested(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_manifest(spark: SparkSession, d: str) -> DataFrame:
-    """K5 without the byte size: run, path, status and record counts."""
-    m = R.manifest(_report(spark, d), Q.RUN_ID, Q.RUN_TS, "consolidated/2001/08/01/etl_report_fixture-run.json")
+    """K5's run, path, status and record counts (the size is in ``report_file``)."""
+    m = R.manifest(_report(spark, d), Q.RUN_ID, Q.RUN_TS, "consolidated/2001/08/01/etl_report_fixture-run.json", 0)
     return m.select("run_id", "generated_at", "output_path", "status", "record_counts.*")
 
 
@@ -120,13 +199,20 @@ def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_synth_sales(spark: SparkSession, d: str) -> DataFrame:
-    """G1 + G2: one synthetic raw sale per lineitem key, plus 2 % dirty copies."""
+    """G1 + G2: one synthetic raw sale per lineitem key, plus 2 % dirty rows."""
     from salesmart.operators.synth import synth_sales, with_dirt
     ids = spark.read.parquet(f"{d.rstrip('/')}/lineitem.parquet").select("l_orderkey", "l_linenumber")
     return with_dirt(synth_sales(ids))
 
 
+def q_synth_undated(spark: SparkSession, d: str) -> DataFrame:
+    """G2 through stage 1: the generator's rows with bad dates survive cleaning, undated."""
+    undated = undated_rows(clean(q_synth_sales(spark, d)))
+    return undated.agg(F.count(F.lit(1)).alias("undated_rows"))
+
+
 IO_QUERIES = {
+    "synth_undated": q_synth_undated,
     "synth_sales": q_synth_sales,
     "raw_scan": q_raw_scan,
     "cleaned_scan": q_cleaned_scan,
@@ -135,6 +221,12 @@ IO_QUERIES = {
     "report_sections": q_report_sections,
     "report_json": q_report_json,
     "report_json_values": q_report_json_values,
+    "report_arrays": q_report_arrays,
+    "report_file": q_report_file,
+    "verify_report": q_verify_report,
+    "quarantine_sink": q_quarantine_sink,
+    "kpi_sink": q_kpi_sink,
+    "audit_dropped": q_audit_dropped,
     "manifest": q_manifest,
     "stream_ingest": q_stream_ingest,
 }

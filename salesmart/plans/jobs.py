@@ -38,7 +38,9 @@ class Run:
 
 def run_clean(spark: SparkSession, input_path: str, cleaned_path: str, quarantine_path: str, run: Run,
               *, header_check: bool = False, raw: DataFrame | None = None, ties=(), files: int | None = None) -> dict:
-    """Stage 1. Returns the run counters (observed during the writes, no extra pass)."""
+    """Stage 1. Returns the run counters, observed during the writes without an extra pass. A map task that runs
+    again after an executor was lost can be counted twice: take ``run_metrics`` over the tables where the
+    counts must be exact."""
     raw = read_raw_sales(spark, input_path, header_check=header_check) if raw is None else raw
     tagged, obs = observe_quality(tag_quality(raw))
     out = with_audit(clean(raw, tagged=tagged, ties=ties), run.job, run.run_ts, "etl_processed_at")
@@ -93,7 +95,7 @@ def stage3_sections(spark: SparkSession, kpi_base: str) -> dict[str, DataFrame]:
         "overall_kpi": t["overall_kpi"],
         "regional_summary": B.regional_summary(t["region_country_monthly"]),
         "category_summary": B.category_summary(t["category_monthly"]),
-        "monthly_trends": B.monthly_trends(t["monthly_trend"]),
+        "monthly_trends": B.monthly_trends(t["monthly_trend"]).drop("position"),
         "top_products": t["top_products_by_region"],
         "customer_segments": B.segment_status_summary(t["customer_segments"]),
         "segment_totals": B.segment_totals(t["customer_segments"]),
@@ -108,9 +110,9 @@ def run_consolidate(spark: SparkSession, kpi_base: str, out_base: str, run: Run)
     report = report.persist()  # one bounded row, used by both writes
     try:
         rpath = report_path(out_base, run.run_date, run.run_id)
-        write_json_text(R.report_json(report), rpath)
+        size = write_json_text(R.report_json(report), rpath)
         mpath = report_path(out_base, run.run_date, run.run_id, "manifest")
-        m = R.manifest(report, run.run_id, run.run_ts, rpath)
+        m = R.manifest(report, run.run_id, run.run_ts, rpath, size)
         write_json_text(m.select(F.to_json(F.struct(*m.columns), {"pretty": "true"}).alias("json")), mpath)
     finally:
         report.unpersist()

@@ -8,6 +8,7 @@ shortest decimal text).
 
 from __future__ import annotations
 
+from salesmart.operators import synth as G
 from salesmart.plans.queries import ACTIVE, AS_OF, AT_RISK, HIGH, JOB, MID, RUN_ID, RUN_TS
 from salesmart.schema import RAW_COLUMNS, REQUIRED_FIELDS
 
@@ -285,7 +286,7 @@ def _replace(decimals: str) -> str:
 
 def _mm(c: str) -> str:
     """Mean of stored 2-dp means from an exact sum."""
-    return mean(f"CAST({c} AS DECIMAL(38,2))")
+    return mean(f"CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,2))")
 
 
 B2 = f"""b2 AS (
@@ -335,6 +336,90 @@ _SECTIONS = ("regional_summary", "category_summary", "monthly_trends", "top_prod
              "payment_distribution", "order_status_summary")
 _ALL_KPI = (A1, A2, A3, A4, A5, A6, A7, B2, B3, B5, B7, B8)
 
+
+
+def _u(field: str, key: str = "CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)") -> str:
+    return f"CAST(('0x' || substr(md5(concat_ws('|', '42', '{field}', {key})), 1, 13)) AS BIGINT) / 4503599627370496::DOUBLE"
+
+
+def _list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" if isinstance(v, str) else repr(v) for v in values) + "]"
+
+
+def _choose(field: str, values: str, n: str) -> str:
+    return f"({values})[1 + CAST(floor({_u(field)} * {n}) AS BIGINT)]"
+
+
+def _weights(field: str, values, weights, kind: str) -> str:
+    total, acc, out = float(sum(weights)), 0.0, "CASE"
+    for v, w in zip(values, weights):
+        acc += w / total
+        out += f" WHEN {_u(field)} < {acc!r}::DOUBLE THEN {v!r}::{kind}"
+    return f"{out} ELSE {values[-1]!r}::{kind} END"
+
+
+_PRODUCTS = [(c, s, n, p) for c, subs in G.CATEGORIES.items() for s, ps in subs.items() for n, p in ps]
+_SUBS = {c: list(subs) for c, subs in G.CATEGORIES.items()}
+_PER_SUB = 5
+SYNTH = f"""
+s1 AS (
+  SELECT l_orderkey, l_linenumber, {_choose('region', _list(G.REGIONS), str(len(G.REGIONS)))} AS region,
+         {_choose('category', _list(G.CATEGORIES), str(len(G.CATEGORIES)))} AS category
+  FROM lineitem),
+s2 AS (
+  SELECT *, CASE region {' '.join(f"WHEN '{r}' THEN {_choose('country', _list(cs), str(len(cs)))}" for r, cs in G.REGIONS.items())} END AS country,
+         CASE category {' '.join(f"WHEN '{c}' THEN {_choose('sub', _list(ss), str(len(ss)))}" for c, ss in _SUBS.items())} END AS sub_category
+  FROM s1),
+products AS (SELECT *, (row_number() OVER (PARTITION BY sub ORDER BY place)) - 1 AS nth FROM (VALUES
+  {', '.join(f"({k}, '{s}', '{n}', {p})" for k, (_, s, n, p) in enumerate(_PRODUCTS))}) AS t(place, sub, name, price)),
+s3 AS (
+  SELECT s2.*, name, {r2(f"price * ({1 - G.PRICE_SPREAD!r}::DOUBLE + {_u('price')} * {2 * G.PRICE_SPREAD!r}::DOUBLE)")} AS unit_price,
+         {_weights('quantity', G.QUANTITIES, G.QUANTITY_WEIGHTS, 'INTEGER')} AS quantity,
+         {_weights('discount', G.DISCOUNTS, G.DISCOUNT_WEIGHTS, 'DOUBLE')} AS discount,
+         DATE '{G.START_DATE}' + CAST(floor({_u('date')} * (DATE '{G.END_DATE}' - DATE '{G.START_DATE}' + 1)) AS INTEGER) AS order_date
+  FROM s2 JOIN products ON sub = sub_category AND nth = CAST(floor({_u('product')} * {_PER_SUB}) AS BIGINT)),
+s4 AS (SELECT *, {r2("quantity * unit_price * (1 - discount)")} AS sales FROM s3),
+synth AS (
+  SELECT 'ORD-' || upper(substr(sha256(concat_ws('|', '42', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))), 1, 12)) AS order_id,
+         printf('CUST-%05d', CAST(floor({_u('customer')} * 99000) + 1000 AS INTEGER)) AS customer_id,
+         printf('PROD-%04d', CAST(('0x' || substr(md5(name), 1, 8)) AS BIGINT) % 10000) AS product_id,
+         name AS product_name, category, sub_category, region, country, strftime(order_date, '%Y-%m-%d') AS order_date,
+         strftime(order_date + CAST(floor({_u('ship_days')} * 7) AS INTEGER) + 1, '%Y-%m-%d') AS ship_date,
+         CAST(quantity AS VARCHAR) AS quantity, CAST(unit_price AS VARCHAR) AS unit_price, CAST(discount AS VARCHAR) AS discount,
+         CAST(sales AS VARCHAR) AS sales_amount,
+         CAST({r2(f"sales * ({G.MARGIN_MIN!r}::DOUBLE + {_u('margin')} * {G.MARGIN_MAX - G.MARGIN_MIN!r}::DOUBLE)")} AS VARCHAR) AS profit,
+         CAST({r2(f"CASE WHEN sales < {G.SHIPPING_BELOW} THEN {_u('ship_cost')} * {G.SHIPPING_MAX} ELSE 0::DOUBLE END")} AS VARCHAR) AS shipping_cost,
+         {_choose('payment', _list(G.PAYMENT_METHODS), str(len(G.PAYMENT_METHODS)))} AS payment_method,
+         {_choose('status', _list(G.ORDER_STATUSES), str(len(G.ORDER_STATUSES)))} AS status
+  FROM s4),
+dirt AS (
+  SELECT * EXCLUDE (kind) REPLACE (
+    CASE WHEN kind = 0 THEN '' ELSE 'ORD-' || upper(substr(sha256(concat_ws('|', 'dirt', order_id)), 1, 12)) END AS order_id,
+    CASE WHEN kind = 1 THEN '  ' ELSE customer_id END AS customer_id, CASE WHEN kind = 2 THEN '-5' ELSE quantity END AS quantity,
+    CASE WHEN kind = 3 THEN 'abc' ELSE unit_price END AS unit_price, CASE WHEN kind = 4 THEN 'not-a-date' ELSE order_date END AS order_date)
+  FROM (SELECT *, CAST(floor({_u('dirt_kind', 'order_id')} * 5) AS INTEGER) AS kind FROM synth WHERE {_u('dirt', 'order_id')} < 0.02::DOUBLE))"""
+
+
+def _schema_drift() -> str:
+    """What type inference must make of the raw text, judged in SQL: a column is DOUBLE if each value reads as one."""
+    fields = [(c, "string") for c in RAW_COLUMNS] + [("l_linenumber", "int"), ("l_suppkey", "bigint")]
+    parts = []
+    for k, (c, expected) in enumerate(fields):
+        t = f"regexp_replace(nullif(trim(CAST({c} AS VARCHAR)), ''), '[dDfF]$', '')"
+        parts.append(f"SELECT '{c}' AS \"column\", '{expected}' AS expected_type, {k} AS position, CASE "
+                     f"WHEN bool_and(TRY_CAST({t} AS INTEGER) IS NOT NULL AND {t} NOT LIKE '%.%' AND {t} NOT LIKE '%e%') FILTER ({t} IS NOT NULL) THEN 'int' "
+                     f"WHEN bool_and(TRY_CAST({t} AS DOUBLE) IS NOT NULL) FILTER ({t} IS NOT NULL) THEN 'double' "
+                     f"ELSE 'string' END AS inferred_type FROM raw")
+    return with_base("SELECT *, CASE WHEN expected_type = inferred_type THEN 'unchanged' ELSE 'type_changed' END AS change FROM ("
+                     + " UNION ALL ".join(parts) + ")")
+
+
+def _array(section: str, table: str, labels: str, amount: str, n: str, order: str, part: str = "") -> str:
+    label = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in labels.split())
+    return (f"SELECT '{section}' AS section, row_number() OVER ({part} ORDER BY {order}) - 1 AS position, "
+            f"concat_ws('|', {label}) AS label, CAST({amount} AS DOUBLE) AS amount, CAST({n} AS BIGINT) AS n FROM {table}")
+
+
 ORACLE: dict[str, str] = {
     "trim_blank_to_null": with_base(f"SELECT * FROM std"),
     "cast_numeric": with_base(
@@ -423,10 +508,13 @@ FROM clean GROUP BY ROLLUP (category, sub_category)"""),
     "order_sketches": with_base(
         "SELECT region, year, month, count(DISTINCT order_id) AS total_orders, TRUE AS sketch_within_bound "
         "FROM clean GROUP BY region, year, month"),
+    "sketch_merge": with_base(
+        "SELECT region, count(DISTINCT order_id) AS total_orders, TRUE AS merged_within_bound FROM clean GROUP BY region"),
     # stage 3
     "regional_summary": _with(f"SELECT {_replace('total_revenue total_profit')} FROM b2", A1, B2),
     "category_summary": _with(f"SELECT {_replace('total_revenue total_profit')} FROM b3", A2, B3),
-    "monthly_trends": _with(f"SELECT {_replace('monthly_revenue monthly_profit')} FROM a3", A3),
+    "monthly_trends": _with(f"SELECT {_replace('monthly_revenue monthly_profit')}, CAST(row_number() OVER (ORDER BY "
+                            "year ASC NULLS FIRST, month ASC NULLS FIRST, region ASC NULLS FIRST) AS INTEGER) AS position FROM a3", A3),
     "segment_status_summary": _with(f"SELECT {_replace('total_lifetime_value')} FROM b5", A5, B5),
     "segment_totals": _with("SELECT * FROM b6", A5, B6),
     "payment_summary": _with(f"SELECT {_replace('total_revenue')} FROM b7", A6, B7),
@@ -437,6 +525,30 @@ SELECT (SELECT count(*) FROM b2) AS regional_rows, (SELECT count(*) FROM b3) AS
        (SELECT count(*) FROM b5) AS customer_rows, (SELECT count(*) FROM b7) AS payment_rows,
        (SELECT count(*) FROM b8) AS status_rows""", A1, A2, A3, A4, A5, A6, A7, B2, B3, B5, B7, B8),
     # I/O, report, incremental
+    "synth_sales": f"WITH {SYNTH} SELECT * FROM synth UNION ALL SELECT * FROM dirt",
+    "synth_undated": f"WITH {SYNTH} SELECT count(DISTINCT (order_id, product_id)) AS undated_rows FROM dirt WHERE order_date = 'not-a-date'",
+    "schema_drift": _schema_drift(),
+    "report_arrays": _with(" UNION ALL ".join((
+        _array("regional_summary", "b2", "region country", "total_revenue", "total_orders", "total_revenue DESC NULLS LAST"),
+        _array("category_summary", "b3", "category sub_category", "total_revenue", "total_orders",
+               "category ASC NULLS FIRST, total_revenue DESC NULLS LAST"),
+        _array("monthly_trends", "a3", "year month region", "monthly_revenue", "monthly_orders",
+               "year ASC NULLS FIRST, month ASC NULLS FIRST, region ASC NULLS FIRST"),
+        _array("customer_segments", "b5", "customer_segment customer_status", "total_lifetime_value", "customer_count",
+               "customer_segment ASC NULLS FIRST, customer_status ASC NULLS FIRST"),
+        _array("payment_distribution", "b7", "region payment_method", "total_revenue", "transaction_count",
+               "region ASC NULLS FIRST, total_revenue DESC NULLS LAST"),
+        _array("order_status_summary", "b8", "region status", "total_revenue", "order_count",
+               "region ASC NULLS FIRST, status ASC NULLS FIRST"),
+        _array("top_products", "a4", "region rank_in_region product_id", "total_revenue", "total_orders",
+               "rank_in_region", "PARTITION BY region"))), *_ALL_KPI),
+    "report_file": f"SELECT '{RUN_ID}' AS run_id, TRUE AS report_is_file, TRUE AS manifest_is_file, TRUE AS size_matches",
+    "verify_report": _with(
+        f"SELECT '{RUN_ID}' AS run_id, 'SUCCESS' AS status, TRUE AS counts_match, TRUE AS size_matches, "
+        + ", ".join(f"CAST({c} AS BIGINT) AS {n}" for c, n in zip(_COUNTS, _COUNT_NAMES)), *_ALL_KPI),
+    "quarantine_sink": _quarantine().replace("SELECT order_id, quality AS", f"SELECT '{RUN_ID}' AS run_id, order_id, quality AS"),
+    "kpi_sink": _with(f"SELECT {_replace('total_revenue total_profit')}, '{JOB}' AS etl_job, TIMESTAMP '{_RUN_TS}' AS etl_ts FROM a1", A1),
+    "audit_dropped": _with(f"SELECT {_replace('total_revenue total_profit')} FROM a1", A1),
     "raw_scan": with_base(f"SELECT *, {_DT} AS dt FROM std"),
     "cleaned_scan": with_base(f"SELECT {_CLEAN_EDGE}, year, month FROM clean"),
     "stream_ingest": with_base(f"SELECT {_CLEAN_EDGE}, year, month, {_DT} AS dt, {_AUDIT} FROM clean"),

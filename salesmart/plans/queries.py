@@ -18,7 +18,10 @@ from salesmart.operators import clean as C
 from salesmart.operators import kpis as K
 from salesmart.operators import summary as B
 from salesmart.operators.windows import mom_growth, top_n_per_group
+from salesmart.plans.jobs import Run, run_aggregate, stage3_sections
 from salesmart.schema import INVALID_NUMERIC, MISSING_REQUIRED, UNPARSEABLE_NUMERIC
+from salesmart.session import scratch_path
+from salesmart.sinks import write_cleaned
 from salesmart.sources.fixtures import FIXTURE_TIES, LINEAGE_COLUMNS, raw_view
 
 # fixture parameters (FIXTURES.md §4): the driver's data spans 1992-2001, so the
@@ -44,12 +47,6 @@ def cleaned(spark: SparkSession, d: str) -> DataFrame:
     return C.clean(raw(spark, d), ties=FIXTURE_TIES)
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """One computation of a table that several report sections read (see ``session.materialize``)."""
-    from salesmart.session import materialize
-    return materialize(df)
-
-
 def a5(spark, d):
     return K.customer_segments(cleaned(spark, d), as_of=AS_OF, high=HIGH, mid=MID, active=ACTIVE, at_risk=AT_RISK)
 
@@ -127,8 +124,7 @@ def q_reconciliation_summary(spark, d):
 
 def q_run_metrics(spark, d):
     from salesmart.operators.quality import run_metrics
-    t = materialized(tagged(spark, d))
-    return run_metrics(t, C.clean(raw(spark, d), ties=FIXTURE_TIES, tagged=t))
+    return run_metrics(tagged(spark, d))
 
 
 # --- stage 2 ---------------------------------------------------------------
@@ -208,6 +204,16 @@ def q_order_sketches(spark, d):
                     .alias("sketch_within_bound"))
 
 
+def q_sketch_merge(spark, d):
+    """X3 merged: regional distinct orders from the monthly sketches, checked against the exact count."""
+    sales = cleaned(spark, d)
+    merged = K.sketch_rollup(K.order_sketches(sales))
+    exact = sales.groupBy(F.col("region").alias("r")).agg(F.count_distinct("order_id").alias("total_orders"))
+    off = F.abs(F.col("approx_orders") - F.col("total_orders"))
+    return merged.join(exact, F.col("region").eqNullSafe(F.col("r"))).select(
+        "region", "total_orders", (off <= F.greatest(F.lit(2.0), F.col("total_orders") * 0.05)).alias("merged_within_bound"))
+
+
 # --- stage 3 ---------------------------------------------------------------
 
 def q_regional_summary(spark, d):
@@ -238,21 +244,21 @@ def q_status_summary(spark, d):
     return B.status_summary(K.order_status_summary(cleaned(spark, d)))
 
 
+RUN = Run(RUN_ID, RUN_TS, JOB)
+
+
+def kpi_tables(spark, d, base: str) -> None:
+    """Stages 1 and 2 into ``base``: the cleaned columns that KPIs read, then the eight KPI tables."""
+    write_cleaned(cleaned(spark, d).select(*K.KPI_INPUT_COLUMNS), f"{base}/cleaned")
+    run_aggregate(spark, f"{base}/cleaned", f"{base}/aggregated", RUN, as_of=AS_OF,
+                  thresholds=dict(high=HIGH, mid=MID, active=ACTIVE, at_risk=AT_RISK))
+
+
 def sections(spark, d) -> dict[str, DataFrame]:
-    """The seven list sections of the report plus its inputs, from one materialized cleaned fact."""
-    c = materialized(cleaned(spark, d))
-    a5_ = K.customer_segments(c, as_of=AS_OF, high=HIGH, mid=MID, active=ACTIVE, at_risk=AT_RISK)
-    return {
-        "overall_kpi": K.overall_kpi(c),
-        "regional_summary": B.regional_summary(K.region_country_monthly(c)),
-        "category_summary": B.category_summary(K.category_monthly(c)),
-        "monthly_trends": B.monthly_trends(K.monthly_trend(c)),
-        "top_products": K.top_products_by_region(c),
-        "customer_segments": B.segment_status_summary(a5_),
-        "segment_totals": B.segment_totals(a5_),
-        "payment_distribution": B.payment_summary(K.payment_distribution(c)),
-        "order_status_summary": B.status_summary(K.order_status_summary(c)),
-    }
+    """The seven list sections of the report plus its inputs, from KPI tables written and read back."""
+    base = scratch_path(spark, "report")
+    kpi_tables(spark, d, base)
+    return stage3_sections(spark, f"{base}/aggregated")
 
 
 def q_record_counts(spark, d):
@@ -297,6 +303,7 @@ QUERIES: dict[str, Query] = {
     "regional_grouping_sets": q_regional_grouping_sets,
     "category_rollup": q_category_rollup,
     "order_sketches": q_order_sketches,
+    "sketch_merge": q_sketch_merge,
     # stage 3
     "regional_summary": q_regional_summary,
     "category_summary": q_category_summary,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.schema import KPI_MAX_FILES
+from salesmart.sinks.files import single_file
 
 
 def write_cleaned(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -61,6 +62,6 @@ def report_path(base: str, run_date, run_id: str, kind: str = "etl_report") -> s
     return f"{base.rstrip('/')}/consolidated/{run_date:%Y/%m/%d}/{kind}_{run_id}.json"
 
 
-def write_json_text(json_df: DataFrame, path: str) -> None:
-    """K4/K5: a one-row JSON text (bounded: one document) as a single text file under ``path``."""
-    json_df.select("json").coalesce(1).write.mode("overwrite").text(path)
+def write_json_text(json_df: DataFrame, path: str) -> int:
+    """K4/K5: a one-row JSON text (bounded: one document) as the file ``path``; its size in bytes."""
+    return single_file(json_df.sparkSession, json_df.select("json"), path)

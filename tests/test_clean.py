@@ -107,9 +107,33 @@ def test_every_raw_row_is_accounted_for(spark):
     from salesmart.plans import queries as Q
     m = Q.QUERIES["run_metrics"](spark, SF_SMALL).collect()[0]
     assert m["raw_rows"] == (m["missing_required_field"] + m["invalid_numeric"] + m["unparseable_numeric"]
-                             + m["valid_rows"])
+                             + m["unrepresentable_amount"] + m["valid_rows"])
+    assert m["unrepresentable_amount"] > 0
     assert m["valid_rows"] == m["clean_rows"] + m["duplicates_dropped"]
-    assert (m["raw_rows"], m["clean_rows"]) == (6000, 5759)   # FIXTURES.md §4
+    assert (m["raw_rows"], m["clean_rows"]) == (6000, 5670)   # FIXTURES.md §3 with buckets 15, 18, 19 and 20
+
+
+@pytest.mark.parametrize("change, quality, stored, flag", [
+    (dict(discount="100"), "ok", ("discount", 100), "OK"),                 # a negative amount is no mismatch
+    (dict(discount="150"), "ok", ("discount", 150), "OK"),
+    (dict(unit_price="0.00004"), "ok", ("unit_price", 0.00004), "OK"),
+    (dict(unit_price="0.00000004", sales_amount="0"), "ok", ("unit_price", 0), "OK"),
+    (dict(unit_price="1e15"), "ok", ("unit_price", 1e15), "MISMATCH"),
+    (dict(sales_amount="1e15"), "ok", ("sales_amount", 1e15), "MISMATCH"),
+    (dict(profit="-1e17"), "ok", ("profit", -1e17), "OK"),
+    (dict(unit_price="5D"), "ok", ("unit_price", 5), "MISMATCH"),
+    (dict(unit_price="1e18"), "unrepresentable_amount", ("unit_price", None), "OK"),
+    (dict(sales_amount="-1e300"), "unrepresentable_amount", ("sales_amount", None), "OK"),
+    (dict(sales_amount="NaN"), "ok", ("sales_amount", None), "OK"),
+    (dict(quantity="1e2"), "unparseable_numeric", ("quantity", None), "OK"),
+    (dict(quantity="5D"), "unparseable_numeric", ("quantity", None), "OK"),
+    (dict(quantity="+7."), "ok", ("quantity", 7), "MISMATCH"),
+])
+def test_amounts_are_never_lost_silently(spark, change, quality, stored, flag):
+    r = C.tag_quality(raw_df(spark, row(**change))).first()
+    column, value = stored
+    assert r["quality"] == quality and r["sales_amount_flag"] == flag
+    assert (r[column] is None) if value is None else float(r[column]) == value
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
@@ -157,7 +181,7 @@ def test_header_check_rejects_reordered_columns(spark, tmp_dir):
 
 
 def test_fixture_totals_equal_blueprint(spark):
-    """FIXTURES.md §4 at sf0.001: rows, flags and totals of the cleaned fixture."""
+    """Rows, flags and totals of the cleaned fixture at sf0.001 (FIXTURES.md §4, with the buckets of §3a)."""
     from conftest import SF_SMALL
     from salesmart.plans import queries as Q
     c = Q.cleaned(spark, SF_SMALL)
@@ -166,5 +190,5 @@ def test_fixture_totals_equal_blueprint(spark):
               F.count_if(F.col("sales_amount_flag") == "MISMATCH").alias("mismatch"),
               F.sum("sales_amount").alias("sales"), F.sum("profit").alias("profit"),
               F.sum("quantity").alias("qty")).collect()[0]
-    assert (r["n"], r["dated"], r["orders"], r["mismatch"]) == (5759, 5705, 1465, 72)
-    assert (str(r["sales"]), str(r["profit"]), r["qty"]) == ("126140387.5900", "24996843.9800", 145592)
+    assert (r["n"], r["dated"], r["orders"], r["mismatch"]) == (5670, 5616, 1463, 137)
+    assert (str(r["sales"]), str(r["profit"]), r["qty"]) == ("41000000123352310.800000", "24627728.360000", 143456)

@@ -19,7 +19,7 @@ def test_three_stages_and_verification(spark, tmp_dir):
     run = Run(run_id="r1", run_ts=Q.RUN_TS)
     m = run_clean(spark, f"{tmp_dir}/input", f"{tmp_dir}/cleaned", f"{tmp_dir}/quarantine", run)
     assert m["raw_rows"] == 6000
-    assert m["raw_rows"] == m["missing_required_field"] + m["invalid_numeric"] + m["unparseable_numeric"] + m["valid_rows"]
+    assert m["raw_rows"] == m["missing_required_field"] + m["invalid_numeric"] + m["unparseable_numeric"] + m["unrepresentable_amount"] + m["valid_rows"]
     cleaned = spark.read.parquet(f"{tmp_dir}/cleaned")
     assert cleaned.count() == m["clean_rows"] and "dt" in cleaned.columns and "etl_processed_at" in cleaned.columns
     # rerun of the same run id replaces its quarantine partition instead of appending

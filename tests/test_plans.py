@@ -71,3 +71,10 @@ def test_results_with_the_large_cluster_join_plan(spark):
     finally:
         for k in keys:
             spark.conf.unset(k)
+
+
+def test_grouping_sets_expand_above_an_aggregate(spark):
+    for fn in (K.regional_grouping_sets, K.category_rollup):
+        p = plan(fn(Q.cleaned(spark, SF_SMALL)))
+        below = p[p.index("Expand"):]
+        assert "HashAggregate" in below.split("Window")[0], p

@@ -2,12 +2,14 @@
 
 import datetime as dt
 import json
+import os
 
 from helpers import raw_df, row
 from salesmart.operators import clean as C
 from salesmart.operators import kpis as K
 from salesmart.operators import report as R
 from salesmart.operators import summary as B
+from salesmart.sinks import write_json_text
 
 
 def sections_of(c):
@@ -56,9 +58,13 @@ def test_empty_report_is_valid(spark):
     assert set(doc["metadata"]["record_counts"].values()) == {0}
 
 
-def test_manifest_matches_report(spark):
+def test_manifest_matches_report(spark, tmp_dir):
     rep = build(spark, row())
-    m = R.manifest(rep, "run-1", dt.datetime(2024, 6, 1), "/out/x.json").collect()[0]
-    size = len(R.report_json(rep).collect()[0]["json"].encode("utf-8"))
-    assert m["file_size_bytes"] == size and m["status"] == "SUCCESS"
+    path = f"{tmp_dir}/x.json"
+    size = write_json_text(R.report_json(rep), path)
+    write_json_text(R.report_json(rep), path)       # a rerun replaces the file
+    m = R.manifest(rep, "run-1", dt.datetime(2024, 6, 1), path, size).collect()[0]
+    assert m["file_size_bytes"] == os.path.getsize(path) and m["status"] == "SUCCESS"
+    assert json.load(open(path))["metadata"]["run_id"] == "run-1"
+    assert [n for n in os.listdir(tmp_dir) if not n.endswith(".crc")] == ["x.json"]
     assert m["record_counts"]["regional_rows"] == 1

@@ -25,3 +25,17 @@ def test_dirt_is_added_not_replaced(spark):
     assert 50 < extra < 150
     tags = {r["quality"]: r["count"] for r in C.tag_quality(dirty).groupBy("quality").count().collect()}
     assert tags["ok"] >= 5000 and sum(v for k, v in tags.items() if k != "ok") > 0.5 * extra
+
+
+def test_rows_with_bad_dates_survive_dedup(spark):
+    dirty = with_dirt(synth_sales(spark.range(0, 20_000).withColumnRenamed("id", "k")), 0.05)
+    bad = dirty.filter("order_date = 'not-a-date'").count()
+    assert bad > 100 and C.undated_rows(C.clean(dirty)).count() == bad
+
+
+def test_generate_command(spark, tmp_dir):
+    from salesmart.plans.cli import main
+    from salesmart.sources.csv import read_raw_sales
+    main(["generate", "--rows", "500", "--output", f"{tmp_dir}/raw", "--dirt", "0.1"])
+    raw = read_raw_sales(spark, f"{tmp_dir}/raw", header_check=True)
+    assert 520 < raw.count() < 600 and raw.filter("customer_id = '  '").count() > 0
