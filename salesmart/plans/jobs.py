@@ -128,6 +128,6 @@ def run_all(spark: SparkSession, input_path: str, base: str, run: Run | None = N
     run_aggregate(spark, cleaned, kpi, run, as_of=kw.get("as_of"), thresholds=kw.get("thresholds"))
     out = run_consolidate(spark, kpi, base, run)
     mine = verify_report(spark, base, run.run_date).filter(F.col("run_id") == run.run_id).collect()  # one row
-    if not mine or not mine[0]["counts_match"] or mine[0]["status"] != "SUCCESS":
+    if not mine or not mine[0]["counts_match"] or not mine[0]["size_matches"] or mine[0]["status"] != "SUCCESS":
         raise RuntimeError(f"report verification failed for run {run.run_id}")
     return {"metrics": metrics, **out, "verified": True}
