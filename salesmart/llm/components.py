@@ -9,8 +9,9 @@ from salesmart.session import materialize
 
 
 def _low(edges: DataFrame) -> DataFrame:
-    """Each u's smallest v; combined before the shuffle, so a node with very many links is no hot key."""
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+    """Each u's smallest v, combined before the shuffle. The rebalance keeps a join from reusing the aggregate's
+    dealing: both sides get an exchange of the join's own, so AQE can split a node with very many links."""
+    return edges.groupBy("u").agg(F.min("v").alias("m")).hint("rebalance")
 
 
 def _stars(edges: DataFrame) -> DataFrame:

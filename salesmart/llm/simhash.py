@@ -180,7 +180,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     least = members.join(nodes, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("first").alias("least"))
     named = nodes.join(members.join(least, "root").select(F.col("node").alias("fp"), "least"), "fp", "left") \
         .select("fp", F.coalesce("least", "first").alias("component_id"))
-    return prints.join(named, "fp").select(key, "fp", "component_id")
+    # written first, so that both sides of the join are dealt for it alone and AQE can split a hot fingerprint's rows
+    return prints.join(shared(named, "named"), "fp").select(key, "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
