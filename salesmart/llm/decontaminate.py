@@ -3,10 +3,10 @@
 Texts become templates: numbers, names (capitalised words within a sentence) and units (after a number)
 turn into typed placeholders, other words are lower-cased, signs go. Windows of ``WINDOW`` template
 tokens are hash-joined with those of the benchmark. Hits of a document and an item with the same offset
-form an alignment; its slots are consistent if each value of the item stands for one value of
-the document and the other way round, so a question asked anew with other numbers or names still
-counts, and a chance meeting of templates does not. A pair is reported if consistent alignments
-cover at least ``COVERAGE`` of the item's windows.
+form an alignment; in it each value of the item stands for one value of the document (``refused``), and
+windows that say otherwise are dropped, so a question asked anew with other numbers or names still
+counts, one with a few edited places too, and a chance meeting of templates does not. A pair is reported if the
+windows left cover at least ``COVERAGE`` of the item's windows.
 
 The documents' windows are filtered against the benchmark's before they are shuffled while the
 benchmark has at most ``MAX_SENT`` windows; beyond that all windows meet in the join.
@@ -150,6 +150,57 @@ def _windowed(df: DataFrame, key: str, text: str, widths: list[int], short: bool
     return rows.mapInArrow(run, HIT.format(kind=df.schema[key].dataType.simpleString()))
 
 
+def refused(slots: dict[tuple[str, str], set[int]]) -> set[tuple[str, str]]:
+    """The pairs (item's value, document's value) that don't hold, of an alignment's pairs and their places in the item.
+
+    A value of the item stands for the document's value that most of its places have. Among equals, a number or unit stands
+    for the first in order and a name for none. Two names of the item that became one name stand for none; numbers
+    may coincide."""
+    by: dict[str, list[tuple[str, str]]] = {}
+    for pair in slots:
+        by.setdefault(pair[0], []).append(pair)
+    bad = set()
+    for value, pairs in by.items():
+        if len(pairs) > 1:
+            pairs.sort(key=lambda p: (-len(slots[p]), p))
+            tie = len(slots[pairs[0]]) == len(slots[pairs[1]])
+            bad.update(pairs if tie and _is_name(value) else pairs[1:])
+    names: dict[str, list[tuple[str, str]]] = {}
+    for pair in slots:
+        if pair not in bad and _is_name(pair[0]):
+            names.setdefault(pair[1], []).append(pair)
+    for pairs in names.values():
+        if len(pairs) > 1:
+            bad.update(pairs)
+    return bad
+
+
+def _is_name(value: str) -> bool:
+    return value[0].isalpha() and value not in UNITS
+
+
+def _agreed(aligned: DataFrame) -> DataFrame:
+    """``key, item, places, changed`` of each alignment: the item's windows that carry no refused pair, and how many of
+    their pairs differ."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places, changed = [], []
+            for hits in batch.column(2):
+                hits = [(h["at"], [(s["at"], (s["i"], s["d"])) for s in h["slots"]]) for h in hits.as_py()]
+                slots: dict[tuple[str, str], set[int]] = {}
+                for _, own in hits:
+                    for at, pair in own:
+                        slots.setdefault(pair, set()).add(at)
+                bad = refused(slots)
+                kept = [(at, own) for at, own in hits if not any(pair in bad for _, pair in own)]
+                places.append(sorted({at for at, _ in kept}))
+                changed.append(len({pair for _, own in kept for _, pair in own if pair[0] != pair[1]}))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int32())),
+                                              pa.array(changed, pa.int32())], ["key", "item", "places", "changed"])
+    kinds = [aligned.schema[c].dataType.simpleString() for c in ("key", "item")]
+    return aligned.mapInArrow(run, f"key {kinds[0]}, item {kinds[1]}, places array<int>, changed int")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
             item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """``key, item, windows, matched, coverage, changed_slots`` of the contaminated pairs."""
@@ -165,16 +216,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
         hashes = [r[0] for r in distinct.collect()] or [0]      # a chance hit would still meet nothing in the join
         sent = spark.sparkContext.broadcast(np.sort(np.array(hashes, np.int64).view(np.uint64)))
     hits = _windowed(docs, key, text, widths, False, sent)
-    met = hits.join(wanted, "hash").select("key", "item", "item_at", (F.col("at") - F.col("item_at")).alias("offset"),
-                                           F.zip_with("item_slots", "slots", lambda i, d: F.struct(i["value"].alias("i"), d["value"].alias("d"))).alias("slots"))
-    # of an alignment: at most one row an item's window, so its sets are bounded by the item
-    aligned = met.groupBy("key", "item", "offset").agg(F.collect_set("item_at").alias("places"),
-                                                       F.array_distinct(F.flatten(F.collect_set("slots"))).alias("pairs"))
-    one = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side]))) == F.size("pairs")
-    aligned = aligned.filter(one("i") & one("d"))
-    found = aligned.groupBy("key", "item").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("matched"),
-        F.max(F.size(F.filter("pairs", lambda p: p["i"] != p["d"]))).alias("changed_slots"))
+    met = hits.join(wanted, "hash").select("key", "item", (F.col("at") - F.col("item_at")).alias("offset"), F.struct(
+        F.col("item_at").alias("at"), F.zip_with("item_slots", "slots", lambda i, d: F.struct(
+            (F.col("item_at") + i["at"]).alias("at"), i["value"].alias("i"), d["value"].alias("d"))).alias("slots")).alias("hit"))
+    # of an alignment: one row per window of the item that it meets, so its set is bounded by the item
+    aligned = _agreed(met.groupBy("key", "item", "offset").agg(F.collect_set("hit").alias("hits")).select("key", "item", "hits"))
+    found = aligned.groupBy("key", "item").agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("matched"),
+                                               F.max("changed").alias("changed_slots"))
     return found.join(sizes, "item").filter(F.col("matched") >= coverage * F.col("windows")).select(
         F.col("key").alias(key), F.col("item").alias(item), "windows", F.col("matched").cast("long"),
         (F.col("matched") / F.col("windows")).alias("coverage"), F.col("changed_slots").cast("long"))

@@ -92,3 +92,19 @@ def test_odd_rows(spark):
     assert dec.matches(docs(spark, []), benchmark).count() == 0
     assert dec.matches(docs(spark, texts), bench(spark, [])).count() == 0
     assert dec.keep_clean(docs(spark, texts), bench(spark, [])).count() == len(texts)
+
+
+SUM = ("If Anna buys 12 eggs at the small shop and then sells 5 eggs at the large market, "
+       "how many eggs does she have out of the 12 that she took home")
+NOUNS = ("wenn der alte Hund am frühen morgen durch den Garten läuft und dann der kleine Hund noch einmal zu ihm kommt "
+         "so bleibt der müde Hund ganz still und schläft bis zum späten abend weiter")
+
+
+@pytest.mark.parametrize("text, item, changed", [
+    (SUM.replace("12", "7").replace("5", "7"), SUM, 2),      # two numbers became one
+    (SUM.replace("12", "99", 1), SUM, 0),                     # one of two places edited
+    (NOUNS.replace("Hund", "Hahn", 1), NOUNS, 0),             # one of three places edited
+])
+def test_slot_conflicts(spark, text, item, changed):
+    got = found(spark, [text], [item])
+    assert (0, 0) in got and got[0, 0].changed_slots == changed
