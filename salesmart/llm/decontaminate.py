@@ -1,7 +1,8 @@
 """Benchmark decontamination by template windows (operator 8).
 
-Texts become templates: numbers, names (capitalised words within a sentence) and units (after a number)
-turn into typed placeholders, other words are lower-cased, signs go. Windows of ``WINDOW`` template
+Texts become templates: numbers, names (capitalised words) and units (after a number)
+turn into typed placeholders, other words are lower-cased, signs go. A capitalised word that opens a sentence or a text
+is read both ways, as a name and as a literal word; either may meet. Windows of ``WINDOW`` template
 tokens are hash-joined with those of the benchmark. Hits of a document and an item with the same offset
 form an alignment; in it each value of the item stands for one value of the document (``refused``), and
 windows that say otherwise are dropped, so a question asked anew with other numbers or names still
@@ -27,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from salesmart.llm.common import shared, whole
 
@@ -35,6 +37,7 @@ LITERALS = 2
 COVERAGE = 0.8
 MAX_SENT = 2_000_000       # benchmark windows (8 bytes each) that every task is sent
 CACHED_WORDS = 200_000
+CHUNK = 1 << 16            # characters of short texts that are read together
 #: Units of measurement looked for after a number.
 UNITS = frozenset((
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ton tons lb lbs pound "
@@ -44,7 +47,7 @@ UNITS = frozenset((
 _tokens = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[%$€£°]|[.!?:;\n\"“”]").findall
 WORD, NAME, NUMBER, UNIT, SIGN, STOP = range(6)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-HIT = "key {kind}, at int, hash long, slots array<struct<at:int,value:string>>"
+HIT = "key {kind}, at int, hash long, slots array<struct<at:int,value:string,sure:boolean>>"
 
 
 class Tokens(dict):
@@ -77,97 +80,149 @@ _PLACEHOLDER = np.array([0, *(xxhash.xxh64_intdigest(p) for p in ("<name>", "<nu
 _table: list[Tokens] = []
 
 
+class Readings:
+    """The template tokens of some texts, one after the other. A capitalised word that opens a sentence or a text may be a
+    name or not: its own reading is literal, ``either`` marks it."""
+
+    def __init__(self, texts: list[str]):
+        if not _table:
+            _table.append(Tokens())
+        table = _table[0]
+        if len(table) > CACHED_WORDS:
+            table.clear()
+        found, ends = [], []
+        for text in texts:
+            found += _tokens(text)
+            ends.append(len(found))
+            found.append("\n")                # a stop: the next text's first word opens it
+        at = np.fromiter(map(table.__getitem__, found), np.int64, len(found))
+        hashes, kind = table.hash[at], table.kind[at].copy()
+        before = np.r_[np.int8(STOP), kind[:-1]][:len(kind)]
+        opens = (kind == NAME) & (before == STOP)
+        kind[opens | (kind == UNIT) & (before != NUMBER)] = WORD
+        kind[kind == SIGN] = np.where(before[kind == SIGN] == NUMBER, UNIT, STOP)
+        slot = (kind > WORD) & (kind < SIGN)
+        kept = np.flatnonzero(kind != STOP)
+        self.hashes = np.where(slot, _PLACEHOLDER[np.where(slot, kind, 0)], hashes)[kept]
+        self.slot, self.either = slot[kept], opens[kept]
+        self.of = np.searchsorted(np.array(ends, np.int64), kept)            # the text of each token
+        self.starts = np.searchsorted(self.of, np.arange(len(texts) + 1))
+        self._found, self._kept = found, kept
+
+    def word(self, at: int) -> str:
+        return self._found[self._kept[at]]
+
+    def windows(self, width: int, literals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place, hash and places taken for names (a bit each) of every reading of ``width`` tokens of one text that has
+        enough literal words."""
+        n = len(self.hashes) - width + 1
+        if n < 1:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        h, words, open_ = np.full(n, width, np.uint64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for k in range(width):
+            h = _mix(h, self.hashes[k:k + n])
+            words += ~self.slot[k:k + n]
+            open_ += self.either[k:k + n]
+        one_text = self.of[:n] == self.of[width - 1:]
+        at = np.flatnonzero(one_text & (words >= literals))
+        # the other readings: each place that is either goes both ways
+        more = np.flatnonzero(one_text & (open_ > 0) & (words > literals))
+        hm, left, bits = np.full(len(more), width, np.uint64), words[more], np.zeros(len(more), np.int64)
+        for k in range(width):
+            both = np.flatnonzero(self.either[more + k] & (left > literals))
+            tokens = np.r_[self.hashes[more + k], np.full(len(both), _PLACEHOLDER[NAME])]
+            more, hm = np.r_[more, more[both]], _mix(np.r_[hm, hm[both]], tokens)
+            left, bits = np.r_[left, left[both] - 1], np.r_[bits, bits[both] | 1 << k]
+        named = np.flatnonzero(bits)
+        return np.r_[at, more[named]], np.r_[h[at], hm[named]], np.r_[np.zeros(len(at), np.int64), bits[named]]
+
+    def slots(self, at: int, width: int, bits: int) -> list[dict]:
+        """A reading's slot values (places within the window); ``sure``: in every reading."""
+        return [{"at": k, "value": self.word(at + k).lower(), "sure": not bits >> k & 1}
+                for k in range(width) if self.slot[at + k] or bits >> k & 1]
+
+
+def _mix(h: np.ndarray, token: np.ndarray) -> np.ndarray:
+    h = (h ^ token) * _BASE
+    return h ^ h >> np.uint64(29)
+
+
 def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Hashes of the template's tokens, which of them are slots, and their texts."""
-    if not _table:
-        _table.append(Tokens())
-    table = _table[0]
-    if len(table) > CACHED_WORDS:
-        table.clear()
-    found = _tokens(text)
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, bool), found
-    at = np.fromiter(map(table.__getitem__, found), np.int64, len(found))
-    hashes, kind = table.hash[at], table.kind[at].copy()
-    before = np.r_[np.int8(STOP), kind[:-1]]
-    kind[(kind == NAME) & (before == STOP)] = WORD             # capitalised as a sentence's first word
-    kind[(kind == UNIT) & (before != NUMBER)] = WORD
-    kind[kind == SIGN] = np.where(before[kind == SIGN] == NUMBER, UNIT, STOP)
-    slot = (kind > WORD) & (kind < SIGN)
-    hashes = np.where(slot, _PLACEHOLDER[np.where(slot, kind, 0)], hashes)
-    kept = np.flatnonzero(kind != STOP)
-    return hashes[kept], slot[kept], [found[k] for k in kept.tolist()] if slot.any() else []
-
-
-def windows(hashes: np.ndarray, slot: np.ndarray, width: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows of ``width`` that have enough literal words."""
-    n = len(hashes) - width + 1
-    if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h, words = np.full(n, width, np.uint64), np.zeros(n, np.int64)
-    for k in range(width):
-        h = (h ^ hashes[k:k + n]) * _BASE
-        h ^= h >> np.uint64(29)
-        words += ~slot[k:k + n]
-    at = np.flatnonzero(words >= literals)
-    return at, h[at]
+    """Hashes of the tokens of the template's literal reading, which of them are slots, and their texts."""
+    own = Readings([text])
+    return own.hashes, own.slot, [own.word(k) for k in range(len(own.hashes))]
 
 
 def _rows(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-    slots = pa.list_(pa.struct([("at", pa.int32()), ("value", pa.string())]))
+    slots = pa.list_(pa.struct([("at", pa.int32()), ("value", pa.string()), ("sure", pa.bool_())]))
     columns = list(zip(*rows, strict=True)) or [[], [], [], []]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (kind, pa.int32(), pa.int64(), slots), strict=True)],
                                       ["key", "at", "hash", "slots"])
 
 
-def _slots(at: int, width: int, slot: np.ndarray, words: list[str]) -> list[dict]:
-    return [{"at": int(k), "value": words[at + k].lower()} for k in np.flatnonzero(slot[at:at + width])]
-
-
 def _windowed(df: DataFrame, key: str, text: str, widths: list[int], short: bool, sent=None) -> DataFrame:
     """Windows of each text: key, place, hash and slot values (places within the window). ``short``: a text shorter
     than a window is one window of its own. ``sent``: the sorted hashes that are looked for."""
     rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), whole(text).alias("text"))
+    kind = to_arrow_type(df.schema[key].dataType)
+
+    def chunks(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+        names, texts, n = [], [], 0
+        for name, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            names.append(name)
+            texts.append(t)
+            n += len(t)
+            if n > CHUNK:
+                yield names, texts
+                names, texts, n = [], [], 0
+        if names:
+            yield names, texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for name, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                hashes, slot, words = template(t)
-                for width in ([min(WINDOW, len(hashes))] if short else widths):
-                    at, h = windows(hashes, slot, width, min(width, LITERALS)) if width else ((), ())
-                    if sent is not None and len(at):
-                        wanted = sent.value
-                        hit = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
-                        at, h = at[hit], h[hit]
-                    if len(at):
-                        out += [(name, a, x, _slots(a, width, slot, words)) for a, x in zip(at.tolist(), h.view(np.int64).tolist(), strict=True)]
-                if len(out) > 20_000:
-                    yield _rows(out, batch.column(0).type)
-                    out = []
+        for names, texts in (c for batch in batches for c in chunks(batch)):
+            own, out = Readings(texts), []
+            sizes = np.diff(own.starts)
+            for width in (range(1, WINDOW + 1) if short else widths):
+                at, h, bits = own.windows(width, min(width, LITERALS))
+                if short:
+                    some = np.minimum(sizes, WINDOW)[own.of[at]] == width
+                    at, h, bits = at[some], h[some], bits[some]
+                if sent is not None and len(at):
+                    wanted = sent.value
+                    hit = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
+                    at, h, bits = at[hit], h[hit], bits[hit]
+                of = own.of[at]
+                for text, place, a, x, named in zip(of.tolist(), (at - own.starts[of]).tolist(), at.tolist(), h.view(np.int64).tolist(),
+                                                    bits.tolist(), strict=True):
+                    out.append((names[text], place, x, own.slots(a, width, named)))
+                    if len(out) > 20_000:
+                        yield _rows(out, kind)
+                        out = []
             if out:
-                yield _rows(out, batch.column(0).type)
+                yield _rows(out, kind)
     return rows.mapInArrow(run, HIT.format(kind=df.schema[key].dataType.simpleString()))
 
 
-def refused(slots: dict[tuple[str, str], set[int]]) -> set[tuple[str, str]]:
-    """The pairs (item's value, document's value) that don't hold, of an alignment's pairs and their places in the item.
+def refused(slots: dict[tuple[str, str], set[int]], sure: set[tuple[str, str]]) -> set[tuple[str, str]]:
+    """The pairs (item's value, document's value) that don't hold, of an alignment's pairs and their places in the item;
+    ``sure``: pairs that are slots in every reading somewhere.
 
-    A value of the item stands for the document's value that most of its places have. Among equals, a number or unit stands
-    for the first in order and a name for none. Two names of the item that became one name stand for none; numbers
-    may coincide."""
+    A value of the item stands for the document's value that most of its places have, a sure one before others. Among equals,
+    a number or unit stands for the first in order and a name for none. Two sure names of the item that became one name stand
+    for none; numbers may coincide."""
     by: dict[str, list[tuple[str, str]]] = {}
     for pair in slots:
         by.setdefault(pair[0], []).append(pair)
     bad = set()
     for value, pairs in by.items():
         if len(pairs) > 1:
-            pairs.sort(key=lambda p: (-len(slots[p]), p))
-            tie = len(slots[pairs[0]]) == len(slots[pairs[1]])
+            rank = lambda p: (-len(slots[p]), p not in sure)
+            pairs.sort(key=lambda p: (rank(p), p))
+            tie = rank(pairs[0]) == rank(pairs[1])
             bad.update(pairs if tie and _is_name(value) else pairs[1:])
     names: dict[str, list[tuple[str, str]]] = {}
     for pair in slots:
-        if pair not in bad and _is_name(pair[0]):
+        if pair not in bad and pair in sure and _is_name(pair[0]):
             names.setdefault(pair[1], []).append(pair)
     for pairs in names.values():
         if len(pairs) > 1:
@@ -186,15 +241,15 @@ def _agreed(aligned: DataFrame) -> DataFrame:
         for batch in batches:
             places, changed = [], []
             for hits in batch.column(2):
-                hits = [(h["at"], [(s["at"], (s["i"], s["d"])) for s in h["slots"]]) for h in hits.as_py()]
+                hits = [(h["at"], [(s["at"], (s["i"], s["d"]), s["sure"]) for s in h["slots"]]) for h in hits.as_py()]
                 slots: dict[tuple[str, str], set[int]] = {}
                 for _, own in hits:
-                    for at, pair in own:
+                    for at, pair, _ in own:
                         slots.setdefault(pair, set()).add(at)
-                bad = refused(slots)
-                kept = [(at, own) for at, own in hits if not any(pair in bad for _, pair in own)]
+                bad = refused(slots, {pair for _, own in hits for _, pair, sure in own if sure})
+                kept = [(at, own) for at, own in hits if not any(pair in bad for _, pair, _ in own)]
                 places.append(sorted({at for at, _ in kept}))
-                changed.append(len({pair for _, own in kept for _, pair in own if pair[0] != pair[1]}))
+                changed.append(len({pair for _, own in kept for _, pair, _ in own if pair[0] != pair[1]}))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int32())),
                                               pa.array(changed, pa.int32())], ["key", "item", "places", "changed"])
     kinds = [aligned.schema[c].dataType.simpleString() for c in ("key", "item")]
@@ -218,8 +273,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
     hits = _windowed(docs, key, text, widths, False, sent)
     met = hits.join(wanted, "hash").select("key", "item", (F.col("at") - F.col("item_at")).alias("offset"), F.struct(
         F.col("item_at").alias("at"), F.zip_with("item_slots", "slots", lambda i, d: F.struct(
-            (F.col("item_at") + i["at"]).alias("at"), i["value"].alias("i"), d["value"].alias("d"))).alias("slots")).alias("hit"))
-    # of an alignment: one row per window of the item that it meets, so its set is bounded by the item
+            (F.col("item_at") + i["at"]).alias("at"), i["value"].alias("i"), d["value"].alias("d"), (i["sure"] & d["sure"]).alias("sure"))).alias("slots")).alias("hit"))
+    # of an alignment: one row per window of the item that it meets and reading, so its set is bounded by the item
     aligned = _agreed(met.groupBy("key", "item", "offset").agg(F.collect_set("hit").alias("hits")).select("key", "item", "hits"))
     found = aligned.groupBy("key", "item").agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("matched"),
                                                F.max("changed").alias("changed_slots"))

@@ -108,3 +108,33 @@ NOUNS = ("wenn der alte Hund am frühen morgen durch den Garten läuft und dann
 def test_slot_conflicts(spark, text, item, changed):
     got = found(spark, [text], [item])
     assert (0, 0) in got and got[0, 0].changed_slots == changed
+
+
+JANET = "Janet has 16 eggs in the box. Janet eats 3 of them and then sells the rest at the market for 2 dollars"
+
+
+@pytest.mark.parametrize("text, item, changed", [
+    (JANET.replace("Janet", "Clara").replace("16", "9"), JANET, 2),
+    (f"and so on 12) {JANET}", JANET, 0),
+    ("and so on Janet eats a lot of green eggs too", "Janet eats a lot of green eggs", 0),
+    (f"it says: {ITEM}", ITEM.replace("If Anna", "Anna"), 0),
+    ("The end. When Anna sells. Bernd buys. Clara eats. Then", "When Clara sells. Anna buys. Bernd eats. Then", 3),
+])
+def test_names_that_open_a_sentence(spark, text, item, changed):
+    got = found(spark, [text], [item])
+    assert (0, 0) in got and got[0, 0].changed_slots == changed
+
+
+def test_readings():
+    """All readings of all windows, by the definition, of texts read together."""
+    texts = ["Anna. Bernd. Clara. Doris. Emil. So it goes", "", "One two", "It is. Anna and. Bernd or 3 km. The. End of it all"]
+    own = dec.Readings(texts)
+    for width, literals in ((1, 1), (2, 2), (5, 2), (5, 0)):
+        got = sorted((a, b) for a, _, b in zip(*(x.tolist() for x in own.windows(width, literals)), strict=True))
+        want = []
+        for a in range(len(own.of) - width + 1):
+            if own.of[a] == own.of[a + width - 1]:
+                fixed = sum(1 << k for k in range(width) if own.slot[a + k])
+                want += [(a, b) for b in range(1 << width) if all(own.either[a + k] for k in range(width) if b >> k & 1)
+                         and width - (fixed | b).bit_count() >= literals]
+        assert got == sorted(want)
