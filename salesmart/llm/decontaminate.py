@@ -12,9 +12,12 @@ windows left cover at least ``COVERAGE`` of the item's windows.
 The documents' windows are filtered against the benchmark's before they are shuffled while the
 benchmark has at most ``MAX_SENT`` windows; beyond that all windows meet in the join.
 
-Defined results: null and empty texts have no windows; an item shorter than a window is one window; windows
-of fewer than ``LITERALS`` literal words (all words of a shorter item) are not used, so an item without a usable window
-is never matched; repeated rows share one result row, and so do repeated items; rows and items without an id are
+Windows of fewer than ``LITERALS`` literal words (all words of a shorter item) would meet everywhere as templates. They meet
+by their lower-case words as they are, or count as met if all their words lie in windows that are met. So a longer run
+of numbers and names has to be the same.
+
+Defined results: null and empty texts have no windows; an item shorter than a window is one window; an item without a
+word, number or unit is never matched; repeated rows share one result row, and so do repeated items; rows and items without an id are
 left out. Whole texts are read. Columns other than the named ones are not.
 """
 
@@ -47,6 +50,7 @@ UNITS = frozenset((
 _tokens = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[%$€£°]|[.!?:;\n\"“”]").findall
 WORD, NAME, NUMBER, UNIT, SIGN, STOP = range(6)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+EXACT = -1                 # in place of a reading's bits
 HIT = "key {kind}, at int, hash long, slots array<struct<at:int,value:string,sure:boolean>>"
 
 
@@ -104,7 +108,7 @@ class Readings:
         slot = (kind > WORD) & (kind < SIGN)
         kept = np.flatnonzero(kind != STOP)
         self.hashes = np.where(slot, _PLACEHOLDER[np.where(slot, kind, 0)], hashes)[kept]
-        self.slot, self.either = slot[kept], opens[kept]
+        self.slot, self.either, self.words = slot[kept], opens[kept], hashes[kept]
         self.of = np.searchsorted(np.array(ends, np.int64), kept)            # the text of each token
         self.starts = np.searchsorted(self.of, np.arange(len(texts) + 1))
         self._found, self._kept = found, kept
@@ -136,8 +140,23 @@ class Readings:
         named = np.flatnonzero(bits)
         return np.r_[at, more[named]], np.r_[h[at], hm[named]], np.r_[np.zeros(len(at), np.int64), bits[named]]
 
+    def exact(self, width: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
+        """Place and hash over the lower-case words, without placeholders, of every window that has a reading of too few
+        literal words."""
+        n = len(self.hashes) - width + 1
+        if n < 1:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        sure = np.cumsum(np.r_[0, ~self.slot & ~self.either])
+        at = np.flatnonzero((self.of[:n] == self.of[width - 1:]) & (sure[width:] - sure[:n] < literals))
+        h = np.full(len(at), WINDOW + width, np.uint64)
+        for k in range(width):
+            h = _mix(h, self.words[at + k])
+        return at, h
+
     def slots(self, at: int, width: int, bits: int) -> list[dict]:
-        """A reading's slot values (places within the window); ``sure``: in every reading."""
+        """A reading's slot values (places within the window); ``sure``: in every reading. An exact window has none."""
+        if bits == EXACT:
+            return []
         return [{"at": k, "value": self.word(at + k).lower(), "sure": not bits >> k & 1}
                 for k in range(width) if self.slot[at + k] or bits >> k & 1]
 
@@ -184,6 +203,8 @@ def _windowed(df: DataFrame, key: str, text: str, widths: list[int], short: bool
             sizes = np.diff(own.starts)
             for width in (range(1, WINDOW + 1) if short else widths):
                 at, h, bits = own.windows(width, min(width, LITERALS))
+                exact, words = own.exact(width, min(width, LITERALS))
+                at, h, bits = np.r_[at, exact], np.r_[h, words], np.r_[bits, np.full(len(exact), EXACT)]
                 if short:
                     some = np.minimum(sizes, WINDOW)[own.of[at]] == width
                     at, h, bits = at[some], h[some], bits[some]
@@ -230,13 +251,21 @@ def refused(slots: dict[tuple[str, str], set[int]], sure: set[tuple[str, str]])
     return bad
 
 
+def covered(places: set[int]) -> list[int]:
+    """All windows whose every word lies in one of the windows at ``places``."""
+    out: list[int] = []
+    for at in sorted(places):
+        out += range(out[-1] + 1 if out and at - out[-1] <= WINDOW else at, at + 1)
+    return out
+
+
 def _is_name(value: str) -> bool:
     return value[0].isalpha() and value not in UNITS
 
 
 def _agreed(aligned: DataFrame) -> DataFrame:
-    """``key, item, places, changed`` of each alignment: the item's windows that carry no refused pair, and how many of
-    their pairs differ."""
+    """``key, item, places, changed`` of each alignment: the item's windows that carry no refused pair and those that
+    they cover, and how many of their pairs differ."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places, changed = [], []
@@ -248,7 +277,7 @@ def _agreed(aligned: DataFrame) -> DataFrame:
                         slots.setdefault(pair, set()).add(at)
                 bad = refused(slots, {pair for _, own in hits for _, pair, sure in own if sure})
                 kept = [(at, own) for at, own in hits if not any(pair in bad for _, pair, _ in own)]
-                places.append(sorted({at for at, _ in kept}))
+                places.append(covered({at for at, _ in kept}))
                 changed.append(len({pair for _, own in kept for _, pair, _ in own if pair[0] != pair[1]}))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int32())),
                                               pa.array(changed, pa.int32())], ["key", "item", "places", "changed"])

@@ -138,3 +138,28 @@ def test_readings():
                 want += [(a, b) for b in range(1 << width) if all(own.either[a + k] for k in range(width) if b >> k & 1)
                          and width - (fixed | b).bit_count() >= literals]
         assert got == sorted(want)
+
+
+SERIES = "Go on with the series 3 5 8 13 21 34 55 89 144 233 377 610"
+MIXED = "Then the boy paid 12 Euro 5 Cent to Anna Bernd and then he went back to the house"
+
+
+@pytest.mark.parametrize("text, item, hit", [
+    ("so 12 + 30 = 42 it is", "12 + 30 = 42", True),
+    ("so 12 + 31 = 43 it is", "12 + 30 = 42", False),
+    ("now Compute 12 + 30 * 4 then", "Compute 12 + 30 * 4", True),
+    ("with 7 8 9 10 11 12 13 in it", "7 8 9 10 11 12", True),
+    ("with Anna Bernd Clara Doris Emil Fritz in it", "Anna Bernd Clara Doris Emil Fritz", True),
+    (f"so {SERIES} and", SERIES, True),
+    ("Go on with the series 4 6 9 14 22 35 56 90 145 234 378 611", SERIES, False),    # most of the item is another
+    (MIXED.replace("12", "9").replace("Anna", "Clara").replace("Bernd", "Doris"), MIXED, True),
+])
+def test_windows_without_literals(spark, text, item, hit):
+    got = found(spark, [text], [item])
+    assert ((0, 0) in got) == hit
+    if hit:
+        assert got[0, 0].windows == max(1, len(dec.template(item)[0]) - dec.WINDOW + 1)
+
+
+def test_covered():
+    assert dec.covered(set()) == [] and dec.covered({0, 2, 7, 13}) == [*range(8), 13]
