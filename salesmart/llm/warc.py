@@ -58,16 +58,22 @@ def _record(headers: list[tuple[str, Column]], block: Column) -> Column:
                     F.lit(RECORD_END), block)
 
 
+def _revisits(narrow: DataFrame) -> DataFrame:
+    """``again_id, again_sha, first`` of the captures whose payload another one, ``first``, carries. The rebalances keep the
+    join from reusing the aggregate's dealing and the distinct from reusing the join's, so AQE can split a payload that
+    very many pages share."""
+    best = narrow.groupBy("sha").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    return narrow.join(best.select("sha", "first").hint("rebalance"), "sha").filter(~F.col("page_id").eqNullSafe(F.col("first"))) \
+        .select(F.col("page_id").alias("again_id"), F.col("sha").alias("again_sha"), "first").hint("rebalance").distinct()
+
+
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html",
                    least_bytes: int = 0, date: str = DATE) -> None:
     """Write the records of ``pages``. Of equal payloads of ``least_bytes`` or more the one of the largest key is
     the response."""
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
                         whole(html).alias("html")).withColumn("sha", F.sha1(F.col("html").cast("binary")))
-    narrow = rows.filter(F.octet_length("html") >= least_bytes).select("page_id", "sha")
-    best = narrow.groupBy("sha").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    again = narrow.join(best.select("sha", "first"), "sha").filter(~F.col("page_id").eqNullSafe(F.col("first"))) \
-        .select(F.col("page_id").alias("again_id"), F.col("sha").alias("again_sha"), "first").distinct()
+    again = _revisits(rows.filter(F.octet_length("html") >= least_bytes).select("page_id", "sha"))
     rows = rows.join(again, rows["page_id"].eqNullSafe(again["again_id"]) & (rows["sha"] == again["again_sha"]), "left")
     name = lambda kind, page: _urn(F.lit(kind), F.coalesce(page.cast("string"), F.lit("null")), F.col("sha"))
     mine, revisit = name("capture", F.col("page_id")), F.col("again_sha").isNotNull()

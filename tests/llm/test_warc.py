@@ -82,3 +82,23 @@ def test_empty(spark):
 def test_real_pages(spark):
     rows = table(spark, "/root/testdata/sf0.001", "pages")
     assert warc.round_trip(rows).count() == rows.count()
+
+
+def test_hot_payload_is_split(spark):
+    """A payload on a third of all pages is joined by several tasks."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        sha = F.sha1(F.when(F.col("id") % 3 == 0, 0).otherwise(F.floor(F.col("id") / 2)).cast("string"))
+        narrow = spark.range(0, 60_000, 1, 8).select(F.xxhash64("id").alias("page_id"), sha.alias("sha"))
+        found = warc._revisits(narrow)
+        assert found.filter(F.col("again_sha") == F.sha1(F.lit("0"))).count() > 19_000
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
