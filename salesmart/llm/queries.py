@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bpe, decontaminate, exact, pii, quality, sharding, simhash, tokencount, toxicity, warc
+from salesmart.llm import bpe, decontaminate, exact, pii, quality, runs, sharding, simhash, tokencount, toxicity, warc
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
@@ -63,4 +67,5 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
+    "op11_periodic_runs": op11_periodic_runs,
 }
