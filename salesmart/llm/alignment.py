@@ -36,6 +36,7 @@ from salesmart.llm.bpe import default_path as default_a
 from salesmart.llm.common import shared, whole
 
 CHUNK_TEXTS, CHUNK_BYTES = 1024, 4 << 20      # a longer text is a chunk of its own
+BLOCK_TEXTS = 32                              # of a chunk that are aligned at a time
 WIDE = 1 << 12                                # links of a group from which its distinct ids are counted
 CHUNK = ("chunk string, sha array<binary>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, "
          "groups_sha256 array<string>, pairs array<struct<a:int,b:int,copies:bigint>>, ends array<bigint>, places binary, times binary")
@@ -67,8 +68,8 @@ class ByteLevel(Side):
             raise ValueError("ids of a byte-level vocabulary have to be ranks, without gaps")
         self.encoding = tiktoken.Encoding("byte-level", pat_str=PIECES, mergeable_ranks=vocab, special_tokens={})
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [self.encoding.encode_ordinary(" " + t) for t in texts]
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [self.encoding.encode_to_numpy(" " + t).astype(np.int64) for t in texts]
 
 
 class Pieces(Side):
@@ -80,8 +81,8 @@ class Pieces(Side):
         super().__init__([bytes([int(piece(i)[3:5], 16)]) if self.model.is_byte(i) else piece(i).replace("▁", " ").encode()
                           for i in range(self.model.get_piece_size())])
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, np.int64) for ids in self.model.encode(texts, num_threads=1)]
 
 
 _sides: dict[tuple[str, str], tuple[Side, Side]] = {}
@@ -96,12 +97,16 @@ def _both(names: tuple[str, str], a, b) -> tuple[Side, Side]:
 
 
 def pack(numbers: np.ndarray) -> bytes:
-    """Integers as planes of their bytes: the high ones are zero nearly everywhere, which any codec squeezes out."""
-    return numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Integers from 0 on: how many bytes the greatest one needs, then that many planes of bytes."""
+    width = max((int(numbers.max(initial=0)).bit_length() + 7) // 8, 1)
+    return bytes([width]) + numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T[:width].tobytes()
 
 
 def unpack(packed: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+    planes = np.frombuffer(packed, np.uint8, offset=1).reshape(packed[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :packed[0]] = planes.T
+    return out.view("<i8").ravel()
 
 
 def _links(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -123,52 +128,56 @@ def _links(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, gro
     return tuple(map(np.concatenate, zip(*out, strict=True)))
 
 
-def _flat(ids: list[list[int]]) -> np.ndarray:
-    return np.fromiter((i for x in ids for i in x), np.int64, sum(map(len, ids)))
-
-
 class Aligner:
-    """Chunks of aligned texts."""
+    """Chunks of aligned texts, ``BLOCK_TEXTS`` at a time."""
 
     def __init__(self, a: Side, b: Side):
         self.a, self.b = a, b
-        some = max(len(a.bytes_of), len(b.bytes_of))
-        self.written = np.array([f"{i}{end}" for end in (",", "|", ";", "") for i in range(some)], object)
-        self.some = some
+        self.some = max(len(a.bytes_of), len(b.bytes_of))
+        self.written = np.array([f"{i}{end}" for end in (",", "|", ";", "") for i in range(self.some)], object)
 
     def chunk(self, shas: list[bytes], texts: list[str], copies: list[int]) -> dict | None:
         """One row of ``CHUNK``; texts that aren't the bytes of their tokens are left out, and None if all are."""
-        a, b = self.a.encode(texts), self.b.encode(texts)
-        kept = [k for k, t in enumerate(texts)
-                if b"".join(map(self.a.bytes_of.__getitem__, a[k])) == (want := b" " + t.encode())
-                and b"".join(map(self.b.bytes_of.__getitem__, b[k])) == want]
+        kept, blocks = [], []
+        for k in range(0, len(texts), BLOCK_TEXTS):
+            part = texts[k:k + BLOCK_TEXTS]
+            a, b = self.a.encode(part), self.b.encode(part)
+            own = [i for i, t in enumerate(part)
+                   if b"".join(map(self.a.bytes_of.__getitem__, a[i].tolist())) == (want := b" " + t.encode())
+                   and b"".join(map(self.b.bytes_of.__getitem__, b[i].tolist())) == want]
+            if own:
+                blocks.append(self._block([a[i] for i in own], [b[i] for i in own], len(kept)))
+                kept += [k + i for i in own]
         if not kept:
             return None
-        row = {"chunk": hashlib.sha256(texts[0].encode()).hexdigest(), "sha": [shas[k] for k in kept]}
-        a, b, copies = [a[k] for k in kept], [b[k] for k in kept], np.array([copies[k] for k in kept], np.int64)
+        digests = [x for block in blocks for x in block.pop()]
+        n_a, n_b, n_groups, n_links, text, pair, times = map(np.concatenate, zip(*blocks, strict=True))
+        pairs, place = np.unique(pair, return_inverse=True)
+        weight = np.zeros(len(pairs), np.int64)
+        np.add.at(weight, place, np.array([copies[k] for k in kept], np.int64)[text])
+        kinds = len(self.b.bytes_of)
+        return {"chunk": hashlib.sha256(texts[0].encode()).hexdigest(), "sha": [shas[k] for k in kept],
+                "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links, "groups_sha256": digests,
+                "pairs": (pairs // kinds, pairs % kinds, weight), "ends": np.cumsum(np.bincount(text, minlength=len(kept))),
+                "places": pack(place), "times": pack(times)}
+
+    def _block(self, a: list[np.ndarray], b: list[np.ndarray], first: int) -> list:
+        """Counts of some texts, numbered from ``first``; their distinct pairs as text, pair and links; their groups' digests."""
         n_a, n_b = np.array(list(map(len, a)), np.int64), np.array(list(map(len, b)), np.int64)
-        a, b = _flat(a), _flat(b)
+        a, b = np.concatenate(a), np.concatenate(b)
         end_a, end_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
         cuts = np.intersect1d(end_a, end_b, assume_unique=True)      # a text's end is one
         of_a, of_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
-        last_a = np.cumsum(n_a) - 1
-        of_text = np.searchsorted(last_a, np.searchsorted(end_a, cuts))      # of each group
-        group, left, right, times = _links(a, b, of_a, of_b, len(cuts))
+        of_text = np.searchsorted(end_a[np.cumsum(n_a) - 1], cuts)      # of each group
+        group, left, right, each = _links(a, b, of_a, of_b, len(cuts))
         kinds_a, kinds_b = len(self.a.bytes_of), len(self.b.bytes_of)
         held, place = np.unique((of_text[group] * kinds_a + left) * kinds_b + right, return_inverse=True)
-        occurs = np.zeros(len(held), np.int64)
-        np.add.at(occurs, place, times)
+        times, n_links = np.zeros(len(held), np.int64), np.zeros(len(n_a), np.int64)
+        np.add.at(times, place, each)
         text, pair = np.divmod(held, kinds_a * kinds_b)
-        pairs, place = np.unique(pair, return_inverse=True)
-        weight = np.zeros(len(pairs), np.int64)
-        np.add.at(weight, place, copies[text])
-        total = np.zeros(len(kept), np.int64)
-        np.add.at(total, text, occurs)
-        row |= {"n_a": n_a, "n_b": n_b, "n_groups": np.bincount(of_text, minlength=len(kept)), "n_links": total,
-                "groups_sha256": self._digests(a, b, of_a, of_b, len(cuts), np.cumsum(n_a + n_b)),
-                "pairs": (pairs // kinds_b, pairs % kinds_b, weight), "ends": np.cumsum(np.bincount(text, minlength=len(kept))),
-                "places": pack(place), "times": pack(occurs)}
-        return row
+        np.add.at(n_links, text, times)
+        return [n_a, n_b, np.bincount(of_text, minlength=len(n_a)), n_links, text + first, pair, times,
+                self._digests(a, b, of_a, of_b, len(cuts), np.cumsum(n_a + n_b))]
 
     def _digests(self, a, b, of_a, of_b, groups: int, ends: np.ndarray) -> list[str]:
         """sha256 of each text's groups as written; ``ends`` are the texts' ends in tokens of both sides."""
@@ -223,7 +232,8 @@ def pair_counts(chunks: DataFrame) -> DataFrame:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1).to_pylist()[0]
             places, times = unpack(row["places"]), unpack(row["times"])
             n, best = np.zeros(len(row["counted"]), np.int64), np.zeros(len(row["counted"]), bool)
             for x in row["counted"]:
