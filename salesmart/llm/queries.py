@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import alignment, bpe, decontaminate, exact, pii, quality, runs, sharding, simhash, tokencount, toxicity, warc
+from salesmart.llm import alignment, bpe, decontaminate, exact, pii, quality, runs, sharding, simhash, tokencount, toxicity, warc, wrappers
 from salesmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_digests(table(spark, sf_dir, "documents"))
 
@@ -72,5 +76,6 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_wrappers": op12_wrappers,
     "op13_alignment": op13_alignment,
 }

@@ -1,0 +1,176 @@
+import html as _html
+import re
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from salesmart.llm import wrappers as W
+from salesmart.llm.common import table
+
+SCHEMA = "page_id long, url string, html string, host string, expression string, blocks int, keep string, slot int, page_key int, `a.b` int"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "h", None, 1, "k", 2, 3, 4) for r in rows], SCHEMA)
+
+
+def texts(spark, rows):
+    return {r.page_id: r.text for r in W.extract(pages(spark, rows)).collect()}
+
+
+WORDS = "river stone winter market signal garden engine letter copper window".split()
+
+
+def say(k, n=12):
+    return " ".join(WORDS[(k * 7 + i * (k % 5 + 1)) % 10] + str(k * i % 17) for i in range(n)) + "."
+
+
+def named(k):
+    """A page that names its parts by tags."""
+    extra = "<aside><p>see also</p></aside>" if k % 3 == 0 else ""
+    return (f"<html><head><title>t{k}</title><style>p{{}}</style></head><body><header><h1>Site</h1></header><nav><a href=x>home</a></nav>"
+            f"<main><article><header><h1>{say(k, 3)}</h1></header><p>{say(k)}<p>{say(k + 1)} <a href=y>link</a> end{extra}</article>"
+            f"<section class=comments><article><p>reader {k}</p></article></section></main><footer>imprint</footer>",
+            f"{say(k, 3)}\n{say(k)}\n{say(k + 1)} link end")
+
+
+def by_class(k):
+    """A page of div elements with names."""
+    more = "".join(f"<li>{say(k + i, 4)}</li>" for i in range(k % 4))
+    listing = f"<ul>{more}</ul>" if more else ""
+    return (f'<body class="page with-sidebar"><div id="masthead">Paper</div><div class="top-menu"><ul><li><a>a</a></li><li><a>b</a></li></ul></div>'
+            f'<div id="cookie-notice">We use cookies</div><div class="wrap"><div class="post-content"><h1>{say(k, 4)}</h1><p>{say(k)}</p>{listing}'
+            f'<div class="ad-slot">buy {k}</div><form><p>mail</p><input></form><blockquote>{say(k + 3)}</blockquote></div>'
+            f'<div class="sidebar"><p>{say(k + 9, 40)}</p></div><div id="comments"><p>{say(k + 8, 60)}</p></div></div><div class="site-footer">x</div></body>',
+            "\n".join([say(k, 4), say(k), *(say(k + i, 4) for i in range(k % 4)), say(k + 3)]))
+
+
+def unnamed(k):
+    """A page of tables that names nothing: only its host's other pages tell template from article."""
+    return (f"<table><tr><td>Daily Paper of the Town</td></tr><tr><td><a href=1>News of the day</a> <a href=2>Sports</a></td></tr>"
+            f"<tr><td><div><p>{say(k)}</p><p>{say(k + 5, 30)}</p></div></td></tr><tr><td>All rights with the Daily Paper of the Town</td></tr></table>",
+            f"{say(k)}\n{say(k + 5, 30)}")
+
+
+@pytest.mark.parametrize("layout", [named, by_class, unnamed])
+def test_layouts(spark, layout):
+    made = {k: layout(k) for k in range(12)}
+    got = texts(spark, [(k, f"http://one.example/{k}", page) for k, (page, _) in made.items()])
+    assert got == {k: want for k, (_, want) in made.items()}
+
+
+def test_hosts_of_mixed_layouts(spark):
+    made = {k: (named, by_class)[k % 2](k) for k in range(20)}
+    got = texts(spark, [(k, "https://Two.example:80/x", page) for k, (page, _) in made.items()])
+    assert got == {k: want for k, (_, want) in made.items()}
+
+
+def test_blocks_and_references():
+    page = ("lead<p>a&nbsp;&amp;amp; &lt;b&gt;<br>c\n\t d<b>e</b>f<i> g<p>&#233;&eacute; &copy 5<div>x<!-- <p>no --> y</div>tail"
+            "<script>if (a < b) document.write('<p>no</p>')</script><span class='share box'>no</span>!")
+    assert [t for _, t, _ in W.parse(page)[1]] == ["lead", "a &amp; <b> c def g", "éé © 5", "x y", "tail!"]
+
+
+def test_broken_pages():
+    for page, want in [("<p title='a>b\">x</p>y", ['b">x', "y"]), ("<div><p>a</div></p></span>b", ["a", "b"]), ("1 < 2 and <3", ["1 < 2 and <3"]), ("<p>a<p", ["a"]), ("<p>a</p", ["a"]),
+                       ("<script>x", []), ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", ["a", "b", "c", "d"]), ("<a href=x>l<p>m</a>n", ["l", "mn"]),
+                       ("<!-- open <p>a", []), ("<head><meta x><body>t", ["t"]), ("<TABLE><TR><TD>a<TD>b<TR><TD>c</TABLE>", ["a", "b", "c"]),
+                       ("<title>a</title><TEXTAREA>b</p></textarea>c", ["c"]), ("<p\n>a</p\n>b\x00", ["a", "b\x00"])]:
+        assert [t for _, t, _ in W.parse(page)[1]] == want, page
+
+
+def test_links_are_counted():
+    assert W.parse("<p>see <a href=x>here now</a> ok</p>")[1] == [(0, "see here now ok", 8)]
+
+
+def test_expressions():
+    assert W.parse("<ul><li>a<li>b<li><p>c</ul>")[0] == "body(ul(li(#? p(#)?)+))"
+    assert W.parse("<dl><dt>a<dd>b<dt>c<dd>d</dl>")[0] == "body(dl((dt(#) dd(#))+))"
+    assert W.parse("<div></div><div id=Main-1 class='x B'><p></p>t</div>")[0] == "body(div.b.main.x(#))"
+
+
+def test_read_is_the_inverse_of_write():
+    for page in (named(3)[0], by_class(3)[0], unnamed(1)[0], "<dl><dt>a<dd>b<dt>c<dd>d</dl>"):
+        expression = W.parse(page)[0]
+        node, slots = W.read(expression)
+        again = []
+        assert W.write(node, again) == expression and [s.of for s in slots] == [s.of for s in again] == [[k] for k in range(len(slots))]
+
+
+def as_pattern(node):
+    items = "".join(f"(?:{'#' if isinstance(x, W.Slot) else as_pattern(x)}){W._mark(o, r)}" for o, r, x in node.items)
+    return re.escape(node.name) + r"\(" + items + r"\)" if node.name else items
+
+
+def test_wrapper_accepts_its_pages(monkeypatch):
+    made = [layout(k)[0] for layout in (named, by_class, unnamed) for k in range(9)]
+    folded = [W.parse(p) for p in made]
+    wrapper, _, maps = W.combine([(e, [(1, 1, 0, 0, 0)] * len({s for s, _, _ in b})) for e, b in folded])
+    monkeypatch.setattr(W, "fold", lambda items: items)
+    accepts = re.compile(as_pattern(W.read(wrapper)[0]))
+    for page, (_, blocks), places in zip(made, folded, maps, strict=True):
+        assert accepts.fullmatch(W.parse(page)[0].replace(" ", ""))
+        assert len(places) == len({s for s, _, _ in blocks})
+
+
+def test_alignment_of_long_rows(monkeypatch):
+    x, y = "body(" + " ".join(f"p.a{k}(#)" for k in range(30)) + ")", "body(" + " ".join(f"p.a{k}(#)" for k in range(1, 40, 2)) + ")"
+    x, y = re.sub("[0-9]+", lambda m: "x" * int(m[0]), x), re.sub("[0-9]+", lambda m: "x" * int(m[0]), y)
+
+    def merged():
+        return W.combine([(e, [(1, 1, 0, 0, 0)] * e.count("#")) for e in (x, y)])[0]
+    table_way = merged()
+    monkeypatch.setattr(W, "CELLS", 0)
+    assert merged() == table_way and table_way.count("#") == 35
+
+
+def test_order_of_rows_changes_nothing():
+    rows = [(W.parse(layout(k)[0])[0], None) for layout in (named, by_class, unnamed) for k in range(6)]
+    rows = [(e, [(1, 5, 0, n, n) for n in range(e.count("#"))]) for e, _ in rows]
+    assert W.combine(rows)[:2] == W.combine(rows[::-1])[:2]
+
+
+def test_one_page_hosts_keep_their_text(spark):
+    page, want = named(1)
+    assert texts(spark, [(1, "http://a", page), (2, "http://b", "<div><p>alone here</p></div>"), (3, None, "plain text")]) == \
+        {1: want, 2: "alone here", 3: "plain text"}
+
+
+def test_recurring_text_in_an_article_stays(spark):
+    page = "<nav>n</nav><article><h1>Same</h1><p>license line</p></article>"
+    assert set(texts(spark, [(k, "http://a/", page) for k in range(30)]).values()) == {"Same\nlicense line"}
+
+
+def test_odd_pages(spark):
+    deep = "<div>" * 500 + "deep" + "</div>" * 500
+    long = "<article>" + "<p>word &amp; more</p>" * 20_000 + "</article>"
+    rows = [(1, None, None), (2, "", ""), (3, "http://a", " \n"), (4, "http://a", deep), (5, "http://a", long), (5, "http://a", long), (None, "x", "<p>y"),
+            (6, "http://a", "<article></article>"), (7, "http://a", "<nav>only</nav>"), (8, "http://u:p@b.example/x", "a\x00b\x1cc")]
+    got = W.extract(pages(spark, rows)).collect()
+    assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
+    by = {r.page_id: r for r in got}
+    assert [by[k].text for k in (1, 2, 3, 4, 6, 7, None, 8)] == ["", "", "", "deep", "", "", "y", "a\x00b c"]
+    assert by[5].text == "\n".join(["word & more"] * 20_000) and by[1].url is None and by[2].url == ""
+
+
+def test_empty(spark):
+    assert W.extract(pages(spark, [])).count() == 0
+
+
+def test_wrappers(spark):
+    found, keep = W.infer(table(spark, "/root/testdata/sf0.01", "pages"))
+    rows = {r.host: r.wrapper for r in found.collect()}
+    assert "body(nav(ul(li(#)+)) div.ad(#) article(h1(#) p(#)+) footer(#))" in rows.values()
+    assert keep.filter(F.size("keep") != F.length(F.regexp_replace("expression", "[^#]", ""))).count() == 0
+
+
+def test_query_against_plain_version(spark):
+    """The given pages name their article, so a search for that element finds what the wrappers should."""
+    def plain(page):
+        inner = re.search("<article>(.*?)</article>", page, re.S)[1]
+        blocks = (" ".join(_html.unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split("</?(?:p|h1)>", inner))
+        return "\n".join(filter(None, blocks))
+    rows = duckdb.sql("SELECT page_id, url, html FROM '/root/testdata/sf0.1/pages.parquet'").fetchall()
+    got = {r.page_id: (r.url, r.text, r.n_chars) for r in W.extract(table(spark, "/root/testdata/sf0.1", "pages")).collect()}
+    assert got == {i: (u, t := plain(h), len(t)) for i, u, h in rows}
