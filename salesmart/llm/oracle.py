@@ -19,10 +19,12 @@ b AS (
       substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
         ((('0x' || substr(h, CAST(5 * k + 1 AS BIGINT), 5))::INTEGER >> s) & 31) + 1, 1)), '')), '') AS payload_digest
   FROM p),
-r AS (SELECT h, max(page_id) AS first FROM b GROUP BY h)
-SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> first THEN first END AS refers_to
-FROM b JOIN r USING (h)
+r AS (SELECT h, max(page_id) AS first FROM b GROUP BY h),
+n AS (SELECT *, row_number() OVER (PARTITION BY h, page_id) AS k FROM b JOIN r USING (h))
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first AND k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN NOT (page_id IS NOT DISTINCT FROM first AND k = 1) THEN first END AS refers_to
+FROM n
 """
 
 ORACLE: dict[str, str] = {

@@ -8,9 +8,10 @@ and its own line reader streams them back; a task holds one record at a time. ``
 joins the records of a transaction into one nested row.
 
 Defined results: a null html is an empty payload; a null url leaves the target header out; line
-breaks in a url are percent-encoded; page_id may be null and is below any other; repeated rows
-(same page_id, same html) are one capture and give one row; a request or metadata record whose
-capture isn't in the archives gives no row, a capture without them gives a row with nulls there.
+breaks in a url are percent-encoded; page_id may be null and is below any other, as a null url is; repeated rows are
+captures of their own, numbered by an aggregate (rows equal in page_id, url and html can't be told apart, so any of them
+carries the payload); of equal payloads one record of the largest page_id is the response, the one of the last url and the
+first number if there are several; a request or metadata record whose capture isn't in the archives gives no row, a capture without them gives a row with nulls there.
 Payloads are written and digested whole. Columns other than page_id, url and html are not read.
 """
 
@@ -58,44 +59,91 @@ def _record(headers: list[tuple[str, Column]], block: Column) -> Column:
                     F.lit(RECORD_END), block)
 
 
-def _revisits(narrow: DataFrame) -> DataFrame:
-    """``again_id, again_sha, first`` of the captures whose payload another one, ``first``, carries. The rebalances keep the
-    join from reusing the aggregate's dealing and the distinct from reusing the join's, so AQE can split a payload that
-    very many pages share."""
-    best = narrow.groupBy("sha").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    return narrow.join(best.select("sha", "first").hint("rebalance"), "sha").filter(~F.col("page_id").eqNullSafe(F.col("first"))) \
-        .select(F.col("page_id").alias("again_id"), F.col("sha").alias("again_sha"), "first").hint("rebalance").distinct()
+#: A row's identity: rows that agree in it are repeats.
+SAME = ("page_id", "url", "sha")
+AT_ONCE = 1000      # repeats that one row of the numbering stands for while they are dealt over the tasks
+
+
+def _captures(rows: DataFrame) -> DataFrame:
+    """``page_id, url, sha, bytes, n``: each distinct row without its payload, and how often it occurs."""
+    return rows.groupBy(*SAME).agg(F.max("bytes").alias("bytes"), F.count("*").alias("n"))
+
+
+def _revisits(captures: DataFrame) -> DataFrame:
+    """``again_id, again_url, again_sha, first, first_url`` of the captures whose payload another one, ``first``, carries. The
+    rebalances keep the join from reusing the aggregate's dealing and later ones from reusing the join's, so AQE can split a
+    payload that very many pages share."""
+    best = captures.groupBy("sha").agg(F.max(F.struct("page_id", "url")).alias("best"), F.count("*").alias("n")).filter("n > 1")
+    best = best.select("sha", F.col("best.page_id").alias("first"), F.col("best.url").alias("first_url"))
+    own = F.col("page_id").eqNullSafe(F.col("first")) & F.col("url").eqNullSafe(F.col("first_url"))
+    return captures.select(*SAME).join(best.hint("rebalance"), "sha").filter(~own).select(
+        F.col("page_id").alias("again_id"), F.col("url").alias("again_url"), F.col("sha").alias("again_sha"), "first", "first_url").hint("rebalance")
+
+
+def _same(x: DataFrame, y: DataFrame, names: tuple[str, str, str]) -> Column:
+    page, url, sha = names
+    return x["page_id"].eqNullSafe(y[page]) & x["url"].eqNullSafe(y[url]) & (x["sha"] == y[sha])
+
+
+def _numbered(rows: DataFrame, captures: DataFrame, least_bytes: int) -> DataFrame:
+    """``rows`` with a ``number`` among their repeats. A repeat beyond the first is made from its identity: it needs no
+    payload, unless payloads so small are never revisited."""
+    twice = captures.filter("n > 1")
+    keys = twice.select(*(F.col(c).alias(f"twice_{c}") for c in SAME))
+    on = _same(rows, keys, tuple(f"twice_{c}" for c in SAME))
+    single = rows.join(keys, on, "left_anti").select(*SAME, "bytes", "html").withColumn("number", F.lit(1).cast("long"))
+    once = rows.join(keys, on, "left_semi").groupBy(*SAME).agg(F.max("bytes").alias("bytes"), F.max("html").alias("html"))
+    once = shared(once, "repeated")
+    blocks = twice.select(*SAME, "bytes", "n", F.explode(F.sequence(F.lit(2).cast("long"), F.col("n"), F.lit(AT_ONCE).cast("long"))).alias("at"))
+    more = blocks.hint("rebalance").select(*SAME, "bytes", F.explode(F.sequence(
+        F.col("at"), F.least(F.col("at") + (AT_ONCE - 1), F.col("n")))).alias("number"))
+    small = once.filter(F.col("bytes") < least_bytes).select(*(F.col(c).alias(f"of_{c}") for c in SAME), "html")
+    more = more.join(small, _same(more, small, tuple(f"of_{c}" for c in SAME)), "left")
+    names = [*SAME, "bytes", "html", "number"]
+    return single.select(names).unionByName(once.withColumn("number", F.lit(1).cast("long")).select(names)).unionByName(more.select(names))
 
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html",
                    least_bytes: int = 0, date: str = DATE) -> None:
     """Write the records of ``pages``. Of equal payloads of ``least_bytes`` or more the one of the largest key is
     the response."""
-    rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
-                        whole(html).alias("html")).withColumn("sha", F.sha1(F.col("html").cast("binary")))
-    again = _revisits(rows.filter(F.octet_length("html") >= least_bytes).select("page_id", "sha"))
-    rows = rows.join(again, rows["page_id"].eqNullSafe(again["again_id"]) & (rows["sha"] == again["again_sha"]), "left")
-    name = lambda kind, page: _urn(F.lit(kind), F.coalesce(page.cast("string"), F.lit("null")), F.col("sha"))
-    mine, revisit = name("capture", F.col("page_id")), F.col("again_sha").isNotNull()
+    rows = pages.select(F.col(f"`{key}`").cast("long").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"),
+                        whole(F.col(f"`{html}`")).alias("html"))
+    rows = rows.withColumn("sha", F.sha1(F.col("html").cast("binary"))).withColumn("bytes", F.octet_length("html").cast("long"))
+    captures = shared(_captures(rows), "captures")
+    large = captures.filter(F.col("bytes") >= least_bytes)
+    again, numbered = _revisits(large), _numbered(rows, captures, least_bytes)
+    rows = numbered.join(again, _same(numbered, again, ("again_id", "again_url", "again_sha")), "left")
+    # a repeat of the response revisits it
+    repeat = (F.col("number") > 1) & (F.col("bytes") >= least_bytes)
+    known = F.col("again_sha").isNotNull()
+    first, first_url = F.when(known, F.col("first")).otherwise(F.col("page_id")), F.when(known, F.col("first_url")).otherwise(F.col("url"))
+
+    def name(kind: str, page: Column, of: Column, number: Column) -> Column:
+        shown = [F.coalesce(x.cast("string"), F.lit("null")) for x in (page, F.concat(F.lit("="), of))]
+        return _urn(F.lit(kind), shown[0], F.col("sha"), number.cast("string"), shown[1])
+    own = F.col("page_id"), F.col("url"), F.col("number")
+    mine, revisit = name("capture", *own), known | repeat
     uri = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     both = [("WARC-Date", F.lit(date)), ("WARC-Target-URI", uri)]
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "),
-                    F.octet_length("html"), F.lit(RECORD_END))
+                    F.col("bytes"), F.lit(RECORD_END))
     capture = _record(
         [("WARC-Type", F.when(revisit, "revisit").otherwise("response")), ("WARC-Record-ID", mine), *both,
-         ("WARC-Profile", F.when(revisit, PROFILE)), ("WARC-Refers-To", F.when(revisit, name("capture", F.col("first")))),
+         ("WARC-Profile", F.when(revisit, PROFILE)),
+         ("WARC-Refers-To", F.when(revisit, name("capture", first, first_url, F.lit(1)))),
          ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32_of_hex(F.col("sha")))),
          ("Content-Type", F.lit("application/http;msgtype=response"))],
         F.when(revisit, http).otherwise(F.concat(http, "html")))
     host = F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#\\r\\n]*)", 1)
     target = F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#\\r\\n]*([^#\\r\\n]*)", 1)
     request = _record(
-        [("WARC-Type", F.lit("request")), ("WARC-Record-ID", name("request", F.col("page_id"))), *both,
+        [("WARC-Type", F.lit("request")), ("WARC-Record-ID", name("request", *own)), *both,
          ("WARC-Concurrent-To", mine), ("Content-Type", F.lit("application/http;msgtype=request"))],
         F.concat(F.lit("GET "), F.when(F.coalesce(target, F.lit("")) == "", "/").otherwise(target),
                  F.lit(f" HTTP/1.1{END}Host: "), F.coalesce(host, F.lit("")), F.lit(RECORD_END)))
     about = _record(
-        [("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", name("metadata", F.col("page_id"))), *both,
+        [("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", name("metadata", *own)), *both,
          ("WARC-Concurrent-To", mine), ("Content-Type", F.lit("application/warc-fields"))],
         F.concat(F.lit("page_id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(END)))
     rows.select(F.concat_ws(RECORD_END, request, capture, about)) \

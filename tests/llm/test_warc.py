@@ -1,10 +1,12 @@
 import base64
 import hashlib
 
+import duckdb
 from pyspark.sql import functions as F
 
 from salesmart.llm import warc
 from salesmart.llm.common import shared_folder, table
+from salesmart.llm.oracle import WARC
 
 SCHEMA = "page_id long, url string, html string, digest string, type string, `a.b` int"
 
@@ -34,10 +36,42 @@ def test_odd_pages(spark):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
+def outcome(rows):
+    return sorted((str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, str(r.refers_to)) for r in rows)
+
+
 def test_least_bytes_and_repeated_rows(spark):
-    rows = [(1, "u", "aa"), (2, "u", "aa"), (3, "u", "bbbb"), (4, "u", "bbbb"), (4, "u", "bbbb"), (4, "u", "other")]
-    got = sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.round_trip(pages(spark, rows), least_bytes=3).collect())
-    assert got == [(1, 2, "response", None), (2, 2, "response", None), (3, 4, "revisit", 4), (4, 4, "response", None), (4, 5, "response", None)]
+    rows = [(1, "u", "aa"), (2, "u", "aa"), (2, "u", "aa"), (3, "u", "bbbb"), (4, "u", "bbbb"), (4, "u", "bbbb"), (4, "v", "bbbb"), (4, "u", "other")]
+    got = sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to or 0) for r in warc.round_trip(pages(spark, rows), least_bytes=3).collect())
+    assert got == [(1, 2, "response", 0), (2, 2, "response", 0), (2, 2, "response", 0), (3, 4, "revisit", 4),
+                   (4, 4, "response", 0), (4, 4, "revisit", 4), (4, 4, "revisit", 4), (4, 5, "response", 0)]
+
+
+def test_small_repeats_keep_their_payload(spark):
+    path = shared_folder(spark, "test-warc")
+    warc.write_archives(pages(spark, [(7, "u", "aa")] * 3 + [(8, None, "long one")] * 2), path, least_bytes=3)
+    got = sorted((r.type, r.payload) for r in warc.read_archives(spark, path).filter("type IN ('response', 'revisit')").collect()
+                 if r.payload is not None)
+    assert got == [("response", b"aa")] * 3 + [("response", b"long one")]
+
+
+def test_against_sql_with_repeats(spark, tmp_dir):
+    """The query's own SQL on a table of repeated rows: whole rows, page_ids with several urls, and null keys."""
+    rows = [(k % 40 if k % 11 else None, f"http://h/{k % 3}", (None, "", "p" * (k % 4), f"page {k % 9}")[k % 4]) for k in range(400)]
+    df = pages(spark, rows).coalesce(1)
+    df.select("page_id", "url", "html").write.parquet(f"{tmp_dir}/pages")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_dir}/pages/*.parquet'")
+    want = sorted((str(p), b, d, t, str(f)) for p, b, d, t, f in con.execute(
+        f"SELECT page_id, payload_bytes, payload_digest, record_type, refers_to FROM ({WARC})").fetchall())
+    assert outcome(warc.round_trip(df).collect()) == want
+
+
+def test_row_repeated_very_often(spark):
+    """Repeats are numbered in blocks that are dealt over the tasks."""
+    df = spark.range(5000).select(F.lit(9).cast("long").alias("page_id"), F.lit("http://a/").alias("url"), F.lit("<p>one</p>").alias("html"))
+    got = warc.round_trip(df).groupBy("record_type", "refers_to").count().collect()
+    assert sorted((r.record_type, r.refers_to, r["count"]) for r in got) == [("response", None, 1), ("revisit", 9, 4999)]
 
 
 def test_nested_rows(spark):
@@ -94,7 +128,7 @@ def test_hot_payload_is_split(spark):
         spark.conf.set(k, v)
     try:
         sha = F.sha1(F.when(F.col("id") % 3 == 0, 0).otherwise(F.floor(F.col("id") / 2)).cast("string"))
-        narrow = spark.range(0, 60_000, 1, 8).select(F.xxhash64("id").alias("page_id"), sha.alias("sha"))
+        narrow = spark.range(0, 60_000, 1, 8).select(F.xxhash64("id").alias("page_id"), F.lit("u").alias("url"), sha.alias("sha"))
         found = warc._revisits(narrow)
         assert found.filter(F.col("again_sha") == F.sha1(F.lit("0"))).count() > 19_000
         found.collect()
