@@ -11,7 +11,8 @@ text of N tokens has -ln E = lambda S - ln(K N). A text's evidence is the sum ov
 segments (E < 1), and a logistic curve fitted on the sample turns it into the score.
 
 Defined results: null and empty texts have no segments and get the curve's value at no evidence;
-labels that are null are left out, a doc_id labelled twice counts once, toxic if any says so; without both
+labels that are null are left out, a doc_id labelled twice has one label, toxic if any says so; every row of a labelled
+doc_id is learned from, repeated rows as often as they occur; extra columns may have any names; without both
 classes every score is 0; every row gives one row; whole texts are scanned. doc_id only chooses the rows to
 learn from.
 """
@@ -207,13 +208,13 @@ def root(scores: np.ndarray, chances: np.ndarray, cost: float = COST) -> float:
     return high
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
-    """Intercept and slope by Newton steps."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
+    """Intercept and slope by Newton steps over points of some weight."""
     w, design = np.zeros(2), np.stack([np.ones_like(x), x], 1)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        grad = design.T @ (p - y) + ridge * w
-        step = np.linalg.solve(design.T @ (design * (p * (1 - p))[:, None]) + ridge * np.eye(2), grad)
+        grad = design.T @ (weight * (p - y)) + ridge * w
+        step = np.linalg.solve(design.T @ (design * (weight * p * (1 - p))[:, None]) + ridge * np.eye(2), grad)
         w -= np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
@@ -223,11 +224,13 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
         sample: int = SAMPLE) -> Model:
     """Learn from the ``labels`` rows (key, label) given; corpus frequencies come from all ``docs``."""
-    own = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("label")).filter("id is not null and label is not null")
+    own = labels.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label")) \
+        .filter("id is not null and label is not null")
     own = own.groupBy("id").agg((F.max("label") > 0).cast("int").alias("label"))
     own = own.orderBy(F.xxhash64("id"), "id").limit(sample)
-    # at most ``sample`` rows of 12 bytes
-    rows = docs.join(F.broadcast(own), F.col(key) == F.col("id")).select("label", whole(text).alias("text"))
+    # at most ``sample`` rows of 12 bytes; the documents' other columns may have any names, these two included
+    rows = docs.select(F.col(f"`{key}`").alias("id"), whole(F.col(f"`{text}`")).alias("text")) \
+        .join(F.broadcast(own), "id").select("label", "text")
     counts = _counts(rows)
     totals = counts.filter("feature = ''").first()
     if not totals or not totals["toxic"] or not totals["other"]:
@@ -237,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                           (F.col("toxic") * n_other > 2 * F.col("other") * n_toxic)) \
         .orderBy(F.desc("toxic"), "feature").limit(MAX_FEATURES).collect()
     names = [r["feature"] for r in found]
-    corpus = _corpus(docs.select(whole(text).alias("text")), names)
+    corpus = _corpus(docs.select(whole(F.col(f"`{text}`")).alias("text")), names)
     of = lambda c: np.array([r[c] for r in found], np.float64)
     n = np.array([corpus.get(f, 0) for f in names], np.float64)
     delta, z = log_odds(of("toxic"), of("other"), n, n_toxic, n_other, corpus.get("", 0))
@@ -248,9 +251,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     prior = PRIOR * n[use] / max(corpus[""], 1)
     rate = root(scores, np.minimum((of("other")[use] + np.minimum(prior, 1)) / n_other, 0.5 / len(use)))
     model = Model({names[k]: float(s) for k, s in zip(use, scores, strict=True)}, rate)
-    seen = _evidence(rows.select(F.col("label").alias("key"), "text"), model, False).select("key", "evidence").collect()
-    y, x = np.array([r[0] for r in seen], np.float64), np.log1p(np.array([r[1] for r in seen]))
-    model.intercept, model.slope = logistic(x, y)
+    # the curve is fitted on evidence to three digits: however many rows share an id, some 28,000 values at most reach the driver
+    seen = _evidence(rows.select(F.col("label").alias("key"), "text"), model, False) \
+        .groupBy(F.col("key").alias("label"), F.round(F.log1p("evidence"), 3).alias("x")).agg(F.count("*").alias("n")).collect()
+    y, x, weight = (np.array([r[c] for r in seen], np.float64) for c in ("label", "x", "n"))
+    model.intercept, model.slope = logistic(x, y, weight)
     return model
 
 
@@ -275,7 +280,7 @@ def _evidence(rows: DataFrame, model: Model, with_segments: bool) -> DataFrame:
 
 def toxic_passages(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, score, evidence, segments`` (token places) of each whole text."""
-    found = _evidence(docs.select(F.col(key).alias("key"), whole(text).alias("text")), model, True)
+    found = _evidence(docs.select(F.col(f"`{key}`").alias("key"), whole(F.col(f"`{text}`")).alias("text")), model, True)
     score = 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * F.log1p("evidence")))) if model.scores else F.lit(0.0)
     return found.select(F.col("key").alias(key), score.alias("score"), "evidence", "segments")
 

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from salesmart.llm import toxicity as tox
 from salesmart.llm.common import table
@@ -87,3 +88,17 @@ def test_labels_that_say_nothing(spark):
     twice = labels.unionByName(labels.filter("toxic = 0")).unionByName(spark.createDataFrame([(None, 1)], labels.schema))
     assert tox.toxicity(docs(spark, texts, [None, *range(1, 400)]), twice).count() == 400
     assert tox.toxicity(docs(spark, []), labels).count() == 0
+
+
+def test_repeats_of_a_labelled_row(spark):
+    """The curve is fitted on weights, so any number of repeats brings few values to the driver, and they count."""
+    texts, labels = rows(spark)
+    once = docs(spark, texts + ODD)
+    again = once.filter("doc_id = 0").withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(2_000)))).drop("again").unionByName(once)
+    model, plain = tox.fit(again, labels), tox.fit(once, labels)
+    assert model.intercept != plain.intercept and tox.toxic_passages(once, model).filter("doc_id = 0").first().score > 0.9
+
+
+def test_weighted_curve():
+    x, y, n = np.array([0.0, 1.0, 2.0, 0.5]), np.array([0.0, 1.0, 1.0, 0.0]), np.array([3.0, 2.0, 1.0, 4.0])
+    assert tox.logistic(x, y, n) == pytest.approx(tox.logistic(np.repeat(x, n.astype(int)), np.repeat(y, n.astype(int)), np.ones(10)))
