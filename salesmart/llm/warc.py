@@ -88,7 +88,7 @@ def _same(x: DataFrame, y: DataFrame, names: tuple[str, str, str]) -> Column:
 def _numbered(rows: DataFrame, captures: DataFrame, least_bytes: int) -> DataFrame:
     """``rows`` with a ``number`` among their repeats. A repeat beyond the first is made from its identity: it needs no
     payload, unless payloads so small are never revisited."""
-    twice = captures.filter("n > 1")
+    twice = shared(captures.filter("n > 1"), "twice")      # its true size lets Spark send a small one to the tasks
     keys = twice.select(*(F.col(c).alias(f"twice_{c}") for c in SAME))
     on = _same(rows, keys, tuple(f"twice_{c}" for c in SAME))
     single = rows.join(keys, on, "left_anti").select(*SAME, "bytes", "html").withColumn("number", F.lit(1).cast("long"))
