@@ -6,6 +6,9 @@ so the returned frame is what a later job would see.
 
 from __future__ import annotations
 
+import datetime as _dt
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +22,9 @@ from salesmart.schema import RAW_SCHEMA
 from salesmart.session import scratch_path
 from salesmart.sinks import write_cleaned, write_quarantine
 from salesmart.sinks.files import Files
+from salesmart.sources.catalog import read_registered, update_table
 from salesmart.sources.csv import infer_raw_schema, read_raw_sales, schema_drift
-from salesmart.sources.fixtures import FIXTURE_TIES
+from salesmart.sources.fixtures import FIXTURE_TIES, sales_view
 from salesmart.sources.parquet import read_cleaned, read_kpi
 
 # raw schema of the fixture files: the 18 text columns plus the lineage columns
@@ -63,6 +67,34 @@ def q_schema_drift(spark: SparkSession, d: str) -> DataFrame:
     return schema_drift(spark, FIXTURE_RAW_SCHEMA, infer_raw_schema(spark, path))
 
 
+def q_catalog_changes(spark: SparkSession, d: str) -> DataFrame:
+    """A folder registered before and after its header changed: each column's changes, and in how many rows the table
+    registered last has a value."""
+    root = scratch_path(spark, "catalog")
+    table = f"catalog_{root.rsplit('-', 1)[1]}"
+    sales = sales_view(spark, d).select("order_id", "quantity", "unit_price", "discount", "region", "status", "l_linenumber", "l_suppkey")
+    even = F.col("l_suppkey") % 2 == 0
+    first = sales.filter(even).select("order_id", "quantity", "l_linenumber", "region", "discount")
+    # quantity comes as a fraction, region is missing, status is new and stands before the others
+    second = sales.filter(~even).select("status", "order_id", (F.col("quantity") * Decimal("1.5")).alias("quantity"), "l_linenumber", "discount")
+    changes = None
+    for k in range(3):
+        if k < 2:
+            write_raw_csv((first, second)[k], f"{root}/input/dt={DROPS[k]}", partition_by_dt=False)
+        else:      # the first day's files expire, and no file has a region any more
+            Files(spark).delete(f"{root}/input/dt={DROPS[0]}")
+        rows = update_table(spark, f"{root}/input", table, f"{root}/log", f"run-{k}", Q.RUN_TS + _dt.timedelta(days=k))
+        changes = rows if changes is None else changes.unionByName(rows)
+    now = read_registered(spark, f"{root}/input", table, f"{root}/log")
+    filled = now.agg(*(F.count(c).alias(c) for c in now.columns))
+    filled = filled.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("filled")) for c in now.columns))).alias("x")).select("x.*")
+    registered = spark.table(table).dtypes
+    spark.sql(f"DROP TABLE {table}")
+    types = spark.createDataFrame(registered, "column string, registered_type string")
+    return changes.join(filled, "column").join(types, "column").select(
+        "run_id", "column", "change", "old_type", "new_type", "position", "registered_type", "filled")
+
+
 def _report(spark, d) -> DataFrame:
     return R.build_report(Q.sections(spark, d), Q.RUN_ID, Q.RUN_TS, Q.JOB)
 
@@ -217,6 +249,7 @@ IO_QUERIES = {
     "raw_scan": q_raw_scan,
     "cleaned_scan": q_cleaned_scan,
     "schema_drift": q_schema_drift,
+    "catalog_changes": q_catalog_changes,
     "top_products_nested": q_top_products_nested,
     "report_sections": q_report_sections,
     "report_json": q_report_json,

@@ -414,6 +414,28 @@ def _schema_drift() -> str:
                      + " UNION ALL ".join(parts) + ")")
 
 
+#: The columns of the catalog query's two headers, their types in the first and over both, and whether the second has them.
+_CATALOG = (("order_id", "string", "string", True), ("quantity", "int", "double", True), ("l_linenumber", "int", "int", True),
+            ("region", "string", "string", False), ("discount", "double", "double", True), ("dt", "date", "date", True),
+            ("status", None, "string", True))
+
+
+def _catalog_changes() -> str:
+    rows = []
+    for k, (c, old, new, stays) in enumerate(_CATALOG):
+        known = "NULL" if old is None else f"'{old}'"
+        if old:
+            rows.append(f"('run-0', '{c}', 'created', NULL, {known}, {k}, '{new}', {stays})")
+        if old != new:
+            rows.append(f"('run-1', '{c}', '{'widened' if old else 'added'}', {known}, '{new}', {k}, '{new}', {stays})")
+        if not stays:
+            rows.append(f"('run-2', '{c}', 'removed', '{new}', '{new}', {k}, '{new}', {stays})")
+    return (f"SELECT run_id, \"column\", change, old_type, new_type, CAST(position AS INTEGER) AS position, registered_type, "
+            f"CASE WHEN stays THEN n ELSE 0 END AS filled FROM (VALUES {', '.join(rows)}) "
+            f"v(run_id, \"column\", change, old_type, new_type, position, registered_type, stays), "
+            f"(SELECT count(*) AS n FROM lineitem WHERE l_suppkey % 2 <> 0)")
+
+
 def _array(section: str, table: str, labels: str, amount: str, n: str, order: str, part: str = "") -> str:
     label = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in labels.split())
     return (f"SELECT '{section}' AS section, row_number() OVER ({part} ORDER BY {order}) - 1 AS position, "
@@ -528,6 +550,7 @@ SELECT (SELECT count(*) FROM b2) AS regional_rows, (SELECT count(*) FROM b3) AS
     "synth_sales": f"WITH {SYNTH} SELECT * FROM synth UNION ALL SELECT * FROM dirt",
     "synth_undated": f"WITH {SYNTH} SELECT count(DISTINCT (order_id, product_id)) AS undated_rows FROM dirt WHERE order_date = 'not-a-date'",
     "schema_drift": _schema_drift(),
+    "catalog_changes": _catalog_changes(),
     "report_arrays": _with(" UNION ALL ".join((
         _array("regional_summary", "b2", "region country", "total_revenue", "total_orders", "total_revenue DESC NULLS LAST"),
         _array("category_summary", "b3", "category sub_category", "total_revenue", "total_orders",

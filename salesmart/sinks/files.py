@@ -36,6 +36,23 @@ class Files:
         fs, p = self._at(path)
         return [s.getPath().getName() for s in fs.listStatus(p)]
 
+    def walk(self, path: str) -> list[str]:
+        """Every file below ``path``."""
+        fs, p = self._at(path)
+        found, out = fs.listFiles(p, True), []
+        while found.hasNext():
+            out.append(found.next().getPath().toString())
+        return out
+
+    def first_line(self, path: str) -> str:
+        """A text file's first line, without reading on ('' if the file is empty)."""
+        fs, p = self._at(path)
+        reader = self._jvm.java.io.BufferedReader(self._jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+        try:
+            return reader.readLine() or ""
+        finally:
+            reader.close()
+
     def delete(self, path: str) -> None:
         fs, p = self._at(path)
         fs.delete(p, True)

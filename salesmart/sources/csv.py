@@ -27,16 +27,18 @@ def read_raw_sales(spark: SparkSession, path: str, *, header_check: bool = False
             .csv(path))
 
 
-def infer_raw_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0,
-                     glob: str = "*.csv") -> T.StructType:
-    """Types a crawler would infer from the text (``samplingRatio`` bounds the scan)."""
-    return (spark.read.option("header", "true").option("inferSchema", "true")
-            .option("samplingRatio", str(sampling_ratio)).option("escape", '"')
-            .option("pathGlobFilter", glob).csv(path).schema)
+def infer_raw_schema(spark: SparkSession, path: str | list[str], sampling_ratio: float = 1.0,
+                     glob: str = "*.csv", base: str | None = None) -> T.StructType:
+    """Types a crawler would infer from the text (``samplingRatio`` bounds the scan); ``base`` is the folder whose
+    ``key=value`` subfolders become columns when ``path`` lists files."""
+    reader = (spark.read.option("header", "true").option("inferSchema", "true")
+              .option("samplingRatio", str(sampling_ratio)).option("escape", '"').option("pathGlobFilter", glob))
+    return (reader.option("basePath", base) if base else reader).csv(path).schema
 
 
 def register_raw(spark: SparkSession, path: str, table: str, sampling_ratio: float = 1.0) -> DataFrame:
-    """Register the raw folder as an external catalog table with inferred types."""
+    """Register the raw folder as an external catalog table with inferred types, once; ``catalog.update_table``
+    registers it and keeps it up to changed files."""
     schema = infer_raw_schema(spark, path, sampling_ratio)
     spark.catalog.createTable(table, path=path, source="csv", schema=schema, header="true",
                               escape='"', pathGlobFilter="*.csv")
