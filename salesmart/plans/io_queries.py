@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from salesmart.operators import report as R
 from salesmart.operators.clean import clean, drop_audit, quarantine, standardize_text, undated_rows
+from salesmart.operators.membership import blocks_for, build_filters, probe, with_blocks
 from salesmart.operators.quality import verify_report
 from salesmart.plans import queries as Q
 from salesmart.plans.jobs import run_consolidate
@@ -22,6 +23,7 @@ from salesmart.schema import RAW_SCHEMA
 from salesmart.session import scratch_path
 from salesmart.sinks import write_cleaned, write_quarantine
 from salesmart.sinks.files import Files
+from salesmart.sinks.versions import VersionedTable
 from salesmart.sources.catalog import read_registered, update_table
 from salesmart.sources.csv import infer_raw_schema, read_raw_sales, schema_drift
 from salesmart.sources.fixtures import FIXTURE_TIES, sales_view
@@ -216,9 +218,8 @@ def q_manifest(spark: SparkSession, d: str) -> DataFrame:
     return m.select("run_id", "generated_at", "output_path", "status", "record_counts.*")
 
 
-def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
-    """I1 + I2: two ingest runs over two file drops; the result must equal the batch job's table, its ``dt`` and
-    audit columns included."""
+def _ingested(spark: SparkSession, d: str) -> str:
+    """The table after two ingest runs over two file drops."""
     from salesmart.streaming import ingest_available
     root = scratch_path(spark, "stream")
     raw = Q.raw(spark, d).withColumn("dt", drop_of())
@@ -227,7 +228,40 @@ def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
         write_raw_csv(raw.filter(F.col("dt") == day).drop("dt"), f"{inbox}/dt={day}", partition_by_dt=False)
         ingest_available(spark, inbox, cleaned, quar, ckpt, schema=FIXTURE_RAW_SCHEMA, run_ts=Q.RUN_TS,
                          job=Q.JOB, ties=FIXTURE_TIES)
-    return spark.read.parquet(cleaned)
+    return cleaned
+
+
+def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """I1 + I2: two ingest runs over two file drops; the result must equal the batch job's table, its ``dt`` and
+    audit columns included."""
+    return read_cleaned(spark, _ingested(spark, d))
+
+
+def q_table_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Both versions that two drops left, as they count their committed files and as they read."""
+    table = VersionedTable(spark, _ingested(spark, d))
+    out = None
+    for n in table.numbers():
+        undated = table.version(n).months.get((None, None))
+        one = table.read(n).agg(F.lit(n).alias("version"), F.lit(table.version(n).rows).cast("bigint").alias("counted_rows"),
+                                F.lit(undated.rows if undated else 0).cast("bigint").alias("counted_undated"), F.count(F.lit(1)).alias("read_rows"),
+                                F.count_if(F.col("order_date").isNull()).alias("read_undated"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_month_filters(spark: SparkSession, d: str) -> DataFrame:
+    """Every month's key filter probed with every key of the table: a month finds all of its own keys, and few others."""
+    path, key = scratch_path(spark, "keys"), ["order_id", "product_id"]
+    Q.cleaned(spark, d).select(*key, "year", "month").write.parquet(path)
+    rows = spark.read.parquet(path)
+    counts = {(r.year, r.month): r["count"] for r in rows.groupBy("year", "month").count().collect()}     # bounded by the calendar
+    filters = build_filters(with_blocks(rows, ["year", "month"], counts), ["year", "month"], key)
+    found = probe(filters, rows.select(*key), ["year", "month"], key, [blocks_for(n) for n in counts.values()])
+    own = rows.withColumnsRenamed({"year": "own_year", "month": "own_month"})
+    mine = F.col("year").eqNullSafe(F.col("own_year")) & F.col("month").eqNullSafe(F.col("own_month"))
+    hits = found.join(own, key).groupBy("year", "month").agg(F.count_if(mine).alias("found"), F.count_if(~mine).alias("others"))
+    return hits.select("year", "month", "found", (F.col("others") <= F.lit(0.001 * sum(counts.values())) + 1).alias("few_others"))
 
 
 def q_synth_sales(spark: SparkSession, d: str) -> DataFrame:
@@ -262,4 +296,6 @@ IO_QUERIES = {
     "audit_dropped": q_audit_dropped,
     "manifest": q_manifest,
     "stream_ingest": q_stream_ingest,
+    "table_versions": q_table_versions,
+    "month_filters": q_month_filters,
 }

@@ -436,6 +436,13 @@ def _catalog_changes() -> str:
             f"(SELECT count(*) AS n FROM lineitem WHERE l_suppkey % 2 <> 0)")
 
 
+def _table_versions() -> str:
+    one = ("SELECT {n} AS version, count(*) AS counted_rows, count(*) FILTER (d IS NULL) AS counted_undated, count(*) AS read_rows, "
+           "count(*) FILTER (d IS NULL) AS read_undated FROM (SELECT max(order_date) AS d FROM tagged "
+           "WHERE quality = 'ok' AND {where} GROUP BY order_id, product_id)")
+    return with_base(one.format(n=1, where="l_suppkey % 2 = 0") + " UNION ALL " + one.format(n=2, where="TRUE"))
+
+
 def _array(section: str, table: str, labels: str, amount: str, n: str, order: str, part: str = "") -> str:
     label = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in labels.split())
     return (f"SELECT '{section}' AS section, row_number() OVER ({part} ORDER BY {order}) - 1 AS position, "
@@ -551,6 +558,8 @@ SELECT (SELECT count(*) FROM b2) AS regional_rows, (SELECT count(*) FROM b3) AS
     "synth_undated": f"WITH {SYNTH} SELECT count(DISTINCT (order_id, product_id)) AS undated_rows FROM dirt WHERE order_date = 'not-a-date'",
     "schema_drift": _schema_drift(),
     "catalog_changes": _catalog_changes(),
+    "table_versions": _table_versions(),
+    "month_filters": with_base("SELECT year, month, count(*) AS found, TRUE AS few_others FROM clean GROUP BY year, month"),
     "report_arrays": _with(" UNION ALL ".join((
         _array("regional_summary", "b2", "region country", "total_revenue", "total_orders", "total_revenue DESC NULLS LAST"),
         _array("category_summary", "b3", "category sub_category", "total_revenue", "total_orders",

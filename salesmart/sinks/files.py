@@ -53,6 +53,24 @@ class Files:
         finally:
             reader.close()
 
+    def read_text(self, path: str) -> str:
+        """A small text file as a whole."""
+        fs, p = self._at(path)
+        stream = fs.open(p)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def write_text(self, path: str, text: str) -> None:
+        """A small new text file; its name is visible before it is whole, so move it into place afterwards."""
+        fs, p = self._at(path)
+        stream = fs.create(p, False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
     def delete(self, path: str) -> None:
         fs, p = self._at(path)
         fs.delete(p, True)

@@ -9,9 +9,16 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.sinks.versions import VersionedTable
 
-def read_cleaned(spark: SparkSession, path: str, periods: Iterable[tuple[int, int]] | None = None) -> DataFrame:
-    """S3: the cleaned table; ``periods`` [(year, month), ...] prunes partitions at the scan."""
+
+def read_cleaned(spark: SparkSession, path: str, periods: Iterable[tuple[int, int]] | None = None,
+                 version: int | None = None) -> DataFrame:
+    """S3: the cleaned table; ``periods`` [(year, month), ...] prunes partitions at the scan. A table that has versions (the
+    incremental path writes them) is read as of its current one, or of ``version``."""
+    table = VersionedTable(spark, path)
+    if version is not None or table.numbers():
+        return table.read(version, periods or None)
     df = spark.read.parquet(path)
     if periods:
         cond = None

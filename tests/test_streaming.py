@@ -8,6 +8,7 @@ from salesmart.operators import clean as C
 from salesmart.plans import queries as Q
 from salesmart.plans.io_queries import DROPS, FIXTURE_RAW_SCHEMA, drop_of, write_raw_csv
 from salesmart.sources.fixtures import FIXTURE_TIES
+from salesmart.sources.parquet import read_cleaned
 from salesmart.streaming import ingest_available
 
 
@@ -29,7 +30,7 @@ def test_stream_equals_batch_with_late_versions(spark, tmp_dir):
 
     everything = raw.drop("dt").unionByName(late)
     batch = C.clean(everything, ties=FIXTURE_TIES)
-    stream = spark.read.parquet(out)
+    stream = read_cleaned(spark, out)
     moved = stream.filter("year = 2001 and month = 12").count()
     assert moved > 40 and moved == batch.filter("year = 2001 and month = 12").count()
     cols = batch.columns
