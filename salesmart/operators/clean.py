@@ -1,8 +1,8 @@
 """Stage 1: raw text -> tagged rows -> cleaned fact and quarantine.
 
 One pass tags every raw row with exactly one quality class, so that
-``raw = clean + duplicates + missing_required_field + invalid_numeric + unparseable_numeric +
-unrepresentable_amount`` always holds (the original lost rows whose numbers did not parse). Every step is row-local
+``raw = clean + duplicates + malformed_record + missing_required_field + invalid_numeric + unparseable_numeric +
+unrepresentable_amount`` always holds (malformed records are told apart where the scan was asked to; the original lost rows whose numbers did not parse). Every step is row-local
 except ``dedup_latest``, which shuffles by the natural key.
 """
 
@@ -22,7 +22,7 @@ from salesmart.functions.parsing import (
 )
 from salesmart.operators.windows import dedup_latest
 from salesmart.schema import (
-    DATE_COLUMNS, DEDUP_KEY, FLAG_MISMATCH, FLAG_OK, INVALID_NUMERIC, MISMATCH_TOLERANCE,
+    DATE_COLUMNS, DEDUP_KEY, FILE_COLUMN, FLAG_MISMATCH, FLAG_OK, INVALID_NUMERIC, MALFORMED, MALFORMED_COLUMN, MISMATCH_TOLERANCE,
     MISSING_REQUIRED, MONEY, MONEY_COLUMNS, QUALITY_OK, QUARANTINE_COLUMNS, REQUIRED_FIELDS,
     UNPARSEABLE_NUMERIC, UNREPRESENTABLE_AMOUNT,
 )
@@ -48,8 +48,8 @@ def blank_to_null(df: DataFrame) -> DataFrame:
 
 
 def standardize_text(df: DataFrame) -> DataFrame:
-    """P1 + P2 in one projection."""
-    s = set(_string_columns(df))
+    """P1 + P2 in one projection (a malformed line's text and a file's name stay as they are)."""
+    s = set(_string_columns(df)) - {MALFORMED_COLUMN, FILE_COLUMN}
     return df.select([standardize(c).alias(c) if c in s else F.col(c) for c in df.columns])
 
 
@@ -136,7 +136,7 @@ def drop_audit(df: DataFrame, cols: Sequence[str] = ("etl_job", "etl_ts", "etl_p
     return df.drop(*[c for c in cols if c in df.columns])
 
 
-def quality_expr(has_required: Column | None = None) -> Column:
+def quality_expr(has_required: Column | None = None, malformed: Column | None = None) -> Column:
     """P10: the quality class of a standardized text row (one ``when`` chain).
 
     Required fields are checked on the text, before parsing, as the original did: an
@@ -145,25 +145,41 @@ def quality_expr(has_required: Column | None = None) -> Column:
     """
     has_required = required() if has_required is None else has_required
     q, p = lenient_int("quantity"), finite("unit_price")
-    return (F.when(~has_required, F.lit(MISSING_REQUIRED))
+    first = F.when(~has_required, F.lit(MISSING_REQUIRED)) if malformed is None else \
+        F.when(malformed, F.lit(MALFORMED)).when(~has_required, F.lit(MISSING_REQUIRED))
+    return (first
             .when((q <= 0) | (p <= 0), F.lit(INVALID_NUMERIC))
             .when((q > 0) & (p > 0) & unrepresentable(AMOUNTS), F.lit(UNREPRESENTABLE_AMOUNT))
             .when((q > 0) & (p > 0), F.lit(QUALITY_OK))
             .otherwise(F.lit(UNPARSEABLE_NUMERIC)))
 
 
+def with_quality(raw: DataFrame) -> DataFrame:
+    """Standardized text with a ``quality`` tag."""
+    malformed = F.col(MALFORMED_COLUMN).isNotNull() if MALFORMED_COLUMN in raw.columns else None
+    return standardize_text(raw).withColumn(QUALITY, quality_expr(malformed=malformed))
+
+
+def type_rows(std: DataFrame) -> DataFrame:
+    """P3-P6 over standardized text."""
+    return flag_sales(recalc_sales(parse_dates(cast_numeric(std))))
+
+
 def tag_quality(raw: DataFrame) -> DataFrame:
     """P1-P6 + P10 in one pass: standardized, typed rows with a ``quality`` tag."""
-    std = standardize_text(raw).withColumn(QUALITY, quality_expr())
-    return flag_sales(recalc_sales(parse_dates(cast_numeric(std))))
+    return type_rows(with_quality(raw))
+
+
+def valid_rows(tagged: DataFrame) -> DataFrame:
+    """The rows of class ``ok``, without the columns that only rejected rows need."""
+    return tagged.filter(F.col(QUALITY) == QUALITY_OK).drop(QUALITY, MALFORMED_COLUMN, FILE_COLUMN)
 
 
 def clean(raw: DataFrame, key: Sequence[str] = DEDUP_KEY, ties: Sequence[str] = (),
           tagged: DataFrame | None = None) -> DataFrame:
     """Cleaned fact: valid rows, latest version per natural key, with ``year``/``month``."""
     t = tag_quality(raw) if tagged is None else tagged
-    ok = t.filter(F.col(QUALITY) == QUALITY_OK).drop(QUALITY)
-    return with_period(dedup_latest(ok, key, "order_date", ties))
+    return with_period(dedup_latest(valid_rows(t), key, "order_date", ties))
 
 
 def default_run_ts() -> _dt.datetime:
@@ -176,12 +192,16 @@ def quarantine(raw: DataFrame, run_ts=None, full: bool = True) -> DataFrame:
     The original's three columns come first; ``full`` appends the standardized raw text so
     that a record stays traceable when ``order_id`` itself was the missing field.
     """
-    std = standardize_text(raw)
+    return rejected(with_quality(raw), run_ts, full)
+
+
+def rejected(std: DataFrame, run_ts=None, full: bool = True) -> DataFrame:
+    """The same from rows that ``with_quality`` tagged."""
     run_ts = run_ts or default_run_ts()
-    q = std.withColumn(QUALITY, quality_expr()).filter(F.col(QUALITY) != QUALITY_OK)
+    q = std.filter(F.col(QUALITY) != QUALITY_OK)
     head = [F.col("order_id"), F.col(QUALITY).alias("quarantine_reason"),
             F.lit(run_ts).cast("timestamp").alias("quarantine_ts")]
-    rest = [c for c in raw.columns if c not in QUARANTINE_COLUMNS] if full else []
+    rest = [c for c in std.columns if c not in (*QUARANTINE_COLUMNS, QUALITY)] if full else []
     return q.select(*head, *rest)
 
 

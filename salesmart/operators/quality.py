@@ -6,10 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from salesmart.schema import DEDUP_KEY, INVALID_NUMERIC, MISSING_REQUIRED, QUALITY_OK, UNPARSEABLE_NUMERIC, UNREPRESENTABLE_AMOUNT
+from salesmart.schema import DEDUP_KEY, INVALID_NUMERIC, MALFORMED, MISSING_REQUIRED, QUALITY_OK, UNPARSEABLE_NUMERIC, UNREPRESENTABLE_AMOUNT
+from salesmart.sinks.files import Files
 
-QUALITY_CLASSES = (MISSING_REQUIRED, INVALID_NUMERIC, UNPARSEABLE_NUMERIC, UNREPRESENTABLE_AMOUNT, QUALITY_OK)
+QUALITY_CLASSES = (MALFORMED, MISSING_REQUIRED, INVALID_NUMERIC, UNPARSEABLE_NUMERIC, UNREPRESENTABLE_AMOUNT, QUALITY_OK)
 
 
 def quality_metrics():
@@ -40,6 +42,27 @@ def run_metrics(tagged: DataFrame, key: Sequence[str] = DEDUP_KEY) -> DataFrame:
     return out.withColumn("duplicates_dropped", F.col("valid_rows") - F.col("clean_rows"))
 
 
+def committed_counts(spark, staged: str, cleaned: str) -> dict:
+    """V1 from what was committed: rows of every class in the tagged table, clean and undated rows in the cleaned one. Only footers
+    and folder names are read, and a task that was run again counts once, since its lost files weren't committed."""
+    tags = T.StructType([T.StructField("quality", T.StringType())])
+    months = T.StructType([T.StructField(c, T.IntegerType()) for c in ("year", "month")])
+    classes = {r["quality"]: r["count"] for r in _rows_by(spark, staged, tags)}
+    periods = _rows_by(spark, cleaned, months)
+    out = {"raw_rows": sum(classes.values())} | {c if c != QUALITY_OK else "valid_rows": classes.get(c, 0) for c in QUALITY_CLASSES}
+    out["clean_rows"] = sum(r["count"] for r in periods)
+    out["undated_rows"] = sum(r["count"] for r in periods if r["year"] is None)
+    out["duplicates_dropped"] = out["valid_rows"] - out["clean_rows"]
+    return out
+
+
+def _rows_by(spark, path: str, parts: T.StructType) -> list:
+    """Rows of every partition (bounded by the classes, or the calendar)."""
+    if not any("=" in n for n in Files(spark).names(path)):
+        return []
+    return spark.read.schema(parts).parquet(path).groupBy(*parts.names).count().collect()
+
+
 def reconciliation_summary(cleaned: DataFrame) -> DataFrame:
     """V2: cleaned rows per ``sales_amount_flag``."""
     return cleaned.groupBy("sales_amount_flag").agg(F.count(F.lit(1)).alias("row_count"))

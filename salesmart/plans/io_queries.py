@@ -18,7 +18,7 @@ from salesmart.operators.clean import clean, drop_audit, quarantine, standardize
 from salesmart.operators.membership import blocks_for, build_filters, probe, with_blocks
 from salesmart.operators.quality import verify_report
 from salesmart.plans import queries as Q
-from salesmart.plans.jobs import run_consolidate
+from salesmart.plans.jobs import run_clean, run_consolidate
 from salesmart.schema import RAW_SCHEMA
 from salesmart.session import scratch_path
 from salesmart.sinks import write_cleaned, write_quarantine
@@ -191,6 +191,25 @@ def q_quarantine_sink(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def q_malformed_records(spark: SparkSession, d: str) -> DataFrame:
+    """Stage 1 over lines of which some are short, long or have an open quote: every class as counted in the committed
+    files, and the quarantine's malformed lines with their file and text."""
+    root = scratch_path(spark, "malformed")
+    # as FIXTURES.md §3: a bucket of the line's keys says what is wrong with it
+    bucket = F.pmod(F.col("l_suppkey") * 3 + F.col("l_linenumber"), F.lit(40))
+    rows = Q.raw(spark, d)
+    line = lambda *more: F.to_csv(F.struct(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in RAW_SCHEMA.names), *more), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    short = F.regexp_replace(line(), ",[^,]*$", "")
+    opened = F.concat(F.lit('"'), line())
+    rows.select(F.when(bucket == 0, short).when(bucket == 1, line(F.lit("more").alias("more"))).when(bucket == 2, opened).otherwise(line())) \
+        .write.text(f"{root}/input")
+    raw = read_raw_sales(spark, f"{root}/input", malformed=True, header=False, glob="*.txt")
+    counts = run_clean(spark, "", f"{root}/cleaned", f"{root}/quarantine", Q.RUN, raw=raw)
+    kept = spark.read.parquet(f"{root}/quarantine").filter("quarantine_reason = 'malformed_record'").agg(
+        F.count_if(F.col("malformed_record").isNotNull() & F.col("source_file").endswith(".txt")).alias("traceable"))
+    return kept.select("traceable", *(F.lit(n).cast("bigint").alias(c) for c, n in counts.items()))
+
+
 def q_kpi_sink(spark: SparkSession, d: str) -> DataFrame:
     """A KPI table with its audit columns, written by (year, month) and read back."""
     base = scratch_path(spark, "kpi")
@@ -292,6 +311,7 @@ IO_QUERIES = {
     "report_file": q_report_file,
     "verify_report": q_verify_report,
     "quarantine_sink": q_quarantine_sink,
+    "malformed_records": q_malformed_records,
     "kpi_sink": q_kpi_sink,
     "audit_dropped": q_audit_dropped,
     "manifest": q_manifest,

@@ -11,15 +11,17 @@ import datetime as _dt
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators import kpis as K
 from salesmart.operators import report as R
 from salesmart.operators import summary as B
-from salesmart.operators.clean import clean, quarantine, tag_quality, with_audit
-from salesmart.operators.quality import observe_quality
+from salesmart.operators.clean import QUALITY, clean, rejected, type_rows, with_audit, with_quality
+from salesmart.operators.quality import committed_counts
+from salesmart.session import scratch_path
 from salesmart.sinks import report_path, write_cleaned, write_json_text, write_kpi, write_quarantine
+from salesmart.sinks.files import Files
 from salesmart.sources.csv import read_raw_sales
 from salesmart.sources.parquet import cached, read_cleaned, read_kpi
 
@@ -37,21 +39,27 @@ class Run:
 
 
 def run_clean(spark: SparkSession, input_path: str, cleaned_path: str, quarantine_path: str, run: Run,
-              *, header_check: bool = False, raw: DataFrame | None = None, ties=(), files: int | None = None) -> dict:
-    """Stage 1. Returns the run counters, observed during the writes without an extra pass. A map task that runs
-    again after an executor was lost can be counted twice: take ``run_metrics`` over the tables where the
-    counts must be exact."""
-    raw = read_raw_sales(spark, input_path, header_check=header_check) if raw is None else raw
-    tagged, obs = observe_quality(tag_quality(raw))
-    out = with_audit(clean(raw, tagged=tagged, ties=ties), run.job, run.run_ts, "etl_processed_at")
-    out_obs = Observation("cleaned")
-    out = out.observe(out_obs, F.count(F.lit(1)).alias("clean_rows"),
-                      F.count_if(F.col("order_date").isNull()).alias("undated_rows"))
-    write_cleaned(out, cleaned_path, files)
-    write_quarantine(quarantine(raw, run.run_ts), quarantine_path, run.run_id)
-    m = {**obs.get, **out_obs.get}
-    m["duplicates_dropped"] = m["valid_rows"] - m["clean_rows"]
-    return m
+              *, header_check: bool = False, raw: DataFrame | None = None, ties=(), files: int | None = None,
+              malformed: bool = False) -> dict:
+    """Stage 1, in one scan of the raw text. Returns the run counters.
+
+    The standardized text goes to a scratch table by quality class; the cleaned table is made of its class ``ok``, the
+    quarantine of the others, each from its own folders. The counters are those of the committed files, so they are
+    exact whatever tasks were lost and run again. ``malformed`` makes lines of too few or too many fields a class of
+    their own.
+    """
+    raw = read_raw_sales(spark, input_path, header_check=header_check, malformed=malformed) if raw is None else raw
+    staged = scratch_path(spark, f"tagged-{run.run_id}")
+    tagged = with_quality(raw)
+    try:
+        tagged.write.partitionBy(QUALITY).parquet(staged)
+        rows = spark.read.schema(tagged.schema).parquet(staged)
+        out = with_audit(clean(raw, tagged=type_rows(rows), ties=ties), run.job, run.run_ts, "etl_processed_at")
+        write_cleaned(out, cleaned_path, files)
+        write_quarantine(rejected(rows, run.run_ts), quarantine_path, run.run_id)
+        return committed_counts(spark, staged, cleaned_path)
+    finally:
+        Files(spark).delete(staged)
 
 
 def kpi_tables(sales: DataFrame, as_of=None, thresholds: dict | None = None) -> dict[str, DataFrame]:

@@ -443,6 +443,17 @@ def _table_versions() -> str:
     return with_base(one.format(n=1, where="l_suppkey % 2 = 0") + " UNION ALL " + one.format(n=2, where="TRUE"))
 
 
+def _malformed_records() -> str:
+    classes = ("malformed_record", "missing_required_field", "invalid_numeric", "unparseable_numeric", "unrepresentable_amount")
+    counts = ", ".join(f"count(*) FILTER (WHERE q = '{c}') AS {c}" for c in classes)
+    return with_base(f"""
+SELECT c.*, c.malformed_record AS traceable, k.*, c.valid_rows - k.clean_rows AS duplicates_dropped
+FROM (SELECT count(*) AS raw_rows, {counts}, count(*) FILTER (WHERE q = 'ok') AS valid_rows FROM m) c,
+     (SELECT count(*) AS clean_rows, count(*) FILTER (WHERE d IS NULL) AS undated_rows
+      FROM (SELECT max(order_date) AS d FROM m WHERE q = 'ok' GROUP BY order_id, product_id)) k""", """
+m AS (SELECT *, CASE WHEN (l_suppkey * 3 + l_linenumber) % 40 < 3 THEN 'malformed_record' ELSE quality END AS q FROM tagged)""")
+
+
 def _array(section: str, table: str, labels: str, amount: str, n: str, order: str, part: str = "") -> str:
     label = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in labels.split())
     return (f"SELECT '{section}' AS section, row_number() OVER ({part} ORDER BY {order}) - 1 AS position, "
@@ -476,9 +487,10 @@ ORACLE: dict[str, str] = {
     "reconciliation_summary": with_base(
         "SELECT sales_amount_flag, count(*) AS row_count FROM clean GROUP BY sales_amount_flag"),
     "run_metrics": with_base("""
-SELECT t.raw_rows, t.missing_required_field, t.invalid_numeric, t.unparseable_numeric, t.unrepresentable_amount, t.valid_rows,
+SELECT t.raw_rows, t.malformed_record, t.missing_required_field, t.invalid_numeric, t.unparseable_numeric, t.unrepresentable_amount, t.valid_rows,
        c.clean_rows, c.undated_rows, t.valid_rows - c.clean_rows AS duplicates_dropped
 FROM (SELECT count(*) AS raw_rows,
+             count(*) FILTER (WHERE quality = 'malformed_record') AS malformed_record,
              count(*) FILTER (WHERE quality = 'missing_required_field') AS missing_required_field,
              count(*) FILTER (WHERE quality = 'invalid_numeric') AS invalid_numeric,
              count(*) FILTER (WHERE quality = 'unparseable_numeric') AS unparseable_numeric,
@@ -558,6 +570,7 @@ SELECT (SELECT count(*) FROM b2) AS regional_rows, (SELECT count(*) FROM b3) AS
     "synth_undated": f"WITH {SYNTH} SELECT count(DISTINCT (order_id, product_id)) AS undated_rows FROM dirt WHERE order_date = 'not-a-date'",
     "schema_drift": _schema_drift(),
     "catalog_changes": _catalog_changes(),
+    "malformed_records": _malformed_records(),
     "table_versions": _table_versions(),
     "month_filters": with_base("SELECT year, month, count(*) AS found, TRUE AS few_others FROM clean GROUP BY year, month"),
     "report_arrays": _with(" UNION ALL ".join((

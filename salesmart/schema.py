@@ -36,6 +36,7 @@ MISSING_REQUIRED = "missing_required_field"
 INVALID_NUMERIC = "invalid_numeric"
 UNPARSEABLE_NUMERIC = "unparseable_numeric"   # ours: rows the original lost silently
 UNREPRESENTABLE_AMOUNT = "unrepresentable_amount"   # ours: an amount of more digits than the stored types hold
+MALFORMED = "malformed_record"   # ours: a line of too few or too many fields (an open quote swallows the fields after it)
 # customer value segments (lifetime value >= threshold) and recency status (days <= limit)
 HIGH_VALUE_MIN, MID_VALUE_MIN = 5000, 1000
 SEGMENT_HIGH, SEGMENT_MID, SEGMENT_LOW = "HIGH_VALUE", "MID_VALUE", "LOW_VALUE"
@@ -60,4 +61,6 @@ TOTAL = T.DecimalType(38, 2)        # rounded money totals stored in KPI tables
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
 
+# ours: a malformed line's text and every line's file, where the scan was asked for them
+MALFORMED_COLUMN, FILE_COLUMN = "malformed_record", "source_file"
 QUARANTINE_COLUMNS = ("order_id", "quarantine_reason", "quarantine_ts")

@@ -6,25 +6,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.schema import RAW_SCHEMA
+from salesmart.schema import FILE_COLUMN, MALFORMED_COLUMN, RAW_SCHEMA
 
 
 def read_raw_sales(spark: SparkSession, path: str, *, header_check: bool = False,
-                   schema: T.StructType = RAW_SCHEMA, glob: str = "*.csv") -> DataFrame:
+                   schema: T.StructType = RAW_SCHEMA, glob: str = "*.csv", malformed: bool = False, header: bool = True) -> DataFrame:
     """All-STRING CSV scan of ``path`` and the partition folders below it.
 
     Header line skipped; fields matched by position (short rows padded with NULL, extra
     fields dropped). ``header_check=True`` makes Spark compare the header with the schema
     and fail on a reordered file. Hive-style folders (``dt=YYYY-MM-DD``) become columns.
+
+    ``malformed=True`` adds the text of each line whose fields are too few or too many, which ``tag_quality`` makes a class of its own, and
+    every line's file. An open quote takes the rest of its line, so it shows as too few fields; in the last field
+    nothing is lost but the quote mark, and the line is well formed. Such a scan parses all columns, whichever are used.
     """
-    return (spark.read.schema(schema)
-            .option("header", "true")
-            .option("multiLine", "false")
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .option("enforceSchema", "false" if header_check else "true")
-            .option("pathGlobFilter", glob)
-            .csv(path))
+    reader = (spark.read.schema(T.StructType([*schema.fields, T.StructField(MALFORMED_COLUMN, T.StringType())]) if malformed else schema)
+              .option("header", str(header).lower())
+              .option("multiLine", "false")
+              .option("escape", '"')
+              .option("mode", "PERMISSIVE")
+              .option("enforceSchema", "false" if header_check else "true")
+              .option("pathGlobFilter", glob))
+    if not malformed:
+        return reader.csv(path)
+    rows = reader.option("columnNameOfCorruptRecord", MALFORMED_COLUMN).option("columnPruning", "false").csv(path)
+    return rows.withColumn(FILE_COLUMN, F.col("_metadata.file_path"))
 
 
 def infer_raw_schema(spark: SparkSession, path: str | list[str], sampling_ratio: float = 1.0,
