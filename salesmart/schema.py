@@ -46,6 +46,8 @@ STATUS_ACTIVE, STATUS_AT_RISK, STATUS_CHURNED = "ACTIVE", "AT_RISK", "CHURNED"
 TOP_N = 10
 # KPI tables are small: at most this many files per output partition
 KPI_MAX_FILES = 5
+# tasks that write a table of (year, month) folders, where the cluster has as many cores (ours)
+KPI_WRITERS = 64
 # audit columns added to written tables and dropped again by the report
 AUDIT_COLUMNS = ("etl_job", "etl_ts", "etl_processed_at")
 # report key used where the original would have produced a NULL map key

@@ -1,6 +1,8 @@
 """Ingest after crashes, over files without valid rows, and into a table the batch job wrote."""
 
 import datetime as dt
+import glob
+import os
 
 import pytest
 
@@ -33,6 +35,20 @@ def test_file_of_rejected_rows_only(spark, tmp_dir):
     assert orders(spark, out) == [("ORD-1", 1)] and spark.read.parquet(quar).count() == 2
 
 
+def test_malformed_lines_of_a_drop(spark, tmp_dir):
+    inbox, out, quar, ckpt = (f"{tmp_dir}/{n}" for n in ("in", "cleaned", "q", "ckpt"))
+    write_raw_csv(raw_df(spark, row(), row(order_id="ORD-2")).coalesce(1), f"{inbox}/dt=2024-01-01", partition_by_dt=False)
+    path = next(p for p in Files(spark).walk(f"{inbox}/dt=2024-01-01") if p.endswith(".csv"))
+    with open(path.removeprefix("file:"), "a") as f:
+        f.write("lone\n")
+    for crc in glob.glob(f"{inbox}/dt=2024-01-01/.*.crc"):
+        os.unlink(crc)
+    ingest_available(spark, inbox, out, quar, ckpt, malformed=True)
+    bad = spark.read.parquet(quar).collect()
+    assert [(r.quarantine_reason, r.malformed_record, r.source_file.endswith(".csv")) for r in bad] == [("malformed_record", "lone", True)]
+    assert orders(spark, out) == [("ORD-1", 1), ("ORD-2", 1)] and "source_file" not in read_cleaned(spark, out).columns
+
+
 def test_ingest_into_the_batch_jobs_table(spark, tmp_dir):
     inbox, out, quar, ckpt = (f"{tmp_dir}/{n}" for n in ("in", "cleaned", "q", "ckpt"))
     write_raw_csv(raw_df(spark, row(), row(order_id="ORD-2")), f"{inbox}/dt=2024-01-01", partition_by_dt=False)
