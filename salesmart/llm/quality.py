@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.common import arrow_map, whole
 
-SAMPLE = 10_000            # texts that train the scorer, about; never more than twice as many
+SAMPLE = 10_000            # distinct texts that train the scorer, about; never more than twice as many, then those of least hash
 DIMENSIONS = 1 << 14
 CACHED_WORDS = 150_000
-TRUST = 0.5                # prior: so many bad votes of the bad class to each bad vote that a labeller gives
+TRUST = 20.0               # prior: so many right votes of each labeller in each class, whatever the data's size
 ROUNDS = 100               # of expectation-maximisation, at most
 STEPS = 400                # of the scorer's training
 LEAST_WORDS = 5            # shorter texts get votes on symbols only
@@ -159,7 +159,7 @@ class Accuracies:
         hot = np.stack([v == k for k in range(3)], 2).astype(np.float64)       # pattern, labeller, vote
         good = np.where((v == 0).any(1), 0.1, 0.9)
         prior = np.full((2, len(LABELLERS), 3), 0.5)        # labellers are better than chance
-        prior[0, :, 0] += TRUST * (hot[:, :, 0] * counts[:, None]).sum(0)
+        prior[[0, 1], :, [0, 1]] += TRUST
         for _ in range(ROUNDS):
             w = np.stack([1 - good, good], 1) * counts[:, None]
             self.share = (w.sum(0) + 1) / (w.sum() + 2)
@@ -231,17 +231,18 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = ([], [], [])
-        for t in batch.column(0).to_pylist():
+        for t in batch.column(1).to_pylist():
             text = _table().read(t)
             which, times = np.unique(text.features(), return_counts=True)
             out[0].append(text.votes())
             out[1].append(which.astype("<i4").tobytes())
             out[2].append((times / max(text.n, 1)).astype("<f4").tobytes())
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])],
-                                          ["pattern", "which", "share"])
-    few = F.pmod(F.xxhash64(key, whole(text)), F.lit(1 << 30)) < int(share * (1 << 30))
-    picked = arrow_map(docs.filter(few).select(whole(text)), run, "pattern long, which binary, share binary").limit(2 * sample)
-    rows = picked.collect()
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])],
+                                          ["h", "pattern", "which", "share"])
+    # by the text's hash, each text once: however often a text recurs, it is one text to the scorer
+    few = texts.select(F.xxhash64("text").alias("h"), "text").filter(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))).dropDuplicates()
+    rows = arrow_map(few, run, "h long, pattern long, which binary, share binary") \
+        .orderBy("h", "which", "share").limit(2 * sample).drop("h").collect()
     if not rows:
         return Model(accuracies, np.zeros(DIMENSIONS), 0.0)
     which = [np.frombuffer(r[1], "<i4") for r in rows]
