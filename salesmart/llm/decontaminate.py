@@ -39,6 +39,7 @@ WINDOW = 5
 LITERALS = 2
 COVERAGE = 0.8
 MAX_SENT = 2_000_000       # benchmark windows (8 bytes each) that every task is sent
+SHARED_ITEMS = 16          # items from which a window of theirs is met last; changes no result
 CACHED_WORDS = 200_000
 CHUNK = 1 << 16            # characters of short texts that are read together
 #: Units of measurement looked for after a number.
@@ -285,6 +286,30 @@ def _agreed(aligned: DataFrame) -> DataFrame:
     return aligned.mapInArrow(run, f"key {kinds[0]}, item {kinds[1]}, places array<int>, changed int")
 
 
+def _met(hits: DataFrame, wanted: DataFrame, sizes: DataFrame, coverage: float) -> DataFrame:
+    """``hits`` with the items' windows of the same hash, for the pairs that can reach ``coverage``.
+
+    A window of more than ``SHARED_ITEMS`` items says little, and meeting them all through it would give a row for
+    each text and item that hold it. Where an item's shared windows can't cover it alone, a text has to hold another of
+    its windows too: such pairs are found by those, and only they meet the shared ones, by item and text."""
+    often = wanted.groupBy("hash").agg(F.countDistinct("item").alias("n")).filter(F.col("n") > SHARED_ITEMS).select("hash", F.lit(True).alias("often"))
+    marked = shared(wanted.join(often, "hash", "left").withColumn("often", F.coalesce("often", F.lit(False))), "marked")
+
+    def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alone = [len(covered(set(places))) >= coverage * n for places, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield batch.filter(pa.array(alone, pa.bool_())).select(["item"])
+    kind = wanted.schema["item"].dataType.simpleString()
+    places = marked.filter("often").groupBy("item").agg(F.collect_set("item_at").alias("places")).join(sizes, "item")     # of one item
+    alone = places.select("item", "places", "windows").mapInArrow(enough, f"item {kind}").withColumn("alone", F.lit(True))
+    marked = shared(marked.join(alone, "item", "left").withColumn("late", F.col("often") & F.col("alone").isNull()).drop("often", "alone"), "marked")
+    first = shared(hits.join(marked.filter("not late").drop("late"), "hash"), "met")
+    pairs = first.select("key", "item").distinct()
+    later = pairs.join(marked.filter("late").drop("late"), "item")
+    again = hits.join(later, ["key", "hash"])
+    return first.unionByName(again.select(first.columns))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
             item_text: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """``key, item, windows, matched, coverage, changed_slots`` of the contaminated pairs."""
@@ -299,8 +324,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
     if n <= MAX_SENT:
         hashes = [r[0] for r in distinct.collect()] or [0]      # a chance hit would still meet nothing in the join
         sent = spark.sparkContext.broadcast(np.sort(np.array(hashes, np.int64).view(np.uint64)))
-    hits = _windowed(docs, key, text, widths, False, sent)
-    met = hits.join(wanted, "hash").select("key", "item", (F.col("at") - F.col("item_at")).alias("offset"), F.struct(
+    hits = shared(_windowed(docs, key, text, widths, False, sent), "hits")
+    met = _met(hits, wanted, sizes, coverage).select("key", "item", (F.col("at") - F.col("item_at")).alias("offset"), F.struct(
         F.col("item_at").alias("at"), F.zip_with("item_slots", "slots", lambda i, d: F.struct(
             (F.col("item_at") + i["at"]).alias("at"), i["value"].alias("i"), d["value"].alias("d"), (i["sure"] & d["sure"]).alias("sure"))).alias("slots")).alias("hit"))
     # of an alignment: one row per window of the item that it meets and reading, so its set is bounded by the item

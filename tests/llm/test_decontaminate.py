@@ -163,3 +163,44 @@ def test_windows_without_literals(spark, text, item, hit):
 
 def test_covered():
     assert dec.covered(set()) == [] and dec.covered({0, 2, 7, 13}) == [*range(8), 13]
+
+
+def hot(spark, n):
+    """Texts and items that share ten words, and some pairs that share all."""
+    rng = random.Random(8)
+    name = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(4))
+    common = "the quick answer to this kind of question is always"
+    items = [f"{name()} {name()} {name()} {name()} {common} {name()} {name()} {name()} {name()} {name()} {name()} {name()}" for _ in range(n)]
+    texts = [f"{name()} {name()} {common} {name()} {name()}" + (f" so {items[k]} then" if k % 10 == 0 else "") for k in range(n)]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return documents, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+
+
+def test_common_window_is_no_product(spark, monkeypatch):
+    documents, items = hot(spark, 300)
+    rows = []
+    met = dec._met
+
+    def counted(*args):
+        out = met(*args)
+        rows.append(out.count())
+        return out
+    monkeypatch.setattr(dec, "_met", counted)
+    got = {(r.doc_id, r.item_id) for r in dec.contaminated(documents, items).collect()}
+    assert got == {(k, k) for k in range(0, 300, 10)} and rows[0] < 10 * 600
+
+
+def test_shared_windows_change_no_result(spark, monkeypatch):
+    documents, items = hot(spark, 60)
+    # items that are nearly all shared windows, and the given tables
+    more = spark.createDataFrame([(1000 + k, "the quick answer to this kind of question is always here") for k in range(20)], items.schema)
+    some = [(documents, items.unionByName(more)), tuple(table(spark, "/root/testdata/sf0.001", t) for t in ("documents", "benchmark"))]
+
+    def found():
+        return [sorted(map(tuple, dec.contaminated(d, b).collect())) for d, b in some]
+    monkeypatch.setattr(dec, "SHARED_ITEMS", 10_000_000)
+    plain = found()
+    for limit in (0, 1, 16):
+        monkeypatch.setattr(dec, "SHARED_ITEMS", limit)
+        assert found() == plain
+    assert plain[0] and plain[1]
