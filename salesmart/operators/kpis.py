@@ -58,15 +58,24 @@ def category_monthly(sales: DataFrame) -> DataFrame:
     )
 
 
-def monthly_trend(sales: DataFrame, calendar: bool = False) -> DataFrame:
-    """A3: monthly totals per region with month-over-month revenue growth."""
-    base = sales.groupBy("year", "month", "region").agg(
+def monthly_totals(sales: DataFrame) -> DataFrame:
+    """A3 without the growth."""
+    return sales.groupBy("year", "month", "region").agg(
         total2("sales_amount").alias("monthly_revenue"),
         total2("profit").alias("monthly_profit"),
         F.sum("quantity").alias("monthly_units"),
         F.count_distinct("order_id").alias("monthly_orders"),
     )
-    return mom_growth(base, "monthly_revenue", ("region",), ("year", "month"), calendar=calendar)
+
+
+def monthly_trend(sales: DataFrame, calendar: bool = False) -> DataFrame:
+    """A3: monthly totals per region with month-over-month revenue growth."""
+    return with_growth(monthly_totals(sales), calendar)
+
+
+def with_growth(totals: DataFrame, calendar: bool = False) -> DataFrame:
+    """The growth column of A3 beside ``monthly_totals``."""
+    return mom_growth(totals, "monthly_revenue", ("region",), ("year", "month"), calendar=calendar)
 
 
 PRODUCT_KEYS = ("region", "product_id", "product_name", "category", "sub_category")
@@ -82,19 +91,17 @@ def product_region_totals(sales: DataFrame) -> DataFrame:
 
 def top_products_by_region(sales: DataFrame, n: int = TOP_N, method: str = "rank") -> DataFrame:
     """A4: products ranked by (rounded) revenue within their region, rank <= n."""
-    return top_n_per_group(product_region_totals(sales), "region",
-                           [F.col("total_revenue").desc_nulls_last()], n, method, "rank_in_region")
+    return ranked_products(product_region_totals(sales), n, method)
 
 
-def customer_segments(sales: DataFrame, as_of=None, high=HIGH_VALUE_MIN, mid=MID_VALUE_MIN,
-                      active=ACTIVE_MAX_DAYS, at_risk=AT_RISK_MAX_DAYS) -> DataFrame:
-    """A5: value segment and recency status per (customer, region, country).
+def ranked_products(totals: DataFrame, n: int = TOP_N, method: str = "rank") -> DataFrame:
+    """A4 from ``product_region_totals``."""
+    return top_n_per_group(totals, "region", [F.col("total_revenue").desc_nulls_last()], n, method, "rank_in_region")
 
-    ``as_of`` (date or 'yyyy-MM-dd'; default today) fixes the recency reference day, so a
-    rerun gives the same table. NULL lifetime value -> LOW_VALUE, NULL recency -> CHURNED.
-    """
-    as_of_col = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
-    t = sales.groupBy("customer_id", "region", "country").agg(
+
+def customer_totals(sales: DataFrame) -> DataFrame:
+    """A5 without what depends on the day: totals per (customer, region, country)."""
+    return sales.groupBy("customer_id", "region", "country").agg(
         total2("sales_amount").alias("lifetime_value"),
         F.count_distinct("order_id").alias("total_orders"),
         mean2("sales_amount").alias("avg_order_value"),
@@ -102,9 +109,25 @@ def customer_segments(sales: DataFrame, as_of=None, high=HIGH_VALUE_MIN, mid=MID
         F.max("order_date").alias("last_order_date"),
         total2("profit").alias("total_profit_generated"),
     )
+
+
+def customer_segments(sales: DataFrame, as_of=None, high=HIGH_VALUE_MIN, mid=MID_VALUE_MIN,
+                      active=ACTIVE_MAX_DAYS, at_risk=AT_RISK_MAX_DAYS) -> DataFrame:
+    """A5: value segment and recency status per (customer, region, country).
+
+    ``as_of`` (date or 'yyyy-MM-dd'; default today) fixes the recency reference day, so a
+    rerun gives the same table. NULL lifetime value -> LOW_VALUE, NULL recency -> CHURNED.
+    """
+    return with_segments(customer_totals(sales), as_of, high, mid, active, at_risk)
+
+
+def with_segments(totals: DataFrame, as_of=None, high=HIGH_VALUE_MIN, mid=MID_VALUE_MIN,
+                  active=ACTIVE_MAX_DAYS, at_risk=AT_RISK_MAX_DAYS) -> DataFrame:
+    """The segment and status columns of A5 beside ``customer_totals``."""
+    as_of_col = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
     lv = F.col("lifetime_value")
     days = F.datediff(as_of_col, F.to_date("last_order_date"))
-    return (t.withColumn("customer_segment",
+    return (totals.withColumn("customer_segment",
                          F.when(lv >= high, F.lit(SEGMENT_HIGH)).when(lv >= mid, F.lit(SEGMENT_MID))
                          .otherwise(F.lit(SEGMENT_LOW)))
              .withColumn("days_since_last_order", days)
@@ -148,6 +171,38 @@ def overall_kpi(sales: DataFrame) -> DataFrame:
     )
 
 
+OVERALL_IDS = ("order_id", "customer_id", "product_id")     # whose distinct values A8 counts
+
+
+def monthly_sums(sales: DataFrame) -> DataFrame:
+    """What A8 adds up, per month and unrounded, so that months can be added in any order."""
+    return sales.groupBy("year", "month").agg(
+        F.sum("sales_amount").alias("amount"), F.count("sales_amount").alias("amounts"),
+        F.sum("profit").alias("gain"), F.count("profit").alias("gains"), F.sum("quantity").alias("units"),
+        F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"))
+
+
+def overall_from_months(sums: DataFrame, distinct: DataFrame) -> DataFrame:
+    """A8 from ``monthly_sums`` and the distinct counts (``column, n``, see ``operators.distinct``): the lines aren't read,
+    and nothing is expanded."""
+    both = sums.unionByName(distinct, allowMissingColumns=True)
+    mean = lambda total, n: F.try_divide(F.sum(total).cast("double"), F.sum(n))
+    count = lambda c: F.coalesce(F.max(F.when(F.col("column") == c, F.col("n"))), F.lit(0).cast("bigint"))
+    orders, customers, products = (count(c) for c in OVERALL_IDS)
+    return both.agg(
+        total2("amount").alias("grand_total_revenue"),
+        total2("gain").alias("grand_total_profit"),
+        F.round(F.try_divide(mean("gain", "gains"), mean("amount", "amounts")) * 100, 2).alias("overall_profit_margin_pct"),
+        F.sum("units").alias("total_units_sold"),
+        orders.alias("total_orders"),
+        customers.alias("unique_customers"),
+        products.alias("unique_products"),
+        F.round(mean("amount", "amounts"), 2).alias("avg_order_value"),
+        F.min("first_date").alias("data_from"),
+        F.max("last_date").alias("data_to"),
+    )
+
+
 # ---------------------------------------------------------------------------
 # exact variants
 # ---------------------------------------------------------------------------

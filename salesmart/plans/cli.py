@@ -19,6 +19,7 @@ import argparse
 import json
 
 from salesmart.plans.jobs import Run, run_aggregate, run_all, run_clean, run_consolidate
+from salesmart.plans.refresh import refresh_aggregates
 from salesmart.session import get_spark
 
 
@@ -35,6 +36,7 @@ def main(argv=None) -> dict:
     a.add_argument("--kpis", required=True)
     a.add_argument("--as-of")
     a.add_argument("--cache", action="store_true")
+    a.add_argument("--incremental", action="store_true", help="only what changed since the last such run")
     s = sub.add_parser("consolidate")
     s.add_argument("--kpis", required=True)
     s.add_argument("--output", required=True)
@@ -60,6 +62,9 @@ def main(argv=None) -> dict:
     run = Run(job=args.job, **({"run_id": args.run_id} if args.run_id else {}))
     if args.cmd == "clean":
         out = run_clean(spark, args.input, args.cleaned, args.quarantine, run, header_check=args.header_check)
+    elif args.cmd == "aggregate" and args.incremental:
+        months = refresh_aggregates(spark, args.cleaned, args.kpis, run, as_of=args.as_of)
+        out = {"months": sorted(months, key=str)}
     elif args.cmd == "aggregate":
         out = run_aggregate(spark, args.cleaned, args.kpis, run, as_of=args.as_of, cache=args.cache)
     elif args.cmd == "consolidate":

@@ -7,6 +7,7 @@ so the returned frame is what a later job would see.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from salesmart.operators.membership import blocks_for, build_filters, probe, wit
 from salesmart.operators.quality import verify_report
 from salesmart.plans import queries as Q
 from salesmart.plans.jobs import run_clean, run_consolidate
+from salesmart.plans.refresh import refresh_aggregates
 from salesmart.schema import RAW_SCHEMA
 from salesmart.session import scratch_path
 from salesmart.sinks import write_cleaned, write_quarantine
@@ -237,8 +239,8 @@ def q_manifest(spark: SparkSession, d: str) -> DataFrame:
     return m.select("run_id", "generated_at", "output_path", "status", "record_counts.*")
 
 
-def _ingested(spark: SparkSession, d: str) -> str:
-    """The table after two ingest runs over two file drops."""
+def _ingested(spark: SparkSession, d: str, after: Callable[[str], object] | None = None) -> str:
+    """The table after two ingest runs over two file drops; ``after`` is called after each."""
     from salesmart.streaming import ingest_available
     root = scratch_path(spark, "stream")
     raw = Q.raw(spark, d).withColumn("dt", drop_of())
@@ -247,6 +249,8 @@ def _ingested(spark: SparkSession, d: str) -> str:
         write_raw_csv(raw.filter(F.col("dt") == day).drop("dt"), f"{inbox}/dt={day}", partition_by_dt=False)
         ingest_available(spark, inbox, cleaned, quar, ckpt, schema=FIXTURE_RAW_SCHEMA, run_ts=Q.RUN_TS,
                          job=Q.JOB, ties=FIXTURE_TIES)
+        if after:
+            after(cleaned)
     return cleaned
 
 
@@ -269,6 +273,45 @@ def q_table_versions(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def _refreshed(spark: SparkSession, d: str) -> str:
+    """The KPI tables that followed the table through both drops."""
+    base, limits = scratch_path(spark, "refreshed"), dict(high=Q.HIGH, mid=Q.MID, active=Q.ACTIVE, at_risk=Q.AT_RISK)
+    _ingested(spark, d, lambda cleaned: refresh_aggregates(spark, cleaned, base, Q.RUN, as_of=Q.AS_OF, thresholds=limits))
+    return base
+
+
+#: dataset -> names, amount, count and figure that ``incremental_kpis`` shows of it
+INCREMENTAL = {
+    "region_country_monthly": (("region", "country"), "total_revenue", "total_orders", "profit_margin_pct"),
+    "category_monthly": (("category", "sub_category"), "total_revenue", "total_orders", "avg_discount_pct"),
+    "monthly_trend": (("region",), "monthly_revenue", "monthly_orders", "mom_growth_pct"),
+    "top_products_by_region": (("region", "product_id"), "total_revenue", "rank_in_region", "avg_unit_price"),
+    "customer_segments": (("customer_id", "region", "country", "customer_segment", "customer_status"), "lifetime_value", "total_orders", "avg_order_value"),
+    "payment_distribution": (("payment_method", "region"), "total_revenue", "transaction_count", "avg_transaction_value"),
+    "order_status_summary": (("status", "region"), "revenue_at_risk", "order_count", None),
+}
+DATED = ("region_country_monthly", "category_monthly", "monthly_trend", "payment_distribution", "order_status_summary")
+
+
+def q_incremental_kpis(spark: SparkSession, d: str) -> DataFrame:
+    """I2 -> A1-A7: the KPI tables that were brought up after each of two drops, not computed anew: names, an amount, a count and
+    a figure of each row."""
+    base, out = _refreshed(spark, d), None
+    for name, (names, amount, count, figure) in INCREMENTAL.items():
+        period = [F.col(c) if name in DATED else F.lit(None).cast("int").alias(c) for c in ("year", "month")]
+        rows = read_kpi(spark, base, name).select(
+            F.lit(name).alias("dataset"), F.concat_ws("|", *(F.coalesce(F.col(c), F.lit("-")) for c in names)).alias("names"), *period,
+            F.col(amount).cast("double").alias("amount"), F.col(count).cast("bigint").alias("n"),
+            (F.col(figure) if figure else F.lit(None)).cast("double").alias("figure"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_incremental_overall(spark: SparkSession, d: str) -> DataFrame:
+    """A8 from the months' sums and bitmaps, after two drops."""
+    return drop_audit(read_kpi(spark, _refreshed(spark, d), "overall_kpi"))
+
+
 def q_month_filters(spark: SparkSession, d: str) -> DataFrame:
     """Every month's key filter probed with every key of the table: a month finds all of its own keys, and few others."""
     path, key = scratch_path(spark, "keys"), ["order_id", "product_id"]
@@ -318,4 +361,6 @@ IO_QUERIES = {
     "stream_ingest": q_stream_ingest,
     "table_versions": q_table_versions,
     "month_filters": q_month_filters,
+    "incremental_kpis": q_incremental_kpis,
+    "incremental_overall": q_incremental_overall,
 }

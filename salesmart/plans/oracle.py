@@ -443,6 +443,23 @@ def _table_versions() -> str:
     return with_base(one.format(n=1, where="l_suppkey % 2 = 0") + " UNION ALL " + one.format(n=2, where="TRUE"))
 
 
+def _incremental_kpis() -> str:
+    def one(name: str, table: str, names: str, amount: str, count: str, figure: str = "NULL", dated: bool = True) -> str:
+        text = "concat_ws('|', " + ", ".join(f"coalesce({c}, '-')" for c in names.split()) + ")"
+        period = "year, month" if dated else "CAST(NULL AS INTEGER) AS year, CAST(NULL AS INTEGER) AS month"
+        return (f"SELECT '{name}' AS dataset, {text} AS names, {period}, CAST({amount} AS DOUBLE) AS amount, "
+                f"CAST({count} AS BIGINT) AS n, CAST({figure} AS DOUBLE) AS figure FROM {table}")
+    return _with(" UNION ALL ".join((
+        one("region_country_monthly", "a1", "region country", "total_revenue", "total_orders", "profit_margin_pct"),
+        one("category_monthly", "a2", "category sub_category", "total_revenue", "total_orders", "avg_discount_pct"),
+        one("monthly_trend", "a3", "region", "monthly_revenue", "monthly_orders", "mom_growth_pct"),
+        one("top_products_by_region", "a4", "region product_id", "total_revenue", "rank_in_region", "avg_unit_price", dated=False),
+        one("customer_segments", "a5", "customer_id region country customer_segment customer_status", "lifetime_value",
+            "total_orders", "avg_order_value", dated=False),
+        one("payment_distribution", "a6", "payment_method region", "total_revenue", "transaction_count", "avg_transaction_value"),
+        one("order_status_summary", "a7", "status region", "revenue_at_risk", "order_count"))), A1, A2, A3, A4, A5, A6, A7)
+
+
 def _malformed_records() -> str:
     classes = ("malformed_record", "missing_required_field", "invalid_numeric", "unparseable_numeric", "unrepresentable_amount")
     counts = ", ".join(f"count(*) FILTER (WHERE q = '{c}') AS {c}" for c in classes)
@@ -572,6 +589,8 @@ SELECT (SELECT count(*) FROM b2) AS regional_rows, (SELECT count(*) FROM b3) AS
     "catalog_changes": _catalog_changes(),
     "malformed_records": _malformed_records(),
     "table_versions": _table_versions(),
+    "incremental_kpis": _incremental_kpis(),
+    "incremental_overall": _with(f"SELECT {_replace('grand_total_revenue grand_total_profit')} FROM a8", A8),
     "month_filters": with_base("SELECT year, month, count(*) AS found, TRUE AS few_others FROM clean GROUP BY year, month"),
     "report_arrays": _with(" UNION ALL ".join((
         _array("regional_summary", "b2", "region country", "total_revenue", "total_orders", "total_revenue DESC NULLS LAST"),

@@ -33,8 +33,10 @@ def write_quarantine(df: DataFrame, path: str, run_id: str) -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
 
 
-def write_kpi(df: DataFrame, base: str, name: str, partitions: tuple[str, ...] = (), bounded: bool = True) -> str:
-    """K3: a KPI table at ``{base}/{name}``, at most ``KPI_MAX_FILES`` files per output partition.
+def write_kpi(df: DataFrame, base: str, name: str, partitions: tuple[str, ...] = (), bounded: bool = True,
+              mode: str = "static") -> str:
+    """K3: a KPI table at ``{base}/{name}``, at most ``KPI_MAX_FILES`` files per output partition. ``mode="dynamic"``
+    replaces only the output partitions that ``df`` has rows of.
 
     * partitioned, dimension-bounded tables: rows are hash-partitioned on the partition
       columns (a shuffle of the small result), so each (year, month) gets exactly one file;
@@ -52,7 +54,7 @@ def write_kpi(df: DataFrame, base: str, name: str, partitions: tuple[str, ...] =
         out = df.repartition(max(tasks, 1), *partitions)
     else:
         out = df.coalesce(KPI_MAX_FILES)
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", mode)
     if partitions:
         w = w.partitionBy(*partitions)
     w.parquet(path)
