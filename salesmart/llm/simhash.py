@@ -10,7 +10,9 @@ those segments' bits, and the chain test prunes pairs before the full Hamming ch
 Equal fingerprints are one node, so copies are never paired. A dealt bucket is compared in
 numpy and leaves as a spanning forest of its links, not as pairs; a bucket over
 ``PAIRWISE`` looks up each difference that the chain allows instead, which takes time linear
-in its size. Links then go through ``components``.
+in its size. A bucket over ``LARGE`` isn't compared as one: what its fingerprints may still differ in is cut into t+1
+parts, of which two linked ones share at least one, and they are dealt anew by each part. Fingerprints
+are distinct, so at t = 2 such a bucket holds at most 2^18 of them whatever the data. Links then go through ``components``.
 
 Defined results: null and empty texts and texts of white space alone have fingerprint zero,
 linked like any other; texts of fewer words than a shingle have one shingle, the whole
@@ -27,7 +29,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import arrow_map, shared, whole
@@ -39,6 +41,8 @@ DISTANCE = 2
 CHUNK = 1 << 15            # shingles whose bits are unpacked at once
 PAIRWISE = 4096            # bucket size up to which all its pairs are compared
 BUFFER = 1 << 16           # dealt rows looked at together
+LARGE = 1 << 18            # bucket size, beyond the mean of a bin, from which a bucket is dealt anew
+BINS = 1 << 18             # classes of buckets that are counted
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -76,6 +80,16 @@ class Ring:
             [(i, i + 1) for i in range(self.m)]
         #: (the chain's first segment, the bits that are equal)
         self.tables = [(k[0], pick(*k)) for k in keys]
+        #: number of those; behind them, for each, t+1 finer ones that a large bucket is dealt by instead
+        self.coarse = len(self.tables)
+        for start, mask in self.tables[:self.coarse]:
+            free = [b for b in range(64) if not mask >> b & 1]
+            ends = [len(free) * j // (distance + 1) for j in range(distance + 2)]
+            self.tables += [(start, mask | sum(1 << b for b in free[lo:hi])) for lo, hi in zip(ends, ends[1:], strict=False)]
+
+    def finer(self, table: int) -> range:
+        first = self.coarse + table * (self.t + 1)
+        return range(first, first + self.t + 1)
 
     def chain(self, start: int, diff: np.ndarray) -> np.ndarray:
         """Which differences keep every prefix of the chain from ``start`` within its budget; the last
@@ -145,31 +159,54 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     if distance < 1:
         return prints.select(F.col("fp").alias("u"), F.col("fp").alias("v")).limit(0)
     ring = Ring(distance)
-    signed = lambda mask: mask - (1 << 64) if mask >> 63 else mask
-    dealt = prints.select("fp", F.explode(F.array(*[
-        F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(mask))).alias("bucket"))
-        for t, (_, mask) in enumerate(ring.tables)])).alias("x")).select("x.t", "x.bucket", "fp")
+    dealt = deal(prints, ring)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(rows: np.ndarray) -> pa.RecordBatch:
+        def found(parts: list[np.ndarray]) -> pa.RecordBatch:
+            rows = np.concatenate(parts, axis=1)
             a, b = _forest(*_links(ring, rows[0], rows[1], rows[2].view(np.uint64)))
             return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (a, b)], ["u", "v"])
         held, n = [], 0
         for batch in batches:
-            held.append(np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)]))
-            n += batch.num_rows
-            if n >= BUFFER:
-                rows = np.concatenate(held, axis=1)
-                last = np.flatnonzero((rows[0] != rows[0, -1]) | (rows[1] != rows[1, -1]))
-                cut = last[-1] + 1 if len(last) else 0       # the last bucket may go on
-                if cut:
-                    yield found(rows[:, :cut])
-                held, n = [rows[:, cut:]], len(rows[0]) - cut
+            rows = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)])
+            if n >= BUFFER and rows.shape[1]:        # the bucket of the last row may go on, those before it don't
+                others = np.flatnonzero((rows[:2] != rows[:2, -1:]).any(0))
+                cut = others[-1] + 1 if len(others) else 0
+                if cut or (held[-1][:2, -1] != rows[:2, -1]).any():
+                    yield found([*held, rows[:, :cut]])
+                    held, n, rows = [], 0, rows[:, cut:]
+            if rows.shape[1]:
+                held.append(rows)
+                n += rows.shape[1]
         if n:
-            yield found(np.concatenate(held, axis=1))
+            yield found(held)
     return dealt.repartition("t", "bucket").sortWithinPartitions("t", "bucket", "fp").mapInArrow(run, "u long, v long")
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def deal(prints: DataFrame, ring: Ring) -> DataFrame:
+    """``t, bucket, fp``: each fingerprint under the bits of each table, those of large buckets under the finer tables' bits.
+
+    Buckets are counted in ``BINS`` classes, map-side first; every bucket of a class that is over the mean by ``LARGE``
+    counts as large, which only costs its fingerprints t more rows. The classes sent to the tasks are at most ``BINS`` numbers.
+    """
+    under = lambda t: F.col("fp").bitwiseAND(F.lit(_signed(ring.tables[t][1])))
+    rows = prints.select("fp", F.explode(F.array(*[
+        F.struct(F.lit(t).alias("t"), under(t).alias("bucket")) for t in range(ring.coarse)])).alias("x")) \
+        .select("x.t", "x.bucket", "fp").withColumn("bin", F.pmod(F.xxhash64("t", "bucket"), F.lit(BINS)))
+    counts = rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).withColumn("all", F.sum("n").over(Window.partitionBy()))
+    large = counts.filter(F.col("n") > F.col("all") / BINS + LARGE).select(F.col("bin").alias("large"))
+    marked = rows.join(F.broadcast(large), rows["bin"] == large["large"], "left")
+    again = F.coalesce(*(F.when(F.col("t") == t, F.array(*(
+        F.struct(F.lit(u).alias("t"), under(u).alias("bucket")) for u in ring.finer(t)))) for t in range(ring.coarse)))
+    same = F.array(F.struct(F.col("t"), F.col("bucket")))
+    return marked.select("fp", F.explode(F.when(F.col("large").isNull(), same).otherwise(again)).alias("x")) \
+        .select("x.t", "x.bucket", "fp")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE) -> DataFrame:
     """``key, fp, component_id`` per row: the least key reachable over links of at most ``distance`` bits."""

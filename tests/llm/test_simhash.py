@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from salesmart.llm import simhash
 from salesmart.llm.components import components
@@ -75,6 +76,74 @@ def test_buckets_beyond_pairwise(spark, monkeypatch):
     assert few == many and few
 
 
+def settled(spark, prints, distance):
+    """The least fingerprint of each one's component."""
+    root = {r.node: r.root for r in components(simhash.links(prints, distance)).collect()}
+    return {r.fp: root.get(r.fp, r.fp) for r in prints.collect()}
+
+
+@pytest.mark.parametrize("distance", [1, 2, 3])
+def test_every_bucket_dealt_anew(spark, monkeypatch, distance):
+    prints = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in flipped(random.Random(distance), 60, 6)], "fp long")
+    want = settled(spark, prints, distance)
+    monkeypatch.setattr(simhash, "LARGE", -(1 << 40))
+    assert settled(spark, prints, distance) == want
+    ring = simhash.Ring(distance)
+    assert simhash.deal(prints, ring).filter(F.col("t") < ring.coarse).count() == 0
+
+
+def test_large_bucket_is_several(spark, monkeypatch):
+    """A bucket of 40,000 fingerprints goes to the tasks in parts, with the same components."""
+    ring = simhash.Ring(2)
+    free = [b for b in range(64) if not ring.tables[3][1] >> b & 1]
+    rng = np.random.default_rng(1)
+    fps = np.unique(sum((rng.integers(0, 2, 40_000) << np.int64(b) for b in free[:25]), np.int64(0)))
+    prints = spark.createDataFrame([(int(f),) for f in fps], "fp long")
+    largest = lambda: simhash.deal(prints, ring).groupBy("t", "bucket").count().agg(F.max("count")).first()[0]
+    assert largest() == len(fps)
+    want = settled(spark, prints, 2)
+    monkeypatch.setattr(simhash, "LARGE", 5000)
+    assert largest() < len(fps) / 50
+    assert settled(spark, prints, 2) == want
+
+
+def test_finer_tables_bound_a_bucket():
+    """At distance 2 what the finer tables leave open is at most 18 bits, so a bucket of distinct fingerprints is at most 2^18."""
+    ring = simhash.Ring(2)
+    assert max(64 - ring.tables[u][1].bit_count() for t in range(ring.coarse) for u in ring.finer(t)) <= 18
+
+
+def test_long_bucket_over_many_batches(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BUFFER", 100)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    prints = spark.range(3000).select((F.col("id") * 5).alias("fp"))
+    want = settled(spark, prints, 2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert settled(spark, prints, 2) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_hot_fingerprint_is_split(spark):
+    """The rows of a fingerprint that a third of all documents share are joined with its component by several tasks."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        text = F.when(F.col("id") % 3 == 0, F.lit("one two three four")).otherwise(F.concat_ws(" ", F.sha1(F.col("id").cast("string")), F.lit("x y")))
+        found = simhash.near_duplicates(spark.range(0, 30_000, 1, 8).select(F.xxhash64("id").alias("doc_id"), text.alias("text")))
+        assert found.groupBy("component_id").count().agg(F.max("count")).first()[0] == 10_000
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_chain_is_never_stricter_than_distance():
     """Some start's chain passes every pair within the distance; a chain's last prefix is the full check."""
     rng = random.Random(5)
