@@ -139,25 +139,38 @@ def assign(groups: DataFrame, shards: int = SHARDS) -> DataFrame:
     return crated.join(placed, "crate").select("group", "shard")
 
 
+def parts(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with ``__part`` and ``__rows``: each row's copies as entries of at most ``SLOT_ROWS``, dealt by hash into parts of about
+    as many, so that neither a shard nor a row that is repeated without end is numbered as one."""
+    total = rows.agg(F.sum("copies")).first()[0] or 0
+    n = max(1, -(-total // SLOT_ROWS))
+    cut = rows.withColumn("__entry", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / SLOT_ROWS))))
+    return cut.withColumn("__rows", F.least(F.lit(SLOT_ROWS).cast("long"), F.col("copies") - F.col("__entry") * SLOT_ROWS)) \
+        .withColumn("__part", F.pmod(F.xxhash64(*order, "__entry"), F.lit(n)).cast("int"))
+
+
 def slots(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rows`` (a written table with ``shard``) with ``slot``, gapless from 0 in each shard. A shard's rows are
-    numbered in parts of bounded size that are dealt by hash; the parts' counts give their first slots."""
-    parts = max(1, -(-rows.count() // SLOT_ROWS))
-    rows = rows.withColumn("__part", F.pmod(F.xxhash64(*order), F.lit(parts)).cast("int"))
-    counts = rows.groupBy("shard", "__part").agg(F.count("*").alias("n"))
+    """``rows`` (a written table of distinct rows with ``shard`` and ``copies``) once for each copy, with ``slot``, gapless from 0 in
+    each shard. A shard's rows are numbered in ``parts``; the parts' counts give their first slots."""
+    cut = parts(rows, order)
+    counts = cut.groupBy("shard", "__part").agg(F.sum("__rows").alias("n"))
     before = Window.partitionBy("shard").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("shard", "__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
-    own = F.row_number().over(Window.partitionBy("shard", "__part").orderBy(*order))
-    return rows.withColumn("__own", own).join(first, ["shard", "__part"]) \
-        .withColumn("slot", F.col("__first") + F.col("__own") - 1).drop("__part", "__first", "__own")
+    own = F.sum("__rows").over(Window.partitionBy("shard", "__part").orderBy(*order, "__entry").rowsBetween(Window.unboundedPreceding, -1))
+    start = F.col("__first") + F.coalesce(F.col("__own"), F.lit(0))
+    return cut.withColumn("__own", own).join(first, ["shard", "__part"]) \
+        .withColumn("slot", F.explode(F.sequence(start, start + F.col("__rows") - 1))) \
+        .drop("__part", "__first", "__own", "__entry", "__rows", "copies")
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Contract columns of ``op7`` under the law ``bytes``."""
     body = whole("text").cast("binary")
-    rows = shared(docs.select("doc_id", (F.octet_length(body) + ROW_BYTES).cast("long").alias("size"),
-                              F.crc32(body).alias("text_crc32"), F.unhex(F.sha2(body, 256)).alias("group")), "sizes")
-    groups = shared(rows.groupBy("group").agg(F.sum("size").alias("size")), "groups")
+    rows = docs.select("doc_id", (F.octet_length(body) + ROW_BYTES).cast("long").alias("size"),
+                       F.crc32(body).alias("text_crc32"), F.unhex(F.sha2(body, 256)).alias("group"))
+    # repeated rows leave a map task as one
+    rows = shared(rows.groupBy(*rows.columns).agg(F.count("*").alias("copies")), "sizes")
+    groups = shared(rows.groupBy("group").agg(F.sum(F.col("size") * F.col("copies")).alias("size")), "groups")
     placed = shared(rows.join(assign(groups, shards), "group"), "placed")
     return slots(placed, ["doc_id", "group"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

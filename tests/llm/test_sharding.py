@@ -3,6 +3,8 @@ import zlib
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from salesmart.llm import sharding
 from salesmart.llm.common import table
 
@@ -75,6 +77,20 @@ def test_parts_of_slots(spark, monkeypatch):
     check(sharding.shard_documents(docs(spark, list(texts.values())), 6).collect(), texts, 6)
 
 
+def test_row_repeated_for_a_third_of_the_table(spark, monkeypatch):
+    """One row's copies are numbered in several parts, gaplessly, each copy once."""
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 10)
+    ids, texts = [*range(400), *([7] * 200)], [*(f"text {k}" for k in range(400)), *(["text 7"] * 200)]
+    rows = sharding.shard_documents(docs(spark, texts, ids), 6).collect()
+    assert len(rows) == 600 and sum(r.doc_id == 7 for r in rows) == 201
+    for k in range(6):
+        assert sorted(r.slot for r in rows if r.shard == k) == list(range(sum(r.shard == k for r in rows)))
+    one = spark.createDataFrame([(7, 0, 1000)], "doc_id long, shard int, copies long")
+    cut = sharding.parts(one, ["doc_id"])
+    assert cut.agg(F.sum("__rows"), F.max("__rows"), F.count("*")).first() == (1000, 10, 100)
+    assert cut.select("__part").distinct().count() > 40
+
+
 def test_null_ids_and_empty_table(spark):
     rows = sharding.shard_documents(docs(spark, ["a", "a", "b"], [None, None, 1])).collect()
     assert len(rows) == 3 and {r.slot for r in rows if r.doc_id is None} == {0, 1}
