@@ -10,6 +10,7 @@ shared folder).
     python -m salesmart.plans.cli consolidate --kpis OUT/aggregated --output OUT
     python -m salesmart.plans.cli all --input RAW --output OUT
     python -m salesmart.plans.cli ingest --input RAW --output OUT --checkpoint CKPT
+    python -m salesmart.plans.cli ingest --input RAW --output OUT --ledger LEDGER     (changed and removed files too)
     python -m salesmart.plans.cli generate --rows 1000000 --output RAW [--dirt 0.02] [--seed 42]
 """
 
@@ -47,7 +48,9 @@ def main(argv=None) -> dict:
     i = sub.add_parser("ingest")
     i.add_argument("--input", required=True)
     i.add_argument("--output", required=True)
-    i.add_argument("--checkpoint", required=True)
+    how = i.add_mutually_exclusive_group(required=True)
+    how.add_argument("--checkpoint")
+    how.add_argument("--ledger")
     g = sub.add_parser("generate")
     g.add_argument("--rows", type=int, default=1_000_000)
     g.add_argument("--output", required=True)
@@ -74,6 +77,10 @@ def main(argv=None) -> dict:
     elif args.cmd == "generate":
         from salesmart.operators.synth import generate_csv
         out = {"output": generate_csv(spark, args.rows, args.output, args.dirt, args.seed)}
+    elif args.ledger:
+        from salesmart.streaming import ingest_files
+        out = ingest_files(spark, args.input, f"{args.output}/cleaned", f"{args.output}/quarantine", args.ledger,
+                           run_ts=run.run_ts, job=run.job)
     else:
         from salesmart.streaming import ingest_available
         ingest_available(spark, args.input, f"{args.output}/cleaned", f"{args.output}/quarantine",

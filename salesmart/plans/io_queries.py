@@ -260,6 +260,48 @@ def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     return read_cleaned(spark, _ingested(spark, d))
 
 
+def _reuploaded(spark: SparkSession, d: str) -> str:
+    """The folder of a table whose first drop came wrong and was uploaded again, with the second drop, under the same file names: the wrong
+    one held every line of both, with another profit and a later date."""
+    from salesmart.streaming import ingest_files
+    root = scratch_path(spark, "ledger")
+    raw = Q.raw(spark, d).withColumn("dt", drop_of())
+    wrong = raw.withColumn("profit", F.lit("1.00")).withColumn("order_date", F.lit("2001-12-31"))
+    files = Files(spark)
+    for n, (first, second) in enumerate(((wrong, None), (raw.filter(F.col("dt") == DROPS[0]), raw.filter(F.col("dt") == DROPS[1])))):
+        for day, rows in zip(DROPS, (first, second), strict=True):
+            if rows is None:
+                continue
+            write_raw_csv(rows.drop("dt").hint("rebalance"), f"{root}/try{n}/dt={day}", partition_by_dt=False)
+            folder = f"{root}/input/dt={day}"
+            for name in files.names(folder) if files.exists(folder) else []:
+                files.delete(f"{folder}/{name}")
+            for k, name in enumerate(sorted(x for x in files.names(f"{root}/try{n}/dt={day}") if x.endswith(".csv"))):
+                files.move(f"{root}/try{n}/dt={day}/{name}", f"{folder}/upload{k:05d}.csv")
+        ingest_files(spark, f"{root}/input", f"{root}/cleaned", f"{root}/quarantine", f"{root}/ledger", schema=FIXTURE_RAW_SCHEMA,
+                     run_ts=Q.RUN_TS, job=Q.JOB, ties=FIXTURE_TIES)
+    return root
+
+
+def q_reuploaded_files(spark: SparkSession, d: str) -> DataFrame:
+    """I1 + I2 by the file ledger: a drop that came wrong is replaced by its second upload; the result must equal the batch job's table."""
+    return read_cleaned(spark, f"{_reuploaded(spark, d)}/cleaned")
+
+
+def q_file_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that the ledger counts in the files as they are now, and of those the quarantine's, by ingest day; nothing is left to do."""
+    from salesmart.streaming import FileLedger, current_rejections
+    root = _reuploaded(spark, d)
+    ledger = FileLedger(spark, f"{root}/ledger")
+    day = F.regexp_extract("file", "dt=([0-9-]+)", 1).alias("dt")
+    read = ledger.current().groupBy(day).agg(F.sum("rows").alias("rows"))
+    bad = current_rejections(spark, f"{root}/quarantine", f"{root}/ledger").groupBy(F.col("dt").cast("string").alias("dt")) \
+        .agg(F.count(F.lit(1)).alias("rejected"))
+    open_files = ledger.changes(f"{root}/input").count()
+    return read.join(bad, "dt", "left").select("dt", "rows", F.coalesce("rejected", F.lit(0).cast("long")).alias("rejected"),
+                                               F.lit(open_files).cast("long").alias("open_files"))
+
+
 def q_table_versions(spark: SparkSession, d: str) -> DataFrame:
     """Both versions that two drops left, as they count their committed files and as they read."""
     table = VersionedTable(spark, _ingested(spark, d))
@@ -359,6 +401,8 @@ IO_QUERIES = {
     "audit_dropped": q_audit_dropped,
     "manifest": q_manifest,
     "stream_ingest": q_stream_ingest,
+    "reuploaded_files": q_reuploaded_files,
+    "file_ledger": q_file_ledger,
     "table_versions": q_table_versions,
     "month_filters": q_month_filters,
     "incremental_kpis": q_incremental_kpis,

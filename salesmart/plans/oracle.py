@@ -616,6 +616,9 @@ SELECT (SELECT count(*) FROM b2) AS regional_rows, (SELECT count(*) FROM b3) AS
     "raw_scan": with_base(f"SELECT *, {_DT} AS dt FROM std"),
     "cleaned_scan": with_base(f"SELECT {_CLEAN_EDGE}, year, month FROM clean"),
     "stream_ingest": with_base(f"SELECT {_CLEAN_EDGE}, year, month, {_DT} AS dt, {_AUDIT} FROM clean"),
+    "reuploaded_files": with_base(f"SELECT {_CLEAN_EDGE}, year, month, {_DT} AS dt, {_AUDIT} FROM clean"),
+    "file_ledger": with_base(f"SELECT strftime({_DT}, '%Y-%m-%d') AS dt, count(*) AS rows, count(*) FILTER ({_QUALITY} <> 'ok') AS rejected, "
+                             "CAST(0 AS BIGINT) AS open_files FROM std GROUP BY 1"),
     "top_products_nested": _with("""
 SELECT coalesce(region, 'UNKNOWN') AS region, count(*) AS product_count,
        min(product_id) FILTER (WHERE rank_in_region = 1) AS first_product

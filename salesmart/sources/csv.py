@@ -9,13 +9,14 @@ from pyspark.sql import types as T
 from salesmart.schema import FILE_COLUMN, MALFORMED_COLUMN, RAW_SCHEMA
 
 
-def read_raw_sales(spark: SparkSession, path: str, *, header_check: bool = False,
-                   schema: T.StructType = RAW_SCHEMA, glob: str = "*.csv", malformed: bool = False, header: bool = True) -> DataFrame:
+def read_raw_sales(spark: SparkSession, path: str | list[str], *, header_check: bool = False, schema: T.StructType = RAW_SCHEMA,
+                   glob: str = "*.csv", malformed: bool = False, header: bool = True, base: str | None = None) -> DataFrame:
     """All-STRING CSV scan of ``path`` and the partition folders below it.
 
     Header line skipped; fields matched by position (short rows padded with NULL, extra
     fields dropped). ``header_check=True`` makes Spark compare the header with the schema
-    and fail on a reordered file. Hive-style folders (``dt=YYYY-MM-DD``) become columns.
+    and fail on a reordered file. Hive-style folders (``dt=YYYY-MM-DD``) become columns; ``base`` is the folder above
+    them when ``path`` lists files.
 
     ``malformed=True`` adds the text of each line whose fields are too few or too many, which ``tag_quality`` makes a class of its own, and
     every line's file. An open quote takes the rest of its line, so it shows as too few fields; in the last field
@@ -28,6 +29,8 @@ def read_raw_sales(spark: SparkSession, path: str, *, header_check: bool = False
               .option("mode", "PERMISSIVE")
               .option("enforceSchema", "false" if header_check else "true")
               .option("pathGlobFilter", glob))
+    if base:
+        reader = reader.option("basePath", base)
     if not malformed:
         return reader.csv(path)
     rows = reader.option("columnNameOfCorruptRecord", MALFORMED_COLUMN).option("columnPruning", "false").csv(path)
