@@ -192,3 +192,10 @@ def test_fixture_totals_equal_blueprint(spark):
               F.sum("quantity").alias("qty")).collect()[0]
     assert (r["n"], r["dated"], r["orders"], r["mismatch"]) == (5670, 5616, 1463, 137)
     assert (str(r["sales"]), str(r["profit"]), r["qty"]) == ("41000000123352310.800000", "24627728.360000", 143456)
+
+
+def test_filters_on_the_tag_stay_above_the_raw_text(spark):
+    """Text that expressions made is made once a row: a filter on the tag isn't pushed below them, with a copy at every use."""
+    made = raw_df(spark, row(), row(order_id="")).withColumn("quantity", F.concat(F.lit("made-here"), "quantity"))
+    for df in (C.valid_rows(C.tag_quality(made)), C.rejected(C.with_quality(made))):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("made-here") == 1
