@@ -47,6 +47,24 @@ def test_filters_merge(spark):
     assert as_set(merged) == as_set(M.build_filters(sized, ["g"], ["k"]))
 
 
+def test_filters_are_built_without_a_sort_of_every_bit(spark):
+    rows = M.with_blocks(spark.range(5000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 2).cast("int").alias("g")), ["g"], {(0,): 2500, (1,): 2500})
+    filters = M.build_filters(rows, ["g"], ["k"])
+    plan = filters._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "bitmap_construct_agg" not in plan
+    bits = rows.select("g", "blocks", M._block(["k"]).alias("block"), F.explode(F.array(*M._bits(M._spot(["k"])))).alias("bit"))
+    plain = bits.groupBy("g", "block").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("bitmap"))
+    as_set = lambda df: {(r.g, r.block, bytes(r.bitmap)) for r in df.collect()}
+    assert as_set(filters) == as_set(plain)
+
+
+def test_probe_carries_other_columns(spark):
+    rows = spark.range(300).select(F.col("id").cast("string").alias("k"), (F.col("id") % 2).cast("int").alias("g"), (F.col("id") * 2).alias("x"))
+    filters = M.build_filters(M.with_blocks(rows, ["g"], {(0,): 150, (1,): 150}), ["g"], ["k"])
+    found = M.probe(filters, rows.select("k", "x"), ["g"], ["k"], [1], carry=["x"])
+    assert {(r.g, r.x) for r in rows.collect()} <= {(r.g, r.x) for r in found.collect()} and found.columns == ["g", "x"]
+
+
 def test_versions_stay_readable(spark, tmp_dir):
     out = f"{tmp_dir}/cleaned"
     for k in range(4):
