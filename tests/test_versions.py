@@ -65,6 +65,20 @@ def test_probe_carries_other_columns(spark):
     assert {(r.g, r.x) for r in rows.collect()} <= {(r.g, r.x) for r in found.collect()} and found.columns == ["g", "x"]
 
 
+def test_a_merge_joins_no_table_rows_with_the_batch_keys(spark, tmp_dir, monkeypatch):
+    plans, write = [], VersionedTable.write
+
+    def seen(self, content, commit):
+        plans.append(content._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, content, commit)
+    monkeypatch.setattr(VersionedTable, "write", seen)
+    for day, ids_of in (("05", ("ORD-1", "ORD-2")), ("06", ("ORD-2", "ORD-3"))):
+        merge_latest(spark, ok_rows(spark, *(row(order_id=i, order_date=f"2024-01-{day}") for i in ids_of)), f"{tmp_dir}/cleaned", day)
+    assert len(plans) == 2 and "Join" not in plans[1]
+    assert sorted((r.order_id, r.order_date.day) for r in read_cleaned(spark, f"{tmp_dir}/cleaned").collect()) == [
+        ("ORD-1", 5), ("ORD-2", 6), ("ORD-3", 6)]
+
+
 def test_versions_stay_readable(spark, tmp_dir):
     out = f"{tmp_dir}/cleaned"
     for k in range(4):
