@@ -204,11 +204,11 @@ def q_malformed_records(spark: SparkSession, d: str) -> DataFrame:
     short = F.regexp_replace(line(), ",[^,]*$", "")
     opened = F.concat(F.lit('"'), line())
     rows.select(F.when(bucket == 0, short).when(bucket == 1, line(F.lit("more").alias("more"))).when(bucket == 2, opened).otherwise(line())) \
-        .write.text(f"{root}/input")
-    raw = read_raw_sales(spark, f"{root}/input", malformed=True, header=False, glob="*.txt")
+        .write.option("compression", "gzip").text(f"{root}/input")
+    raw = read_raw_sales(spark, f"{root}/input", malformed=True, header=False, glob="*.txt.gz")
     counts = run_clean(spark, "", f"{root}/cleaned", f"{root}/quarantine", Q.RUN, raw=raw)
     kept = spark.read.parquet(f"{root}/quarantine").filter("quarantine_reason = 'malformed_record'").agg(
-        F.count_if(F.col("malformed_record").isNotNull() & F.col("source_file").endswith(".txt")).alias("traceable"))
+        F.count_if(F.col("malformed_record").isNotNull() & F.col("source_file").endswith(".txt.gz")).alias("traceable"))
     return kept.select("traceable", *(F.lit(n).cast("bigint").alias(c) for c, n in counts.items()))
 
 

@@ -52,7 +52,7 @@ def run_clean(spark: SparkSession, input_path: str, cleaned_path: str, quarantin
     staged = scratch_path(spark, f"tagged-{run.run_id}")
     tagged = with_quality(raw)
     try:
-        tagged.write.partitionBy(QUALITY).parquet(staged)
+        tagged.write.partitionBy(QUALITY).option("compression", "zstd").parquet(staged)      # text, read twice and then deleted
         rows = spark.read.schema(tagged.schema).parquet(staged)
         out = with_audit(clean(raw, tagged=type_rows(rows), ties=ties), run.job, run.run_ts, "etl_processed_at")
         write_cleaned(out, cleaned_path, files)
