@@ -9,16 +9,18 @@ group's distinct values over all shuffle partitions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.numeric import mean2, ratio, ratio_pct, total2
 from salesmart.operators.windows import mom_growth, top_n_per_group
 from salesmart.schema import (
-    ACTIVE_MAX_DAYS, AT_RISK_MAX_DAYS, HIGH_VALUE_MIN, MID_VALUE_MIN, SEGMENT_HIGH, SEGMENT_LOW,
+    ACTIVE_MAX_DAYS, AT_RISK_MAX_DAYS, HIGH_VALUE_MIN, MID_VALUE_MIN, MONEY, SEGMENT_HIGH, SEGMENT_LOW,
     SEGMENT_MID, STATUS_ACTIVE, STATUS_AT_RISK, STATUS_CHURNED, TOP_N,
 )
 
@@ -99,6 +101,33 @@ def ranked_products(totals: DataFrame, n: int = TOP_N, method: str = "rank") ->
     return top_n_per_group(totals, "region", [F.col("total_revenue").desc_nulls_last()], n, method, "rank_in_region")
 
 
+def product_bounds(sales: DataFrame) -> DataFrame:
+    """``region, product, most``: a number for each group of A4b (equal groups have the same, and others hardly ever), and the revenue of
+    its lines above zero, so no group of that number has a greater total."""
+    positive = F.greatest(F.col("sales_amount"), F.lit(0).cast(MONEY))      # NULL amounts count as nothing
+    return sales.groupBy("region", F.xxhash64(*PRODUCT_KEYS).alias("product")).agg(total2(positive).alias("most"))
+
+
+def leading_products(bounds: DataFrame, sales: DataFrame, kept: Callable[[DataFrame, str], DataFrame], n: int = TOP_N) -> DataFrame:
+    """The numbers of ``product_bounds`` that may be among the first ``n`` of A4 (ties included) in a region.
+
+    The n-th total among the groups of the n greatest bounds is at most the region's n-th total, so a group with a lesser bound can't
+    be among the first. Where fewer than n of them have a total, all of the region's may be (and one whose bound DECIMAL can't hold). ``kept`` stores a small table.
+    """
+    first = top_n_per_group(bounds, "region", [F.col("most").desc_nulls_last()], n, "row_number").select("product")
+    totals = of_products(sales, kept(first, "first")).groupBy(*PRODUCT_KEYS).agg(total2("sales_amount").alias("total"))
+    nth = top_n_per_group(totals, "region", [F.col("total").desc_nulls_last()], n, "row_number") \
+        .groupBy("region").agg(F.when(F.count("total") >= n, F.min("total")).alias("nth"))
+    nth = kept(nth.withColumnRenamed("region", "in_region"), "nth")
+    return bounds.join(nth, F.col("region").eqNullSafe(F.col("in_region")), "left") \
+        .filter(F.col("nth").isNull() | F.col("most").isNull() | (F.col("most") >= F.col("nth"))).select("product").distinct()
+
+
+def of_products(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """The lines whose A4b group has one of the numbers."""
+    return sales.join(products, F.xxhash64(*PRODUCT_KEYS) == F.col("product"), "left_semi")
+
+
 def customer_totals(sales: DataFrame) -> DataFrame:
     """A5 without what depends on the day: totals per (customer, region, country)."""
     return sales.groupBy("customer_id", "region", "country").agg(
@@ -171,6 +200,25 @@ def overall_kpi(sales: DataFrame) -> DataFrame:
     )
 
 
+# tables with orders counted per group: the groups' columns and the count's name
+ORDERS_APART = {
+    "region_country_monthly": (("region", "country", "year", "month"), "total_orders"),
+    "category_monthly": (("category", "sub_category", "year", "month"), "total_orders"),
+    "monthly_trend": (("year", "month", "region"), "monthly_orders"),
+}
+
+
+def orders_apart(fn: Callable[..., DataFrame], keys: Sequence[str], orders: str) -> Callable[..., DataFrame]:
+    """``fn`` with the distinct orders counted by a scan of their own: an order's row is then shuffled without any totals, and
+    the totals leave a map task as one row a group. For stored input, as it is scanned twice."""
+    def apart(sales: DataFrame) -> DataFrame:
+        totals = fn(sales.withColumn("order_id", F.lit(None).cast("string")))
+        counts = sales.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.count_distinct("order_id").alias("_orders"))
+        same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+        return totals.join(counts, same).select(*(F.col("_orders").alias(c) if c == orders else F.col(c) for c in totals.columns))
+    return apart
+
+
 OVERALL_IDS = ("order_id", "customer_id", "product_id")     # whose distinct values A8 counts
 
 

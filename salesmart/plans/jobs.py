@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +19,12 @@ from pyspark.sql import functions as F
 from salesmart.operators import kpis as K
 from salesmart.operators import report as R
 from salesmart.operators import summary as B
-from salesmart.operators.clean import QUALITY, clean, rejected, type_rows, with_audit, with_quality
+from salesmart.operators.clean import QUALITY, RECONCILED, clean, flag_sales, recalc_sales, rejected, type_rows, valid_rows, with_audit, with_period, with_quality
 from salesmart.operators.quality import committed_counts
+from salesmart.operators.windows import dedup_latest
+from salesmart.schema import DEDUP_KEY, FILE_ROWS, REPEATED_KEYS
 from salesmart.session import scratch_path
-from salesmart.sinks import report_path, write_cleaned, write_json_text, write_kpi, write_quarantine
+from salesmart.sinks import report_path, write_cleaned, write_json_text, write_kpi, write_months, write_quarantine
 from salesmart.sinks.files import Files
 from salesmart.sources.csv import read_raw_sales
 from salesmart.sources.parquet import cached, read_cleaned, read_kpi
@@ -54,14 +58,74 @@ def run_clean(spark: SparkSession, input_path: str, cleaned_path: str, quarantin
     try:
         tagged.write.partitionBy(QUALITY).option("compression", "zstd").parquet(staged)      # text, read twice and then deleted
         rows = spark.read.schema(tagged.schema).parquet(staged)
-        out = with_audit(clean(raw, tagged=type_rows(rows), ties=ties), run.job, run.run_ts, "etl_processed_at")
-        write_cleaned(out, cleaned_path, files)
+        audited = lambda df: with_audit(df, run.job, run.run_ts, "etl_processed_at")
+        if files:
+            write_cleaned(audited(clean(raw, tagged=type_rows(rows), ties=ties)), cleaned_path, files)
+        else:
+            write_clean_months(spark, type_rows(rows), cleaned_path, ties=ties, finish=audited)
         write_quarantine(rejected(rows, run.run_ts), quarantine_path, run.run_id)
         return committed_counts(spark, staged, cleaned_path)
     finally:
         Files(spark).delete(staged)
 
 
+ROW, PERIOD = "_row", ("year", "month")
+BRANCHES = 64      # scans side by side in the job that writes the cleaned table (at most twice as many)
+
+
+def write_clean_months(spark: SparkSession, tagged: DataFrame, path: str, *, ties=(), finish: Callable[[DataFrame], DataFrame] = lambda df: df,
+                       most: int = REPEATED_KEYS, file_rows: int = FILE_ROWS) -> None:
+    """``clean`` over ``tagged`` rows, and ``write_cleaned`` of what ``finish`` makes of it, without a shuffle of the rows.
+
+    The valid rows are staged by month, as they come. Rows whose key's hash is there once have no other version; the others alone go
+    through ``dedup_latest``, whose kept rows are then known by number. The staged months are read again, each by tasks of its own
+    (or with its neighbours, if it is small), without the rows that weren't kept, so a month has few files though no row was dealt.
+    With more than ``most`` repeated hashes, which every task would have to know, all rows are deduplicated and dealt by month.
+    """
+    root = scratch_path(spark, "valid")
+    try:
+        valid = with_period(valid_rows(tagged).drop(*RECONCILED))
+        names = [c for c in valid.columns if c not in PERIOD]
+        staged = valid.withColumn(ROW, F.monotonically_increasing_id())
+        staged.write.partitionBy(*PERIOD).option("compression", "zstd").parquet(f"{root}/rows")
+        rows = spark.read.schema(staged.schema).parquet(f"{root}/rows")
+        key_hash = F.xxhash64(*DEDUP_KEY)
+        rows.groupBy(key_hash.alias("_hash")).count().filter("count > 1").select("_hash").write.parquet(f"{root}/repeated")
+        repeated = spark.read.schema("_hash bigint").parquet(f"{root}/repeated")
+        cleaned = lambda kept: finish(flag_sales(recalc_sales(kept)).select(*names, *RECONCILED, *PERIOD))
+        if repeated.count() > most:
+            write_cleaned(cleaned(dedup_latest(rows.select(*names, *PERIOD), DEDUP_KEY, "order_date", ties)), path)
+            return
+        some = rows.join(F.broadcast(repeated), key_hash == F.col("_hash"), "left_semi").select(*names, ROW)
+        latest = dedup_latest(some, DEDUP_KEY, "order_date", ties)       # the number comes last among the ties
+        latest.groupBy(key_hash.alias("_hash")).agg(F.collect_set(ROW).alias("_kept")).write.parquet(f"{root}/kept")
+        kept = spark.read.schema("_hash bigint, _kept array<bigint>").parquet(f"{root}/kept")      # a row for a repeated hash
+        only = by_months(rows, file_rows).join(F.broadcast(kept), key_hash == F.col("_hash"), "left") \
+            .filter(F.col("_kept").isNull() | F.array_contains("_kept", F.col(ROW)))
+        write_months(cleaned(only), path)
+    finally:
+        Files(spark).delete(root)
+
+
+def by_months(rows: DataFrame, file_rows: int) -> DataFrame:
+    """A table of (year, month) folders, read by tasks of about ``file_rows`` rows that have few months each; nothing is shuffled."""
+    counts = rows.groupBy(*PERIOD).count().collect()      # bounded by the calendar
+    total = sum(r["count"] for r in counts)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    size = max(1, min(file_rows, max(total // (2 * cores), file_rows // 10)))
+    # at least two tasks a span: a union of single partitions would be one partition
+    undated = -2**31
+    at = F.coalesce(F.col("year") * 12 + F.col("month"), F.lit(undated))
+    spans: list[list[int]] = []
+    for i, n in sorted((undated if r["year"] is None else r["year"] * 12 + r["month"], r["count"]) for r in counts):
+        if spans and spans[-1][2] + n <= max(2 * size, total // BRANCHES):
+            spans[-1][1:] = i, spans[-1][2] + n
+        else:
+            spans.append([i, i, n])
+    parts = [rows.filter((at >= lo) & (at <= hi)).coalesce(max(2, -(-n // size))) for lo, hi, n in spans]
+    return reduce(DataFrame.unionAll, parts) if parts else rows
+
+
 def kpi_tables(sales: DataFrame, as_of=None, thresholds: dict | None = None) -> dict[str, DataFrame]:
     """The eight stage-2 tables over a cleaned frame (no audit columns)."""
     out = {}
@@ -81,22 +145,39 @@ def run_aggregate(spark: SparkSession, cleaned_path: str, kpi_base: str, run: Ru
     table fits comfortably in the cluster's memory.
     """
     sales = read_cleaned(spark, cleaned_path).select(*K.KPI_INPUT_COLUMNS)
-    paths = {}
+    scratch, paths = scratch_path(spark, "stage2"), {}
 
     def write_all(src: DataFrame):
-        for name, df in kpi_tables(src, as_of, thresholds).items():
+        for name, df in (kpi_tables(src, as_of, thresholds) | stored_tables(src, scratch)).items():
             spec = K.KPI_DATASETS[name]
             paths[name] = write_kpi(with_audit(df, run.job, run.run_ts, spec.ts_col), kpi_base, name,
                                     spec.partitions, spec.bounded)
 
-    if cache:
-        with cached(sales) as s:
-            write_all(s)
-    else:
-        write_all(sales)
+    try:
+        if cache:
+            with cached(sales) as s:
+                write_all(s)
+        else:
+            write_all(sales)
+    finally:
+        Files(spark).delete(scratch)
     return paths
 
 
+def stored_tables(sales: DataFrame, scratch: str) -> dict[str, DataFrame]:
+    """The tables that shuffle less if a stored table is scanned more than once: A1-A3 count orders beside their totals, A4 looks
+    for the products that can lead a region before it reads their lines."""
+    out = {name: K.orders_apart(K.KPI_DATASETS[name].fn, *args)(sales) for name, args in K.ORDERS_APART.items()}
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{scratch}/{name}")      # a table's size is known when a join with it is planned
+        return df.sparkSession.read.schema(df.schema).parquet(f"{scratch}/{name}")
+    leading = kept(K.leading_products(kept(K.product_bounds(sales), "bounds"), sales, kept), "leading")
+    if leading.count() <= REPEATED_KEYS:      # else a semi-join would shuffle the lines once more
+        out["top_products_by_region"] = K.top_products_by_region(K.of_products(sales, leading))
+    return out
+
+
 def stage3_sections(spark: SparkSession, kpi_base: str) -> dict[str, DataFrame]:
     t = {n: read_kpi(spark, kpi_base, n) for n in K.KPI_DATASETS}
     return {

@@ -18,10 +18,9 @@ from salesmart.operators import clean as C
 from salesmart.operators import kpis as K
 from salesmart.operators import summary as B
 from salesmart.operators.windows import mom_growth, top_n_per_group
-from salesmart.plans.jobs import Run, run_aggregate, stage3_sections
+from salesmart.plans.jobs import Run, run_aggregate, stage3_sections, write_clean_months
 from salesmart.schema import INVALID_NUMERIC, MISSING_REQUIRED, UNPARSEABLE_NUMERIC
 from salesmart.session import scratch_path
-from salesmart.sinks import write_cleaned
 from salesmart.sources.fixtures import FIXTURE_TIES, LINEAGE_COLUMNS, raw_view
 
 # fixture parameters (FIXTURES.md §4): the driver's data spans 1992-2001, so the
@@ -249,7 +248,8 @@ RUN = Run(RUN_ID, RUN_TS, JOB)
 
 def kpi_tables(spark, d, base: str) -> None:
     """Stages 1 and 2 into ``base``: the cleaned columns that KPIs read, then the eight KPI tables."""
-    write_cleaned(cleaned(spark, d).select(*K.KPI_INPUT_COLUMNS), f"{base}/cleaned")
+    write_clean_months(spark, tagged(spark, d), f"{base}/cleaned", ties=FIXTURE_TIES,
+                       finish=lambda df: df.select(*K.KPI_INPUT_COLUMNS))
     run_aggregate(spark, f"{base}/cleaned", f"{base}/aggregated", RUN, as_of=AS_OF,
                   thresholds=dict(high=HIGH, mid=MID, active=ACTIVE, at_risk=AT_RISK))
 

@@ -17,9 +17,13 @@ def write_cleaned(df: DataFrame, path: str, files: int | None = None) -> None:
     several advisory-sized tasks and merges small ones, instead of the fixed 20 hash
     partitions that put each month in a single task. ``files`` forces a fixed count.
     """
-    out = df.repartition(files, "year", "month") if files else df.hint("rebalance", "year", "month")
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("year", "month").parquet(path))
+    write_months(df.repartition(files, "year", "month") if files else df.hint("rebalance", "year", "month"), path)
+
+
+def write_months(df: DataFrame, path: str) -> None:
+    """``write_cleaned`` of rows that are dealt to tasks already."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .partitionBy("year", "month").parquet(path))
 
 
 def write_quarantine(df: DataFrame, path: str, run_id: str) -> None:

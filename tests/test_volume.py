@@ -50,3 +50,99 @@ def test_malformed_lines_are_written_packed(spark, tmp_dir, monkeypatch):
     files = [f for f in os.listdir(f"{tmp_dir}/malformed/input") if f.startswith("part-")]
     assert files and all(f.endswith(".txt.gz") for f in files)
     assert r["raw_rows"] == 160 and r["traceable"] == r["malformed_record"] == 12 and r["clean_rows"] == 148
+
+
+def table(path, spark):
+    return sorted((tuple(r) for r in spark.read.parquet(path).collect()), key=repr)
+
+
+def versions(spark):
+    """Keys with one version, several, equal ones, an undated one and one in another month."""
+    rows = []
+    for i in range(400):
+        rows.append(row(order_id=f"ORD-{i % 90}", product_id=f"PROD-{i % 7}", region=("EU", "", "US")[i % 3], profit=str(i % 11),
+                        quantity=str(1 + i % 5), sales_amount=("18.00", "-7.50", "", "250.00")[i % 4],
+                        order_date="?" if i % 23 == 0 else (dt.date(2023, 1, 1) + dt.timedelta(days=9 * (i % 60))).isoformat()))
+    return raw_df(spark, *rows, *rows[:40], row(order_id="", product_id="PROD-1")).repartition(5)
+
+
+def shuffled(df):
+    """Columns of every exchange of a plan."""
+    p = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in p.split("\n") if "Exchange " in line and "Broadcast" not in line]
+
+
+def test_months_are_written_as_clean_says_without_a_shuffle_of_rows(spark, tmp_dir, monkeypatch):
+    from salesmart.sinks import write_cleaned
+    raw, plans = versions(spark), []
+    write_cleaned(C.clean(raw), f"{tmp_dir}/whole")
+    written = jobs.write_months
+
+    def months(df, path):
+        plans.append(shuffled(df))
+        written(df, path)
+    monkeypatch.setattr(jobs, "write_months", months)
+    want = table(f"{tmp_dir}/whole", spark)
+    assert 90 * 7 > len(want) > 300
+    for k, kw in enumerate((dict(), dict(file_rows=10), dict(file_rows=1), dict(most=3))):
+        jobs.write_clean_months(spark, C.tag_quality(raw), f"{tmp_dir}/{k}", **kw)
+        assert table(f"{tmp_dir}/{k}", spark) == want, kw
+    assert plans == [[], [], []]      # nothing dealt; with too many repeated keys it is write_cleaned that writes
+
+
+def test_hash_of_several_keys(spark, tmp_dir, monkeypatch):
+    """Keys that share a hash keep a row each."""
+    from pyspark.sql import functions as F
+    raw = versions(spark)
+    hashed = F.xxhash64
+    jobs.write_clean_months(spark, C.tag_quality(raw), f"{tmp_dir}/a")
+    monkeypatch.setattr(jobs.F, "xxhash64", lambda *c: F.pmod(hashed(*c), F.lit(5)))
+    jobs.write_clean_months(spark, C.tag_quality(raw), f"{tmp_dir}/b")
+    assert table(f"{tmp_dir}/a", spark) == table(f"{tmp_dir}/b", spark)
+
+
+def test_months_of_no_rows(spark, tmp_dir):
+    jobs.write_clean_months(spark, C.tag_quality(raw_df(spark, row(order_id=""))), f"{tmp_dir}/c")
+    assert not [n for n in os.listdir(f"{tmp_dir}/c") if "=" in n]
+
+
+def test_small_months_share_tasks_and_none_holds_all(spark, tmp_dir):
+    rows = spark.range(4000).selectExpr("id", "cast(1990 + id % 40 as int) year", "cast(1 + id % 12 as int) month").repartition(3)
+    rows.write.partitionBy("year", "month").parquet(f"{tmp_dir}/m")
+    read = spark.read.schema("id bigint, year int, month int").parquet(f"{tmp_dir}/m")
+    dealt = jobs.by_months(read, 500)
+    assert sorted(r["id"] for r in dealt.select("id").collect()) == list(range(4000))
+    assert 8 <= dealt.rdd.getNumPartitions() <= 40
+
+
+def test_stage_two_shuffles_no_line_for_its_totals(spark):
+    from salesmart.operators import kpis as K
+    sales = C.clean(versions(spark))
+    for name, args in K.ORDERS_APART.items():
+        whole, apart = K.KPI_DATASETS[name].fn(sales), K.orders_apart(K.KPI_DATASETS[name].fn, *args)(sales)
+        assert whole.schema.names == apart.schema.names and [f.dataType for f in whole.schema] == [f.dataType for f in apart.schema]
+        assert sorted(map(tuple, whole.collect()), key=repr) == sorted(map(tuple, apart.collect()), key=repr), name
+        assert not [line for line in shuffled(apart) if "order_id" in line and "sum" in line]
+
+
+def test_leading_products_hold_the_first(spark, tmp_dir):
+    """Many products, negative and NULL amounts, ties at the last place, a region of few products and one without amounts."""
+    from salesmart.operators import kpis as K
+    rows = [row(order_id=f"O{i}", product_id=f"P{i % 97}", product_name=f"n{i % 194}", category="" if i % 31 == 0 else "c",
+                region="EU" if i % 5 else "", sales_amount=str((i * 37) % 50 - (400 if i % 97 < 20 and i % 2 else 0))) for i in range(1200)]
+    rows += [row(order_id=f"A{i}", product_id=f"P{i}", region="FEW", sales_amount="5" if i else "") for i in range(3)]
+    rows += [row(order_id=f"B{i}", product_id=f"P{i}", region="NONE", sales_amount="") for i in range(15)]
+    rows += [row(order_id=f"C{i}", product_id=f"P{i}", region="TIES", sales_amount="5" if i > 4 else "9") for i in range(40)]
+    sales = C.clean(raw_df(spark, *rows)).cache()
+    def kept(df, name):
+        df.write.mode("overwrite").parquet(f"{tmp_dir}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{tmp_dir}/{name}")
+    bounds = kept(K.product_bounds(sales), "bounds")
+    leading = K.leading_products(bounds, sales, kept)
+    few = K.of_products(sales, leading)
+    got, want = (sorted(map(tuple, K.top_products_by_region(x).collect()), key=repr) for x in (few, sales))
+    assert got == want and {r[0] for r in want} == {"EU", None, "FEW", "NONE", "TIES"}
+    assert few.filter("region = 'EU'").count() < 0.9 * sales.filter("region = 'EU'").count()
+    tables = jobs.stored_tables(sales, f"{tmp_dir}/s")
+    assert sorted(map(tuple, tables["top_products_by_region"].collect()), key=repr) == want
+    sales.unpersist()
