@@ -113,17 +113,17 @@ def by_months(rows: DataFrame, file_rows: int) -> DataFrame:
     total = sum(r["count"] for r in counts)
     cores = rows.sparkSession.sparkContext.defaultParallelism
     size = max(1, min(file_rows, max(total // (2 * cores), file_rows // 10)))
-    # at least two tasks a span: a union of single partitions would be one partition
     undated = -2**31
     at = F.coalesce(F.col("year") * 12 + F.col("month"), F.lit(undated))
     spans: list[list[int]] = []
     for i, n in sorted((undated if r["year"] is None else r["year"] * 12 + r["month"], r["count"]) for r in counts):
-        if spans and spans[-1][2] + n <= max(2 * size, total // BRANCHES):
+        if spans and spans[-1][2] + n <= max(size, total // BRANCHES):
             spans[-1][1:] = i, spans[-1][2] + n
         else:
             spans.append([i, i, n])
-    parts = [rows.filter((at >= lo) & (at <= hi)).coalesce(max(2, -(-n // size))) for lo, hi, n in spans]
-    return reduce(DataFrame.unionAll, parts) if parts else rows
+    parts = [rows.filter((at >= lo) & (at <= hi)).coalesce(-(-n // size)) for lo, hi, n in spans]
+    # a union of single partitions alone would be one partition, so it gets a scan of no files
+    return reduce(DataFrame.unionAll, parts, rows.filter(at > spans[-1][1])) if parts else rows
 
 
 def kpi_tables(sales: DataFrame, as_of=None, thresholds: dict | None = None) -> dict[str, DataFrame]:

@@ -49,7 +49,7 @@ KPI_MAX_FILES = 5
 # tasks that write a table of (year, month) folders, where the cluster has as many cores (ours)
 KPI_WRITERS = 64
 # rows that a task writes of the cleaned table where months are written as they were staged (ours)
-FILE_ROWS = 500_000
+FILE_ROWS = 1_000_000
 # repeated keys that every task may know (ours: 8 bytes each, and the numbers of their kept rows)
 REPEATED_KEYS = 1_000_000
 # audit columns added to written tables and dropped again by the report

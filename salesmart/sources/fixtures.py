@@ -32,7 +32,7 @@ def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed, clean sales lines (one per lineitem)."""
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount",
-        "l_returnflag", "l_linestatus", "l_shipdate")
+        F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("l_status"), "l_shipdate")
     orders = _read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -79,7 +79,7 @@ def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         sales_amount.alias("sales_amount"),
         margin_pct.alias("margin_pct"),
         F.col("o_orderpriority").alias("payment_method"),
-        F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("status"),
+        F.col("l_status").alias("status"),
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
     ).select(
         "*",
