@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.numeric import mean2, ratio, ratio_pct, total2
@@ -255,17 +255,38 @@ def overall_from_months(sums: DataFrame, distinct: DataFrame) -> DataFrame:
 # exact variants
 # ---------------------------------------------------------------------------
 
-def per_order(sales: DataFrame, *keys: str) -> DataFrame:
-    """Sums and counts of each order at the finest grain: grouping sets then expand these, not the lines."""
-    return sales.groupBy(*keys, "order_id").agg(
+def grain_parts(sales: DataFrame, *keys: str) -> DataFrame:
+    """What the nested grains of ``keys`` (all of them, then without the last, ...) add up from groups of all ``keys``: sums of the
+    lines, and per grain the distinct orders that count here.
+
+    An order counts in one group of each grain's: where it is first in the order of ``keys``. So lines are dealt once, by
+    order, without amounts; the sums leave a map task as one row a group. The input is scanned twice.
+    """
+    sums = sales.groupBy(*keys).agg(
         F.sum("sales_amount").alias("amount"), F.count("sales_amount").alias("amounts"), F.sum("profit").alias("gain"),
         F.sum("quantity").alias("units"), F.sum("discount").alias("share"), F.count("discount").alias("shares"))
+    w = Window.partitionBy("order_id").orderBy(*keys)
+    other = [F.lag(F.struct(*keys[:n])).over(w).eqNullSafe(F.struct(*keys[:n])) for n in range(1, len(keys) + 1)]
+    names = [_orders_of(n) for n in range(len(keys) + 1)]
+    first = sales.filter(F.col("order_id").isNotNull()).select("order_id", *keys).select(
+        *keys, (F.row_number().over(w) == 1).alias(names[0]), *((~o).alias(n) for o, n in zip(other, names[1:], strict=True)))
+    counts = first.groupBy(*keys).agg(*(F.count_if(n).alias(n) for n in names))
+    return sums.unionByName(counts, allowMissingColumns=True)
+
+
+def _orders_of(columns: int) -> str:
+    return f"_orders_{columns}"
 
 
-def _order_block():
-    """``_money_block`` over ``per_order`` rows."""
-    return [total2("amount").alias("total_revenue"), total2("gain").alias("total_profit"),
-            F.sum("units").alias("total_units_sold"), F.count_distinct("order_id").alias("total_orders")]
+def _grain_block(columns: int):
+    """``_money_block`` and revenue per order over ``grain_parts`` of so many keys, at each grain."""
+    last = (1 << columns) - 1
+    orders = F.lit(None).cast("bigint")
+    for n in range(columns + 1):      # grouping_id of the grain that has the first n keys
+        orders = F.when(F.grouping_id() == (last >> n), F.sum(_orders_of(n))).otherwise(orders)
+    orders = F.coalesce(orders, F.lit(0).cast("bigint"))
+    return ([total2("amount").alias("total_revenue"), total2("gain").alias("total_profit"), F.sum("units").alias("total_units_sold"),
+             orders.alias("total_orders")], F.round(ratio(F.sum("amount"), orders), 2).alias("revenue_per_order"))
 
 
 def regional_grouping_sets(sales: DataFrame) -> DataFrame:
@@ -274,25 +295,27 @@ def regional_grouping_sets(sales: DataFrame) -> DataFrame:
     Unlike re-aggregating monthly rows, distinct orders and means are exact at every grain;
     ``revenue_per_order`` is revenue / distinct orders. ``grain`` = ``grouping_id()``.
     """
-    sets = [["region", "country", "year", "month"], ["region", "country"], ["region"], []]
-    return per_order(sales, "region", "country", "year", "month") \
-        .groupingSets(sets, "region", "country", "year", "month").agg(
-            F.grouping_id().alias("grain"),
-            *_order_block(),
-            F.round(F.try_divide(F.sum("amount").cast("double"), F.sum("amounts")), 2).alias("avg_order_value"),
-            ratio_pct(F.sum("gain"), F.sum("amount")).alias("profit_margin_pct"),
-            F.round(ratio(F.sum("amount"), F.count_distinct("order_id")), 2).alias("revenue_per_order"),
-        )
+    keys = ["region", "country", "year", "month"]
+    block, per_order = _grain_block(len(keys))
+    return grain_parts(sales, *keys).groupingSets([keys, keys[:2], keys[:1], []], *keys).agg(
+        F.grouping_id().alias("grain"),
+        *block,
+        F.round(F.try_divide(F.sum("amount").cast("double"), F.sum("amounts")), 2).alias("avg_order_value"),
+        ratio_pct(F.sum("gain"), F.sum("amount")).alias("profit_margin_pct"),
+        per_order,
+    )
 
 
 def category_rollup(sales: DataFrame) -> DataFrame:
     """Category hierarchy totals (category/sub-category, category, all) in one pass."""
-    return per_order(sales, "category", "sub_category").rollup("category", "sub_category").agg(
+    keys = ["category", "sub_category"]
+    block, per_order = _grain_block(len(keys))
+    return grain_parts(sales, *keys).rollup(*keys).agg(
         F.grouping_id().alias("grain"),
-        *_order_block(),
+        *block,
         F.round(F.try_divide(F.sum("share").cast("double"), F.sum("shares")) * 100, 2).alias("avg_discount_pct"),
         ratio_pct(F.sum("gain"), F.sum("amount")).alias("profit_margin_pct"),
-        F.round(ratio(F.sum("amount"), F.count_distinct("order_id")), 2).alias("revenue_per_order"),
+        per_order,
     )
 
 

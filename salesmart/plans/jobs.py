@@ -75,36 +75,44 @@ BRANCHES = 64      # scans side by side in the job that writes the cleaned table
 
 def write_clean_months(spark: SparkSession, tagged: DataFrame, path: str, *, ties=(), finish: Callable[[DataFrame], DataFrame] = lambda df: df,
                        most: int = REPEATED_KEYS, file_rows: int = FILE_ROWS) -> None:
-    """``clean`` over ``tagged`` rows, and ``write_cleaned`` of what ``finish`` makes of it, without a shuffle of the rows.
+    """``clean`` over ``tagged`` rows, and ``write_cleaned`` of what ``finish`` makes of it, without a shuffle of the rows
+    (``clean_by_months``)."""
+    root = scratch_path(spark, "valid")
+    try:
+        rows, by_month = clean_by_months(spark, tagged, root, ties=ties, most=most, file_rows=file_rows)
+        (write_months if by_month else write_cleaned)(finish(rows), path)
+    finally:
+        Files(spark).delete(root)
+
+
+def clean_by_months(spark: SparkSession, tagged: DataFrame, root: str, *, ties=(), most: int = REPEATED_KEYS,
+                    file_rows: int = FILE_ROWS) -> tuple[DataFrame, bool]:
+    """``clean`` over ``tagged`` rows without a shuffle of them, and whether each month's rows are in few tasks; it reads tables that are
+    written below ``root``.
 
     The valid rows are staged by month, as they come. Rows whose key's hash is there once have no other version; the others alone go
     through ``dedup_latest``, whose kept rows are then known by number. The staged months are read again, each by tasks of its own
     (or with its neighbours, if it is small), without the rows that weren't kept, so a month has few files though no row was dealt.
-    With more than ``most`` repeated hashes, which every task would have to know, all rows are deduplicated and dealt by month.
+    With more than ``most`` repeated hashes, which every task would have to know, all rows are deduplicated.
     """
-    root = scratch_path(spark, "valid")
-    try:
-        valid = with_period(valid_rows(tagged).drop(*RECONCILED))
-        names = [c for c in valid.columns if c not in PERIOD]
-        staged = valid.withColumn(ROW, F.monotonically_increasing_id())
-        staged.write.partitionBy(*PERIOD).option("compression", "zstd").parquet(f"{root}/rows")
-        rows = spark.read.schema(staged.schema).parquet(f"{root}/rows")
-        key_hash = F.xxhash64(*DEDUP_KEY)
-        rows.groupBy(key_hash.alias("_hash")).count().filter("count > 1").select("_hash").write.parquet(f"{root}/repeated")
-        repeated = spark.read.schema("_hash bigint").parquet(f"{root}/repeated")
-        cleaned = lambda kept: finish(flag_sales(recalc_sales(kept)).select(*names, *RECONCILED, *PERIOD))
-        if repeated.count() > most:
-            write_cleaned(cleaned(dedup_latest(rows.select(*names, *PERIOD), DEDUP_KEY, "order_date", ties)), path)
-            return
-        some = rows.join(F.broadcast(repeated), key_hash == F.col("_hash"), "left_semi").select(*names, ROW)
-        latest = dedup_latest(some, DEDUP_KEY, "order_date", ties)       # the number comes last among the ties
-        latest.groupBy(key_hash.alias("_hash")).agg(F.collect_set(ROW).alias("_kept")).write.parquet(f"{root}/kept")
-        kept = spark.read.schema("_hash bigint, _kept array<bigint>").parquet(f"{root}/kept")      # a row for a repeated hash
-        only = by_months(rows, file_rows).join(F.broadcast(kept), key_hash == F.col("_hash"), "left") \
-            .filter(F.col("_kept").isNull() | F.array_contains("_kept", F.col(ROW)))
-        write_months(cleaned(only), path)
-    finally:
-        Files(spark).delete(root)
+    valid = with_period(valid_rows(tagged).drop(*RECONCILED))
+    names = [c for c in valid.columns if c not in PERIOD]
+    staged = valid.withColumn(ROW, F.monotonically_increasing_id())
+    staged.write.partitionBy(*PERIOD).option("compression", "zstd").parquet(f"{root}/rows")
+    rows = spark.read.schema(staged.schema).parquet(f"{root}/rows")
+    key_hash = F.xxhash64(*DEDUP_KEY)
+    rows.groupBy(key_hash.alias("_hash")).count().filter("count > 1").select("_hash").write.parquet(f"{root}/repeated")
+    repeated = spark.read.schema("_hash bigint").parquet(f"{root}/repeated")
+    cleaned = lambda kept: flag_sales(recalc_sales(kept)).select(*names, *RECONCILED, *PERIOD)
+    if repeated.count() > most:
+        return cleaned(dedup_latest(rows.select(*names, *PERIOD), DEDUP_KEY, "order_date", ties)), False
+    some = rows.join(F.broadcast(repeated), key_hash == F.col("_hash"), "left_semi").select(*names, ROW)
+    latest = dedup_latest(some, DEDUP_KEY, "order_date", ties)       # the number comes last among the ties
+    latest.groupBy(key_hash.alias("_hash")).agg(F.collect_set(ROW).alias("_kept")).write.parquet(f"{root}/kept")
+    kept = spark.read.schema("_hash bigint, _kept array<bigint>").parquet(f"{root}/kept")      # a row for a repeated hash
+    only = by_months(rows, file_rows).join(F.broadcast(kept), key_hash == F.col("_hash"), "left") \
+        .filter(F.col("_kept").isNull() | F.array_contains("_kept", F.col(ROW)))
+    return cleaned(only), True
 
 
 def by_months(rows: DataFrame, file_rows: int) -> DataFrame:
@@ -169,13 +177,20 @@ def stored_tables(sales: DataFrame, scratch: str) -> dict[str, DataFrame]:
     for the products that can lead a region before it reads their lines."""
     out = {name: K.orders_apart(K.KPI_DATASETS[name].fn, *args)(sales) for name, args in K.ORDERS_APART.items()}
 
+    leading = of_leading_products(sales, scratch)
+    if leading is not None:
+        out["top_products_by_region"] = K.top_products_by_region(leading)
+    return out
+
+
+def of_leading_products(sales: DataFrame, scratch: str) -> DataFrame | None:
+    """The lines of a stored table that A4 needs: those of products that can lead a region; None if these are so many that a semi-join
+    would shuffle the lines once more."""
     def kept(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{scratch}/{name}")      # a table's size is known when a join with it is planned
         return df.sparkSession.read.schema(df.schema).parquet(f"{scratch}/{name}")
     leading = kept(K.leading_products(kept(K.product_bounds(sales), "bounds"), sales, kept), "leading")
-    if leading.count() <= REPEATED_KEYS:      # else a semi-join would shuffle the lines once more
-        out["top_products_by_region"] = K.top_products_by_region(K.of_products(sales, leading))
-    return out
+    return K.of_products(sales, leading) if leading.count() <= REPEATED_KEYS else None
 
 
 def stage3_sections(spark: SparkSession, kpi_base: str) -> dict[str, DataFrame]:

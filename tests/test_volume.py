@@ -146,3 +146,37 @@ def test_leading_products_hold_the_first(spark, tmp_dir):
     tables = jobs.stored_tables(sales, f"{tmp_dir}/s")
     assert sorted(map(tuple, tables["top_products_by_region"].collect()), key=repr) == want
     sales.unpersist()
+
+
+def test_grains_deal_an_order_once_and_without_amounts(spark):
+    """Orders in several groups of every grain, lines without an order and NULL keys: each grain as an aggregate of the lines."""
+    from pyspark.sql import functions as F
+
+    from salesmart.operators import kpis as K
+    sales = C.clean(versions(spark)).withColumn("order_id", F.when(F.col("quantity") < 5, F.col("order_id"))) \
+        .withColumn("sub_category", F.when(F.col("month") % 5 > 0, F.col("product_id"))).cache()
+    sales.createOrReplaceTempView("grains")
+    for fn, keys, sets in ((K.regional_grouping_sets, "region, country, year, month", "(region, country, year, month), (region, country), (region), ()"),
+                           (K.category_rollup, "category, sub_category", "(category, sub_category), (category), ()")):
+        got = fn(sales)
+        want = spark.sql(f"SELECT {keys}, grouping_id() AS grain, round(sum(sales_amount), 2) AS total_revenue, sum(quantity) AS total_units_sold, "
+                         f"count(DISTINCT order_id) AS total_orders, round(sum(sales_amount) / nullif(count(DISTINCT order_id), 0), 2) AS revenue_per_order "
+                         f"FROM grains GROUP BY GROUPING SETS ({sets})")
+        plain = lambda df: sorted((tuple(None if v is None else str(float(v)) if not isinstance(v, str) else v for v in r) for r in df.select(*want.columns).collect()), key=repr)  # noqa: E731,B023
+        assert plain(got) == plain(want) and len(plain(want)) > 3
+        dealt = [line for line in shuffled(got) if "order_id" in line]
+        assert len([line for line in dealt if re.search(r"hashpartitioning\(order_id#\d+, \d+\)", line)]) == 1
+        assert not any(c in line for line in dealt for c in keys.split(", "))
+    assert K.category_rollup(sales.filter("false")).count() == 0
+    sales.unpersist()
+
+
+def test_queries_from_staged_months_shuffle_no_row_for_its_versions(spark):
+    from conftest import SF_SMALL
+
+    from salesmart.plans import queries as Q
+    for df in (Q.stored(spark, SF_SMALL), Q.leading(spark, SF_SMALL)):
+        assert shuffled(df) == []
+    assert shuffled(Q.cleaned(spark, SF_SMALL))
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(Q.stored(spark, SF_SMALL)) == rows(Q.cleaned(spark, SF_SMALL))
