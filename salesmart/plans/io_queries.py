@@ -19,11 +19,11 @@ from salesmart.operators.clean import clean, drop_audit, quarantine, standardize
 from salesmart.operators.membership import blocks_for, build_filters, probe, with_blocks
 from salesmart.operators.quality import verify_report
 from salesmart.plans import queries as Q
-from salesmart.plans.jobs import run_clean, run_consolidate
+from salesmart.plans.jobs import run_clean, run_consolidate, write_clean_months
 from salesmart.plans.refresh import refresh_aggregates
 from salesmart.schema import RAW_SCHEMA
 from salesmart.session import scratch_path
-from salesmart.sinks import write_cleaned, write_quarantine
+from salesmart.sinks import write_quarantine
 from salesmart.sinks.files import Files
 from salesmart.sinks.versions import VersionedTable
 from salesmart.sources.catalog import read_registered, update_table
@@ -60,7 +60,7 @@ def q_raw_scan(spark: SparkSession, d: str) -> DataFrame:
 def q_cleaned_scan(spark: SparkSession, d: str) -> DataFrame:
     """K1 + S3: cleaned fact written partitioned by (year, month) and read back."""
     path = scratch_path(spark, "cleaned")
-    write_cleaned(Q.cleaned(spark, d), path)
+    write_clean_months(spark, Q.tagged(spark, d), path, ties=FIXTURE_TIES)
     return read_cleaned(spark, path)
 
 
@@ -230,7 +230,7 @@ def q_report_sections(spark: SparkSession, d: str) -> DataFrame:
 
 def q_top_products_nested(spark: SparkSession, d: str) -> DataFrame:
     from salesmart.operators.kpis import top_products_by_region
-    return R.top_products_nested(top_products_by_region(Q.cleaned(spark, d)))
+    return R.top_products_nested(top_products_by_region(Q.leading(spark, d)))
 
 
 def q_manifest(spark: SparkSession, d: str) -> DataFrame:
